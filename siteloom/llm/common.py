@@ -152,7 +152,12 @@ class Words:
             sums = np.zeros(n + 1, U)
             np.cumsum((self.bytes.astype(U) + U(1)) * power[:n], out=sums[1:])
             back = powers(_INVERSE, n + 1)
-            self.hash = mix((sums[self.ends] - sums[self.starts]) * back[self.starts])
+            self.sums, self.back = sums, back
+            self.hash = self.span(self.starts, self.ends)
+
+    def span(self, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        """Hash of any spans of bytes."""
+        return mix((self.sums[ends] - self.sums[starts]) * self.back[starts])
 
     def word(self, i: int) -> bytes:
         return self.bytes[self.starts[i] : self.ends[i]].tobytes()
