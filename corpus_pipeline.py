@@ -1,2 +1,6 @@
-ORACLE_SQL=None
-def run(spark, sf_dir): ...
+"""The corpus pipeline: toxicity, near copies, personal data, curriculum and packing, one stage after the other."""
+ORACLE_SQL = None
+
+
+def run(spark, sf_dir):
+    raise NotImplementedError

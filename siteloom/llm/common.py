@@ -67,8 +67,8 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x
 
 
-_BASE = U(0x9E3779B97F4A7C15 | 1)
-_INVERSE = U(pow(int(_BASE), -1, 1 << 64))
+BASE = U(0x9E3779B97F4A7C15 | 1)
+INVERSE = U(pow(int(BASE), -1, 1 << 64))
 
 
 def powers(base: np.uint64, n: int, _kept: dict = {}) -> np.ndarray:  # noqa: B006
@@ -148,10 +148,10 @@ class Words:
         self.count = np.diff(self.first)
         self.doc = np.repeat(np.arange(len(self.count)), self.count)
         if hashed:
-            power = powers(_BASE, n + 1)
+            power = powers(BASE, n + 1)
             sums = np.zeros(n + 1, U)
             np.cumsum((self.bytes.astype(U) + U(1)) * power[:n], out=sums[1:])
-            back = powers(_INVERSE, n + 1)
+            back = powers(INVERSE, n + 1)
             self.sums, self.back = sums, back
             self.hash = self.span(self.starts, self.ends)
 

@@ -55,7 +55,7 @@ def signatures(doc: np.ndarray, h: np.ndarray, weight: np.ndarray, n_docs: int,
     step = 0
     while len(h):
         step += 1
-        r = mix(h + U(step) * U(0xA0761D6478BD642F))
+        r = mix(h + U(step * 0xA0761D6478BD642F % 2**64))
         at = at + -np.log(((r >> U(11)).astype(np.float64) + 0.5) * 2.0**-53) * rate
         if step > 1 or len(h) > 4 * m:
             # A point after every register's arrival changes nothing, and neither does any later one of its shingle.

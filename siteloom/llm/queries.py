@@ -5,9 +5,9 @@ from __future__ import annotations
 from importlib import import_module
 
 _MODULES = {
-    "op1_pii_crf": "pii", "op2_license_dice": "licenses", "op3_fingerprints": "fingerprints", "op4_toxicity": "toxicity",
+    "op2_license_dice": "licenses", "op3_fingerprints": "fingerprints", "op4_toxicity": "toxicity",
     "op5_quality_qda": "quality", "op6_probminhash": "probminhash", "op7_suffix_dedup": "suffixes", "op8_packing": "packing",
-    "op9_block_knn": "neighbours", "op10_curriculum": "mixing",
+    "op10_curriculum": "mixing",
 }
 
 
