@@ -1,6 +1,53 @@
-"""The corpus pipeline: toxicity, near copies, personal data, curriculum and packing, one stage after the other."""
+"""The corpus pipeline: toxicity, near copies, personal data, curriculum and packing, one stage after the other.
+
+Each stage takes (spark, docs, sf_dir), works on all that its predecessor kept and returns a DataFrame, which is written
+as Parquet and read again as the next one's ``docs``. Models are trained on the stage's own input.
+"""
+
+from siteloom.llm import mixing, packing, pii, probminhash, toxicity
+from siteloom.llm.common import materialize, read
+
+
+def drop_toxic(spark, docs, sf_dir):
+    """Documents that the toxicity operator rejects go."""
+    return toxicity.keep_clean(docs, toxicity.learn(docs, read(spark, sf_dir, "labels")))
+
+
+def drop_near_copies(spark, docs, sf_dir):
+    """One document of each group of copies and near copies stays."""
+    return probminhash.keep_one(docs)
+
+
+def redact_pii(spark, docs, sf_dir):
+    """Entities are replaced by their labels."""
+    return pii.redact(docs, pii.train(docs))
+
+
+def order_by_curriculum(spark, docs, sf_dir):
+    """Documents as often as the curriculum uses them, in training order."""
+    return mixing.mix(docs)
+
+
+def pack_windows(spark, docs, sf_dir):
+    """Windows of the stream in the order in which the stage before has written it."""
+    return packing.pack(docs, by_place=True)
+
+
+STAGES = [
+    ("toxicity", drop_toxic),
+    ("near_duplicates", drop_near_copies),
+    ("pii", redact_pii),
+    ("curriculum", order_by_curriculum),
+    ("packing", pack_windows),
+]
+
+#: SQL can express neither the trained stages nor the groups of near copies.
 ORACLE_SQL = None
 
 
 def run(spark, sf_dir):
-    raise NotImplementedError
+    """All stages over the documents of ``sf_dir``."""
+    docs = read(spark, sf_dir, "documents")
+    for name, stage in STAGES[:-1]:
+        docs = materialize(stage(spark, docs, sf_dir), name)
+    return STAGES[-1][1](spark, docs, sf_dir)
