@@ -67,7 +67,7 @@ def box_centre(box: Column) -> Column:
 def box_offset(box: Column, chip_m: float = DEFAULT.chip_m) -> Column:
     """Metres from the chip's middle to the box's centre."""
     c = box_centre(box)
-    return F.lit(chip_m) * F.hypot(c.cx - 0.5, c.cy - 0.5)
+    return F.lit(chip_m) * F.sqrt((c.cx - 0.5) * (c.cx - 0.5) + (c.cy - 0.5) * (c.cy - 0.5))
 
 
 def valid_box(box: Column, least: int = DEFAULT.min_side) -> Column:

@@ -1,4 +1,424 @@
-def queries():
-    return {}
-def oracle_sql():
-    return {}
+"""Queries over the test tables, each with the DuckDB SQL that gives the same rows."""
+
+from __future__ import annotations
+
+from pyspark.sql import Window
+from pyspark.sql import functions as F
+
+from siteloom.config import STAGES
+from siteloom.functions import geo, scalars
+from siteloom.functions.replies import json_part, parse, unreadable
+from siteloom.operators import cascade, imagery, intake, reports
+from siteloom.plans import views as v
+from siteloom.plans.views import GEOCODES, KEY, REPLIES, SCENES, SITES, VIEWS
+
+_QUERIES: dict = {}
+_SQL: dict[str, str] = {}
+_K = ", ".join(KEY)
+c = F.col
+
+
+def query(sql: str):
+    def add(f):
+        _QUERIES[f.__name__], _SQL[f.__name__] = f, sql
+        return f
+
+    return add
+
+
+def queries() -> dict:
+    return dict(_QUERIES)
+
+
+def oracle_sql() -> dict[str, str]:
+    return dict(_SQL)
+
+
+def _conf(x: str) -> str:
+    return f"(CASE WHEN {x} IS NOT NULL AND NOT isnan({x}) THEN greatest(0.0::DOUBLE, least(1.0::DOUBLE, CASE WHEN {x} > 100 THEN 1.0::DOUBLE WHEN {x} > 10 THEN {x} / 100 WHEN {x} > 1 THEN {x} / 10 ELSE {x} END)) END)"
+
+
+def _band(x: str) -> str:
+    return f"(CASE WHEN {_conf(x)} >= 0.75 THEN 'high' WHEN {_conf(x)} >= 0.6 THEN 'medium' ELSE 'low' END)"
+
+
+def _trust(x: str) -> str:
+    return f"(CASE WHEN lower(trim({x})) IN ('high', 'medium', 'low') THEN lower(trim({x})) ELSE 'medium' END)"
+
+
+def _stop(t: str, x: str, e: str) -> str:
+    return f"coalesce({t} IN ('tower', 'rooftop') AND {_band(x)} <> 'low' AND {e} IS NOT NULL, false)"
+
+
+def _reason(t: str, x: str) -> str:
+    return f"(CASE WHEN {t} = 'other' THEN 'other_type' WHEN {t} = 'unclear' THEN 'unclear_type' WHEN {_band(x)} = 'low' THEN 'low_confidence' END)"
+
+
+_FAILED = "(error IS NOT NULL AND trim(error) <> '')"
+_OK = f"(coalesce(site_type <> 'no_imagery', false) AND NOT {_FAILED})"
+_LOCATED = "(asset_lat IS NOT NULL OR coalesce(asset_view, '') <> '')"
+_KPIS = f"""count(*) AS total, count(*) FILTER ({_FAILED}) AS errors, count(*) FILTER ({_OK}) AS classified,
+  count(*) FILTER ({_OK} AND site_type = 'tower') AS towers, count(*) FILTER ({_OK} AND site_type = 'rooftop') AS rooftops,
+  count(*) FILTER ({_OK} AND cell_equipment) AS cell_hits, count(*) FILTER ({_OK} AND {_LOCATED}) AS located"""
+
+
+def _results(spark, d):
+    return v.replies(spark, d).withColumn("site_confidence", c("conf"))
+
+
+@query(f"WITH {REPLIES} SELECT {_KPIS} FROM replies")
+def regen_kpis(spark, d):
+    return reports.kpis(reports.regenerate(_results(spark, d)))
+
+
+@query(f"WITH {REPLIES} SELECT classification_stage, {_KPIS} FROM replies GROUP BY 1")
+def kpis_by_stage(spark, d):
+    return reports.kpis(_results(spark, d), ["classification_stage"])
+
+
+@query(f"""WITH {REPLIES} SELECT count(*) - count(*) FILTER ({_FAILED}) AS ok, count(*) FILTER ({_FAILED}) AS errors, count(*) FILTER (site_type = 'tower') AS towers,
+  count(*) FILTER (site_type = 'rooftop') AS rooftops, count(*) FILTER (cell_equipment) AS cell_hits FROM replies""")
+def terminal_rollup(spark, d):
+    return reports.terminal_rollup(_results(spark, d))
+
+
+@query(f"WITH {REPLIES} SELECT count(*) FILTER (conf IS DISTINCT FROM {_conf('conf')}) AS fixed FROM replies")
+def fixed_count(spark, d):
+    return reports.regenerate(_results(spark, d)).agg(F.count_if("changed").alias("fixed"))
+
+
+@query(f"WITH {REPLIES} SELECT {_K}, {_conf('conf')} AS confidence FROM replies")
+def confidence_normalize(spark, d):
+    return v.replies(spark, d).select(*KEY, scalars.confidence(c("conf")).alias("confidence"))
+
+
+@query(f"WITH {REPLIES} SELECT {_K}, {_band('conf')} AS band FROM replies")
+def confidence_band(spark, d):
+    return v.replies(spark, d).select(*KEY, scalars.band(c("conf")).alias("band"))
+
+
+@query(f"WITH {REPLIES} SELECT {_K}, {_stop('reply_type', 'conf', 'cell_equipment')} AS stop FROM replies")
+def tier_stop(spark, d):
+    return v.replies(spark, d).select(*KEY, scalars.confident_stop(c("reply_type"), c("conf"), c("cell_equipment")).alias("stop"))
+
+
+@query(f"WITH {REPLIES} SELECT {_K}, {_reason('reply_type', 'conf')} AS reason FROM replies")
+def escalation_reason(spark, d):
+    return v.replies(spark, d).select(*KEY, scalars.escalation_reason(c("reply_type"), c("conf")).alias("reason"))
+
+
+@query(f"WITH {SITES} SELECT id, {_trust('input_confidence')} AS trust FROM sites")
+def trust_normalize(spark, d):
+    return v.sites(spark, d).select("id", scalars.trust(c("input_confidence")).alias("trust"))
+
+
+@query(f"WITH {SITES}, {REPLIES} SELECT {_K}, ({_trust('input_confidence')} = 'high' AND cell_equipment IS NOT DISTINCT FROM false) AS mismatch FROM replies r JOIN sites x ON x.k = r.site")
+def trust_mismatch(spark, d):
+    joined = v.replies(spark, d).drop("id").join(v.sites(spark, d), c("site") == c("k"))
+    return joined.select(*KEY, scalars.trust_mismatch(c("input_confidence"), c("cell_equipment")).alias("mismatch"))
+
+
+@query(f"WITH {SITES} SELECT id FROM sites WHERE (lat IS NULL OR lon IS NULL) AND trim(address) = ''")
+def validate_inputs(spark, d):
+    return intake.invalid(v.sites(spark, d)).select("id")
+
+
+_PRIOR = "prior AS (SELECT o_orderkey AS id, CASE WHEN o_orderstatus <> 'P' THEN 'tower' END AS site_type, CASE WHEN o_orderstatus = 'O' THEN 'failed' END AS error FROM orders)"
+
+
+def _prior(spark, d):
+    return v.table(spark, d, "orders").selectExpr("o_orderkey AS id", "CASE WHEN o_orderstatus <> 'P' THEN 'tower' END AS site_type", "CASE WHEN o_orderstatus = 'O' THEN 'failed' END AS error")
+
+
+@query(f"WITH {_PRIOR} SELECT l_orderkey AS id, l_linenumber AS n FROM lineitem WHERE l_orderkey NOT IN (SELECT id FROM prior WHERE site_type IS NOT NULL AND error IS NULL)")
+def resume_pending(spark, d):
+    return intake.pending(v.table(spark, d, "lineitem").selectExpr("l_orderkey AS id", "l_linenumber AS n"), _prior(spark, d))
+
+
+@query(f"WITH {_PRIOR}, kept AS (SELECT * FROM prior WHERE site_type IS NOT NULL AND error IS NULL) SELECT id, site_type, error, NULL::INTEGER AS n FROM kept UNION ALL SELECT l_orderkey, 'other', NULL, l_linenumber::INTEGER FROM lineitem WHERE l_orderkey NOT IN (SELECT id FROM kept)")
+def resume_union(spark, d):
+    fresh = resume_pending(spark, d).selectExpr("id", "'other' AS site_type", "CAST(n AS INT) AS n")
+    return intake.resume_union(_prior(spark, d), fresh)
+
+
+@query(f"""WITH {SITES}, {GEOCODES}, tried AS (SELECT x.*, (x.lat IS NOT NULL AND x.lon IS NOT NULL) AS given, nullif(trim(x.address), '') AS asked FROM sites x),
+j AS (SELECT t.*, a.lat AS alat, a.lon AS alon, a.matched AS am, b.lat AS blat, b.lon AS blon, b.matched AS bm,
+    coalesce(CASE WHEN a.address IS NOT NULL AND a.lat IS NULL THEN 'no match' END, 'no match') AS ae, coalesce(CASE WHEN b.address IS NOT NULL AND b.lat IS NULL THEN 'no match' END, 'no match') AS be
+  FROM tried t LEFT JOIN geocodes a ON a.address = t.asked AND a.source = 'census' AND NOT t.given LEFT JOIN geocodes b ON b.address = t.asked AND b.source = 'nominatim' AND NOT t.given)
+SELECT id, CASE WHEN given THEN lat ELSE coalesce(alat, blat) END AS lat, CASE WHEN given THEN lon WHEN alat IS NOT NULL THEN alon ELSE blon END AS lon,
+  CASE WHEN given THEN NULL WHEN alat IS NOT NULL THEN 'census' WHEN blat IS NOT NULL THEN 'nominatim' END AS geocode_source,
+  CASE WHEN given THEN NULL WHEN alat IS NOT NULL THEN am WHEN blat IS NOT NULL THEN bm END AS geocode_matched_address,
+  CASE WHEN given OR coalesce(alat, blat) IS NOT NULL THEN NULL WHEN asked IS NULL THEN 'no coordinates and no address' ELSE 'census: ' || ae || '; nominatim: ' || be END AS error FROM j""")
+def geocode_fallback(spark, d):
+    return intake.resolve(v.sites(spark, d), v.geocodes(spark, d)).select("id", "lat", "lon", "geocode_source", "geocode_matched_address", "error")
+
+
+@query("SELECT user_id AS id, event_id AS item_ord FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY date_trunc('day', ts) DESC, event_id) AS r FROM events) WHERE r = 1")
+def newest_scene(spark, d):
+    rows = v.table(spark, d, "events").select(c("user_id").alias("id"), F.date_trunc("day", "ts").alias("dt"), c("event_id").alias("item_ord"))
+    return imagery.newest_scene(rows).select("id", "item_ord")
+
+
+@query(f"WITH {SITES}, {SCENES} SELECT id, item_id FROM sites JOIN scenes ON lon BETWEEN lon_min AND lon_max AND lat BETWEEN lat_min AND lat_max")
+def scene_point_intersect(spark, d):
+    return imagery.scenes_at(v.sites(spark, d), v.scenes(spark, d), 3.0).select("id", "item_id")
+
+
+def _tiles(side: float, z: int) -> str:
+    n, dlat, dlon = 2**z, f"{side / 2 / 111320.0!r}::DOUBLE", f"({side / 2}::DOUBLE / (111320.0::DOUBLE * cos(radians(lat))))"
+    x = lambda lon: f"trunc(({lon} + 180) / 360 * {float(n)}::DOUBLE)::INT"
+    y = lambda lat: f"trunc((1 - asinh(tan(radians({lat}))) / pi()) / 2 * {float(n)}::DOUBLE)::INT"
+    return f"{x(f'(lon - {dlon})')} AS x0, {x(f'(lon + {dlon})')} AS x1, {y(f'(lat + {dlat})')} AS y0, {y(f'(lat - {dlat})')} AS y1"
+
+
+@query(f"WITH {SITES} SELECT id, {_tiles(100.0, 21)} FROM sites WHERE lat IS NOT NULL")
+def tile_range(spark, d):
+    return imagery.tile_ranges(v.sites(spark, d)).select("id", "x0", "x1", "y0", "y1")
+
+
+_PLAN = f"""{SITES}, r AS (SELECT id, 'Vert' AS view, 21 AS z, {_tiles(100.0, 21)} FROM sites WHERE lat IS NOT NULL
+  UNION ALL SELECT id, unnest(['North','East','South','West']), 20, {_tiles(100.0, 20)} FROM sites WHERE lat IS NOT NULL),
+a AS (SELECT *, unnest(range(x0, x1 + 1))::INT AS x FROM r), t AS (SELECT *, unnest(range(y0, y1 + 1))::INT AS y FROM a)"""
+
+
+@query(f"WITH {_PLAN} SELECT id, view, z, x, y FROM t")
+def tile_plan(spark, d):
+    return imagery.tile_plan(v.sites(spark, d)).select("id", "view", "z", "x", "y")
+
+
+@query(f"""WITH {_PLAN} SELECT id, view, x, y, 256 * CASE view WHEN 'South' THEN x1 - x WHEN 'East' THEN y - y0 WHEN 'West' THEN y1 - y ELSE x - x0 END AS "left",
+  256 * CASE view WHEN 'South' THEN y1 - y WHEN 'East' THEN x1 - x WHEN 'West' THEN x - x0 ELSE y - y0 END AS top FROM t""")
+def tile_placement(spark, d):
+    return imagery.tile_plan(v.sites(spark, d)).select("id", "view", "x", "y", "left", "top")
+
+
+def _boxed(spark, d):
+    return v.replies(spark, d).withColumn("box", F.array(*[c(x).cast("double") for x in ("y0", "x0", "y1", "x1")]))
+
+
+@query(f"""WITH {REPLIES} SELECT {_K}, CASE WHEN y0 >= 0 AND y0 <= y1 AND y1 <= 1000 AND x0 >= 0 AND x0 <= x1 AND x1 <= 1000
+  THEN round_even(250 * sqrt(pow((x0 + x1) / 2000.0::DOUBLE - 0.5, 2) + pow((y0 + y1) / 2000.0::DOUBLE - 0.5, 2)), 1) END AS offset_m FROM replies""")
+def box_center_offset(spark, d):
+    return _boxed(spark, d).select(*KEY, F.bround(geo.box_offset(c("box")), 1).alias("offset_m"))
+
+
+@query(f"WITH {SITES} SELECT id, round(lat, 6) AS lat, round(lon, 6) AS lon FROM sites WHERE lat IS NOT NULL")
+def utm_roundtrip(spark, d):
+    rows = v.sites(spark, d).where("lat IS NOT NULL").withColumn("zone", geo.utm_zone(c("lon")))
+    east, north = geo.utm_forward(c("lat"), c("lon"), c("zone"))
+    rows = rows.withColumns({"e": east, "n": north})
+    lat, lon = geo.utm_inverse(c("e"), c("n"), c("zone"))
+    return rows.select("id", F.round(lat, 6).alias("lat"), F.round(lon, 6).alias("lon"))
+
+
+_VALID = "(y0 >= 0 AND y1 <= 1000 AND x0 >= 0 AND x1 <= 1000 AND y1 - y0 >= 100 AND x1 - x0 >= 100)"
+
+
+@query(f"WITH {REPLIES} SELECT {_K}, {_VALID} AS valid FROM replies")
+def valid_box(spark, d):
+    return _boxed(spark, d).select(*KEY, geo.valid_box(c("box")).isNotNull().alias("valid"))
+
+
+def _pixels(x: str, size: int) -> str:
+    return f"trunc(greatest(0, least(1000, {x})) / 1000.0::DOUBLE * {size})::INT"
+
+
+@query(f"""WITH {REPLIES}, p AS (SELECT *, trunc((y1 - y0) * 0.15::DOUBLE)::INT AS py, trunc((x1 - x0) * 0.15::DOUBLE)::INT AS px FROM replies WHERE {_VALID}),
+q4 AS (SELECT *, {_pixels('x0 - px', 1600)} AS "left", {_pixels('y0 - py', 1200)} AS top FROM p)
+SELECT {_K}, "left", top, greatest("left" + 1, {_pixels('x1 + px', 1600)}) AS "right", greatest(top + 1, {_pixels('y1 + py', 1200)}) AS bottom FROM q4""")
+def crop_rect(spark, d):
+    rows = _boxed(spark, d).withColumn("valid", geo.valid_box(c("box"))).where("valid IS NOT NULL")
+    return rows.select(*KEY, *[x.alias(n) for n, x in geo.crop_rect(c("valid"), F.lit(1600), F.lit(1200)).items()])
+
+
+@query("SELECT 333 * r AS y0, 333 * k AS x0, CASE r WHEN 2 THEN 1000 ELSE 333 * (r + 1) END AS y1, CASE k WHEN 2 THEN 1000 ELSE 333 * (k + 1) END AS x1 FROM (SELECT unnest([0, 1, 2])::BIGINT AS r) a, (SELECT unnest([0, 1, 2])::BIGINT AS k) b")
+def grid_boxes(spark, d):
+    return spark.createDataFrame([tuple(b) for b in geo.grid_boxes()], "y0 long, x0 long, y1 long, x1 long")
+
+
+@query(f"""WITH {REPLIES}, listed AS (SELECT site, y0, x0, y1, x1, reply_type AS reason, row_number() OVER (PARTITION BY site ORDER BY n, p, s, price) + 2 AS crop FROM replies
+  UNION ALL SELECT DISTINCT site, 350, 350, 650, 650, 'anchor', 1 FROM replies UNION ALL SELECT DISTINCT site, 480, 380, 680, 620, 'anchor', 2 FROM replies),
+good AS (SELECT *, row_number() OVER (PARTITION BY site, y0, x0, y1, x1 ORDER BY crop) AS r FROM listed WHERE crop <= CASE WHEN site % 17 = 0 THEN 3 ELSE 6 END AND {_VALID})
+SELECT site AS id, crop::INT AS crop, reason AS crop_label, y0::INT AS y0, x0::INT AS x0 FROM good WHERE r = 1""")
+def zoom_candidates(spark, d):
+    lists = _boxed(spark, d).groupBy(c("site").alias("id")).agg(F.array_sort(F.collect_list(F.struct("n", "p", "s", "price", "box", c("reply_type").alias("reason")))).alias("l"))
+    asked = lists.select("id", F.transform("l", lambda x: F.struct(x.box.alias("box"), x.reason.alias("reason"))).alias("candidates"), (c("id") % 17 == 0).alias("forced"))
+    return imagery.zoom_candidates(asked).select("id", "crop", "crop_label", F.get("box", F.lit(0)).alias("y0"), F.get("box", F.lit(1)).alias("x0"))
+
+
+@query(f"""WITH {VIEWS} SELECT id, array_to_string(views, ',') AS nearmap_views, len(views)::INT AS view_count, len(list_filter(views, lambda x: x <> 'Vert')) > 0 AS any_oblique,
+  array_to_string(list_filter(['North','East','South','West'], lambda x: NOT list_contains(views, x)), ',') AS missing_views,
+  array_to_string(list_concat(['NAIP top-down'], list_transform(views, lambda x: CASE WHEN x = 'Vert' THEN 'Nearmap top-down' ELSE 'Nearmap oblique (' || x || ')' END)), '; ') AS labels FROM lists""")
+def view_assembly(spark, d):
+    return imagery.view_summary(imagery.assemble_views(v.view_rows(spark, d))).drop("views")
+
+
+_TEXT = "CASE event_id % 4 WHEN 0 THEN props WHEN 1 THEN 'Sure: ' || props || ' done' WHEN 2 THEN substr(props, 1, length(props) - 1) ELSE 'no object, event ' || event_id END"
+
+
+@query(f"""WITH t AS (SELECT event_id, {_TEXT} AS text FROM events), j AS (SELECT *, CASE WHEN regexp_matches(text, '\\{{.*\\}}', 's') THEN regexp_extract(text, '\\{{.*\\}}', 0, 's') ELSE text END AS j FROM t)
+SELECT event_id, CASE WHEN json_valid(j) THEN json_extract_string(j, '$.k') END AS k, CASE WHEN NOT json_valid(j) THEN 'unparseable model reply: ' || substr(text, 1, 200) END AS evidence FROM j""")
+def json_fallback(spark, d):
+    rows = v.table(spark, d, "events").select("event_id", F.expr(_TEXT).alias("text"))
+    got = parse(c("text"), "k string")
+    return rows.select("event_id", got.k.alias("k"), F.when(got.isNull() & json_part(c("text")).isNotNull(), unreadable(c("text"))).alias("evidence"))
+
+
+_LABEL = "CASE WHEN site % 17 = 0 THEN 'stealth' ELSE 'plain' END"
+_INPUT = "CASE site % 6 WHEN 0 THEN 'high' WHEN 1 THEN ' Medium ' WHEN 2 THEN 'LOW' WHEN 3 THEN 'unknown' END"
+_MANY = "CASE site % 4 WHEN 0 THEN 0 WHEN 1 THEN 1 WHEN 2 THEN 2 ELSE 5 END"
+_PICK = ", ".join(f"max(reply_type) FILTER (rn = {i}) AS t{i}, max(conf) FILTER (rn = {i}) AS c{i}, bool_or(cell_equipment) FILTER (rn = {i}) AS e{i}, coalesce(bool_or(true) FILTER (rn = {i}), false) AS h{i}" for i in range(1, 8))
+_STAGED = f"""{REPLIES}, ranked AS (SELECT *, row_number() OVER (PARTITION BY site ORDER BY n, p, s, price) AS rn FROM replies),
+st AS (SELECT site AS id, {_LABEL} AS label, {_INPUT} AS input_confidence, {_MANY} AS nv, {_PICK} FROM ranked GROUP BY site)"""
+
+
+def _staged(spark, d):
+    order = Window.partitionBy("site").orderBy("n", "p", "s", "price")
+    rows = v.replies(spark, d).withColumn("rn", F.row_number().over(order)).where("rn <= 7").select(
+        c("site").alias("id"), F.element_at(F.array(*map(F.lit, STAGES)), c("rn")).alias("stage"), c("reply_type").alias("site_type"), "conf", c("cell_equipment").alias("cell"),
+        F.lit(None).cast("string").alias("evidence"), F.concat(F.lit("m"), c("rn")).alias("model"), F.lit(1).alias("attempt"),
+    )
+    every = F.array(*map(F.lit, ("Vert", "North", "East", "South", "West")))
+    wide = cascade.pivot_stages(rows, list(STAGES)).withColumn("site", c("id"))
+    return wide.withColumns({"label": F.expr(_LABEL), "input_confidence": F.expr(_INPUT), "views": F.slice(every, F.lit(1), F.expr(_MANY))}).drop("site")
+
+
+_GATE = f"({_trust('input_confidence')} IN ('high', 'medium') AND {{e}} IS NOT DISTINCT FROM false AND nv >= 2)"
+
+
+@query(f"""WITH {_STAGED}, g AS (SELECT *, ({_GATE.format(e='e1')} AND coalesce(e4, false)) AS seen FROM st)
+SELECT id, CASE WHEN seen AND t4 IN ('tower', 'rooftop') THEN t4 ELSE t1 END AS site_type, CASE WHEN seen AND t4 IN ('tower', 'rooftop') THEN coalesce(c4, c1) ELSE c1 END AS conf,
+  CASE WHEN seen THEN true ELSE e1 END AS cell FROM g""")
+def recheck_merge(spark, d):
+    r = cascade.recheck_merge(c("naip"), c("recheck"), cascade.recheck_gate(c("naip"), c("input_confidence"), F.size("views")))
+    return _staged(spark, d).withColumn("r", r).select("id", "r.site_type", "r.conf", "r.cell")
+
+
+@query(f"""WITH {_STAGED}, g AS (SELECT *, {_reason('t1', 'c1')} AS escalation_reason FROM st), u AS (SELECT *, escalation_reason IS NOT NULL AND h5 AS used FROM g)
+SELECT id, escalation_reason, CASE WHEN used THEN 'secondary' ELSE 'primary' END AS provider, CASE WHEN used THEN t5 ELSE t1 END AS site_type FROM u""")
+def routing(spark, d):
+    r = cascade.route(c("naip"), c("escalate"))
+    return _staged(spark, d).select("id", *[x.alias(n) for n, x in r.items()]).select("id", "escalation_reason", "provider", "reply.site_type")
+
+
+_TIER = f"CASE WHEN {_stop('t1', 'c1', 'e1')} OR NOT h2 THEN 1 WHEN {_stop('t2', 'c2', 'e2')} OR NOT h3 THEN 2 ELSE 3 END"
+
+
+@query(f"WITH {_STAGED}, g AS (SELECT *, {_TIER} AS tier FROM st) SELECT id, CASE tier WHEN 1 THEN 'naip_only' WHEN 2 THEN 'vert_only' ELSE 'full' END AS nearmap_tier, CASE tier WHEN 1 THEN t1 WHEN 2 THEN t2 ELSE t3 END AS site_type FROM g")
+def tier_cascade(spark, d):
+    r = cascade.tier_cascade(c("naip"), c("vert"), c("full"))
+    return _staged(spark, d).select("id", *[x.alias(n) for n, x in r.items()]).select("id", "nearmap_tier", "reply.site_type")
+
+
+@query(f"WITH {_STAGED} SELECT id FROM st WHERE t1 IN ('other', 'unclear') AND nv <= 1")
+def wide_aoi_gate(spark, d):
+    return _staged(spark, d).where(cascade.wide_gate(c("naip.site_type"), c("views"))).select("id")
+
+
+@query(f"WITH {_STAGED} SELECT id, (h2 AND (t2 IN ('tower', 'rooftop') OR coalesce({_conf('c2')}, 0) > coalesce({_conf('c1')}, 0) OR label = 'stealth')) AS wins FROM st")
+def zoom_wins(spark, d):
+    return _staged(spark, d).select("id", F.coalesce(cascade.zoom_wins(c("naip"), c("vert"), c("label")), F.lit(False)).alias("wins"))
+
+
+def _when(flag: str, new: str, old: str) -> str:
+    return f"CASE WHEN {flag} THEN {new} ELSE {old} END"
+
+
+@query(f"""WITH {_STAGED}, a AS (SELECT *, {_TIER} AS tier FROM st),
+b AS (SELECT *, CASE tier WHEN 1 THEN t1 WHEN 2 THEN t2 ELSE t3 END AS t, CASE tier WHEN 1 THEN c1 WHEN 2 THEN c2 ELSE c3 END AS x, CASE tier WHEN 1 THEN e1 WHEN 2 THEN e2 ELSE e3 END AS e, 'm' || tier AS m FROM a),
+g AS (SELECT *, ({_GATE.format(e='e')} AND coalesce(e4, false)) AS seen FROM b),
+r AS (SELECT * REPLACE ({_when("seen AND t4 IN ('tower', 'rooftop')", 't4', 't')} AS t, {_when("seen AND t4 IN ('tower', 'rooftop')", 'coalesce(c4, x)', 'x')} AS x, {_when('seen', 'true', 'e')} AS e) FROM g),
+f AS (SELECT *, {_reason('t', 'x')} AS escalation_reason FROM r), u AS (SELECT *, (escalation_reason IS NOT NULL AND h5) AS used FROM f),
+w AS (SELECT * REPLACE ({_when('used', 't5', 't')} AS t, {_when('used', 'c5', 'x')} AS x, {_when('used', 'e5', 'e')} AS e, {_when('used', "'m5'", 'm')} AS m) FROM u),
+y AS (SELECT *, (t IN ('other', 'unclear') AND nv <= 1 AND h6) AS wide FROM w),
+z AS (SELECT * REPLACE ({_when('wide', 't6', 't')} AS t, {_when('wide', 'c6', 'x')} AS x, {_when('wide', 'e6', 'e')} AS e, {_when('wide', "'m6'", 'm')} AS m) FROM y),
+o AS (SELECT *, ((label = 'stealth' OR t IN ('other', 'unclear')) AND h7 AND (t7 IN ('tower', 'rooftop') OR coalesce({_conf('c7')}, 0) > coalesce({_conf('x')}, 0) OR label = 'stealth')) AS zoom FROM z)
+SELECT id, {_when('zoom', 't7', 't')} AS site_type, {_when('zoom', _conf('c7'), _conf('x'))} AS site_confidence, {_when('zoom', 'e7', 'e')} AS cell_equipment, {_when('zoom', "'m7'", 'm')} AS model,
+  CASE WHEN zoom THEN 'zoom' WHEN wide THEN 'wide_aoi' ELSE 'primary' END AS classification_stage,
+  CASE WHEN zoom THEN 'zoom' WHEN wide THEN 'wide_aoi' WHEN tier = 1 THEN 'naip_only' WHEN tier = 2 THEN 'vert_only' ELSE 'full' END AS nearmap_tier,
+  escalation_reason, CASE WHEN used THEN 'secondary' ELSE 'primary' END AS provider FROM o""")
+def full_cascade(spark, d):
+    return cascade.cascade(_staged(spark, d))
+
+
+@query(f"""WITH {VIEWS}, chips AS (SELECT DISTINCT id || '_nearmap_' || lower(view) || '.jpg' AS path FROM shown WHERE event_id % 2 = 0 UNION SELECT DISTINCT id || '_NAIP.jpg' FROM shown WHERE event_id % 3 = 0),
+r AS (SELECT id, views, substr(id, 2)::BIGINT % 2 = 0 AS cell FROM lists), cand AS (
+  SELECT id, list_position(['North','East','South','West'], view) AS pos, id || '_nearmap_' || lower(view) || '.jpg' AS path FROM (SELECT id, cell, unnest(views) AS view FROM r) WHERE cell AND view <> 'Vert'
+  UNION ALL SELECT id, 9, id || '_nearmap_vert.jpg' FROM r UNION ALL SELECT id, 10, id || '_NAIP.jpg' FROM r)
+SELECT r.id, min_by(cand.path, pos) AS review_image FROM r LEFT JOIN (SELECT * FROM cand SEMI JOIN chips USING (path)) cand USING (id) GROUP BY r.id""")
+def review_pick(spark, d):
+    shown = v.view_rows(spark, d)
+    chips = shown.where("event_id % 2 = 0").select(F.concat("id", F.lit("_nearmap_"), F.lower("view"), F.lit(".jpg")).alias("path")).union(shown.where("event_id % 3 = 0").select(F.concat("id", F.lit("_NAIP.jpg"))))
+    none = F.lit(None).cast("string")
+    rows = imagery.view_summary(imagery.assemble_views(shown)).select(
+        "id", "nearmap_views", (F.substring("id", 2, 20).cast("long") % 2 == 0).alias("cell_equipment"), none.alias("asset_view"), none.alias("chip_path"), F.lit(None).cast("array<string>").alias("zoom_paths")
+    )
+    return reports.review_images(rows, chips)
+
+
+_OFF = "round_even(asset_offset_m, 0)::BIGINT || ' m off'"
+
+
+@query(f"""WITH {REPLIES} SELECT {_K}, id || ' (' || reply_type || ')' AS asset, CASE WHEN {_FAILED} THEN 'error' WHEN site_type = 'no_imagery' THEN 'no imagery' ELSE site_type END AS site_type,
+  CASE WHEN NOT {_FAILED} AND coalesce(site_type, '') <> 'no_imagery' THEN round_even({_conf('conf')}, 2) END AS conf,
+  CASE WHEN {_FAILED} OR site_type = 'no_imagery' THEN '—' WHEN asset_offset_m IS NOT NULL THEN {_OFF} WHEN coalesce(asset_view, '') <> '' THEN 'on ' || asset_view ELSE '—' END AS located,
+  CASE WHEN {_FAILED} THEN substr(trim(error), 1, 120) WHEN site_type = 'no_imagery' THEN '—' WHEN cell_equipment IS NULL THEN 'unknown' ELSE cell_equipment::VARCHAR || coalesce(' — ' || trim(site_evidence), '') END AS cell_equip,
+  CASE WHEN NOT {_FAILED} AND site_type = 'no_imagery' THEN 0 ELSE view_count END AS views FROM replies""")
+def stakeholder_rows(spark, d):
+    key = F.struct(*KEY)
+    rows = _results(spark, d).withColumns({"_id": c("id"), "label": c("reply_type"), "cell_equipment_evidence": c("site_evidence"), "review_image": F.lit(None).cast("string")})
+    cols = reports.stakeholder_rows(rows.withColumn("id", F.concat_ws("\x00", c("_id"), F.to_json(key))))
+    k = F.from_json(F.split("id", "\x00")[1], "site long, n int, p long, s long, price double")
+    return cols.select(k.alias("k"), F.concat(F.split("id", "\x00")[0], F.regexp_extract("asset", r" \(\w+\)$", 0)).alias("asset"), "site_type", "conf", "located", "cell_equip", "views").select("k.*", "asset", "site_type", "conf", "located", "cell_equip", "views")
+
+
+_CELL = "CASE WHEN cell_equipment IS NULL THEN 'Unknown' WHEN cell_equipment THEN 'Yes' ELSE 'No' END"
+
+
+@query(f"""WITH {SITES}, {REPLIES}, l AS (SELECT r.*, coalesce(x.label, r.reply_type) AS region FROM replies r LEFT JOIN sites x ON x.id = r.id)
+SELECT id, '| ' || id || ' | ' || region || ' | ' || CASE WHEN {_FAILED} THEN '**ERROR** | — | — | — | — | ' || CASE WHEN length(trim(error)) > 60 THEN substr(trim(error), 1, 60) || '…' ELSE trim(error) END
+  WHEN site_type = 'no_imagery' THEN 'No imagery | — | — | — | — | Outside coverage'
+  ELSE coalesce(site_type, '—') || ' | ' || coalesce(round_even({_conf('conf')} * 100, 0)::BIGINT || '%', '—') || ' | ' || {_CELL} || ' | ' ||
+    CASE WHEN asset_lat IS NOT NULL THEN coalesce({_OFF}, 'yes') WHEN coalesce(asset_view, '') <> '' THEN 'on ' || asset_view ELSE '—' END || ' | ' ||
+    CASE WHEN nearmap_aoi_m = 250 THEN 'wide AOI' ELSE coalesce(classification_stage, 'primary') END || ' | ' ||
+    CASE WHEN length(site_evidence) > 90 THEN substr(site_evidence, 1, 90) || '…' ELSE coalesce(site_evidence, '') END END || ' |' AS line FROM l""")
+def summary_rows(spark, d):
+    rows = reports.regenerate(_results(spark, d)).withColumn("label", c("reply_type"))
+    return reports.summary_rows(reports.with_region(rows, v.sites(spark, d), "k"))
+
+
+@query(f"WITH {SITES}, {REPLIES} SELECT {_K}, coalesce(x.label, r.reply_type) AS region FROM replies r LEFT JOIN sites x ON x.id = r.id")
+def region_lookup(spark, d):
+    return reports.with_region(_results(spark, d).withColumn("label", c("reply_type")), v.sites(spark, d), "k").select(*KEY, "region")
+
+
+@query(f"WITH {VIEWS} SELECT id, CASE WHEN len(list_filter(views, lambda x: x <> 'Vert')) > 0 THEN 'full' WHEN list_contains(views, 'Vert') THEN 'nearmap_vert_only' ELSE 'none' END AS tier FROM lists")
+def imagery_tier(spark, d):
+    return imagery.assemble_views(v.view_rows(spark, d)).select("id", scalars.imagery_tier(c("views"), F.lit(False)).alias("tier"))
+
+
+@query(f"WITH {REPLIES} SELECT {_K}, (view_count = 0 OR coalesce({_conf('conf')} < 0.6, true) OR {_FAILED}) AS review FROM replies")
+def manual_review(spark, d):
+    tier = F.when(c("view_count") == 0, "naip_only").otherwise("full")
+    return v.replies(spark, d).select(*KEY, scalars.manual_review(tier, c("conf"), c("error")).alias("review"))
+
+
+@query(f"""WITH {SITES}, p AS (SELECT k, lat, lon FROM sites WHERE lat IS NOT NULL), q AS (SELECT a.k AS a, b.k AS b,
+  2 * 6371008.8::DOUBLE * asin(sqrt(least(1.0::DOUBLE, pow(sin(radians(b.lat - a.lat) / 2), 2) + cos(radians(a.lat)) * cos(radians(b.lat)) * pow(sin(radians(b.lon - a.lon) / 2), 2)))) AS m
+  FROM p a JOIN p b ON a.k < b.k AND abs(a.lat - b.lat) < 0.5) SELECT a, b, round(m, 1) AS metres FROM q WHERE m <= 30000""")
+def radius_dedup(spark, d):
+    return intake_pairs(v.sites(spark, d).selectExpr("k", "lat", "lon"), 30_000.0)
+
+
+def intake_pairs(points, metres: float):
+    """Extension: pairs of points within a distance, by a self-join on grid cells of that size (rows of latitude, wider columns)."""
+    dlat = metres / 111_000.0
+    points = points.where("lat IS NOT NULL AND lon IS NOT NULL").withColumn("cy", F.floor(c("lat") / dlat))
+    # Columns are as wide as the distance at the point's and its neighbours' highest latitude.
+    rows = points.withColumn("near", F.explode(F.array(*[c("cy") + i for i in (-1, 0, 1)])))
+    wide = lambda row: F.lit(dlat) / F.cos(F.radians(F.least(F.lit(89.0), (F.abs(row) + 2) * dlat)))
+    left = rows.select(c("k").alias("a"), c("lat").alias("lat1"), c("lon").alias("lon1"), c("near").alias("row"), F.floor(c("lon") / wide(c("near"))).alias("cx"))
+    left = left.withColumn("col", F.explode(F.array(*[c("cx") + i for i in (-1, 0, 1)])))
+    right = points.select(c("k").alias("b"), c("lat").alias("lat2"), c("lon").alias("lon2"), c("cy").alias("row"), F.floor(c("lon") / wide(c("cy"))).alias("col"))
+    pairs = left.join(right, ["row", "col"]).where("a < b").withColumn("m", geo.haversine(c("lat1"), c("lon1"), c("lat2"), c("lon2")))
+    return pairs.where(c("m") <= metres).select("a", "b", F.round("m", 1).alias("metres"))
