@@ -9,6 +9,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import tempfile
 import uuid
 
@@ -83,6 +84,10 @@ def powers(base: np.uint64, n: int, _kept: dict = {}) -> np.ndarray:  # noqa: B0
     return have[:n]
 
 
+#: Of the C library, where it has it.
+_TRIM = getattr(ctypes.CDLL(None), "malloc_trim", None)
+
+
 def _lower_table() -> np.ndarray:
     t = np.arange(256, dtype=np.uint8)
     t[65:91] += 32
@@ -120,6 +125,14 @@ def slices(batch: pa.RecordBatch, column: str = "text", limit: int = SLICE_BYTES
         end = max(at + 1, int(np.searchsorted(offsets, offsets[at] + limit, "right")) - 1)
         yield batch.slice(at, end - at)
         at = end
+    release()
+
+
+def release() -> None:
+    """Give freed memory back to the system: workers live on between stages, beside a full heap."""
+    pa.default_memory_pool().release_unused()
+    if _TRIM is not None:
+        _TRIM(0)
 
 
 class Words:
@@ -150,7 +163,11 @@ class Words:
         if hashed:
             power = powers(BASE, n + 1)
             sums = np.zeros(n + 1, U)
-            np.cumsum((self.bytes.astype(U) + U(1)) * power[:n], out=sums[1:])
+            terms = self.bytes.astype(U)
+            terms += U(1)
+            terms *= power[:n]
+            np.cumsum(terms, out=sums[1:])
+            del terms
             back = powers(INVERSE, n + 1)
             self.sums, self.back = sums, back
             self.hash = self.span(self.starts, self.ends)

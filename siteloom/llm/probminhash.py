@@ -27,6 +27,8 @@ from pyspark.sql import functions as F
 from siteloom.llm.common import BROADCAST_IDS, U, Words, grams, materialize, mix, read, semi_filter, slices, texts
 
 SHINGLE, BANDS, ROWS, THRESHOLD = 3, 24, 4, 0.5
+#: Bytes of text that are turned into shingles at once.
+PIECE = 1_000_000
 
 
 def shingles(w: Words, k: int = SHINGLE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -101,7 +103,7 @@ def candidates(docs: DataFrame, shingle: int, bands: int, rows: int) -> tuple[Da
 
     def sign(batches):
         for batch in batches:
-            for part in slices(batch, limit=2_000_000):
+            for part in slices(batch, limit=PIECE):
                 w = Words(part.column("text"))
                 if not len(w.hash):
                     continue
@@ -152,7 +154,7 @@ def verify(docs: DataFrame, pairs: DataFrame, shingle: int, threshold: float) ->
     def compare(batches):
         lead, own = None, None
         for batch in batches:
-            for part in slices(batch):
+            for part in slices(batch, limit=PIECE):
                 w = Words(part.column("text"))
                 doc, h, weight = shingles(w, shingle)
                 cut = np.searchsorted(doc, np.arange(part.num_rows + 1))
