@@ -53,6 +53,20 @@ def semi_filter(df: DataFrame, ids: DataFrame, key: str) -> DataFrame:
     return df.join(F.broadcast(ids) if small else ids.hint("merge"), key, "inner")
 
 
+#: Rows and bytes of an Arrow batch, set where the session has Spark's own: ten thousand long texts at once are too much.
+_BATCH = {"spark.sql.execution.arrow.maxRecordsPerBatch": ("10000", "2000"), "spark.sql.execution.arrow.maxBytesPerBatch": ("67108864b", "8m")}
+
+
+def lean(df: DataFrame) -> DataFrame:
+    """``df``, in a session whose Arrow batches are small; what the session has set itself stays."""
+    spark = df.sparkSession
+    given = spark.sparkContext.getConf()
+    for name, (default, ours) in _BATCH.items():
+        if not given.contains(name) and spark.conf.get(name) == default:
+            spark.conf.set(name, ours)
+    return df
+
+
 def shuffles(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
@@ -193,10 +207,10 @@ def grams(hashes: np.ndarray, k: int) -> np.ndarray:
 
 def texts(docs: DataFrame, *more: str) -> DataFrame:
     """doc_id and text (and what else is named); rows without a doc_id are dropped, a null text is an empty one."""
-    return docs.where("doc_id IS NOT NULL").select(
+    return lean(docs).where("doc_id IS NOT NULL").select(
         F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"), *more
     )
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{table}.parquet")
+    return lean(spark.read.parquet(f"{sf_dir}/{table}.parquet"))

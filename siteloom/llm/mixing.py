@@ -87,15 +87,15 @@ def mix(docs: DataFrame, weights: dict[str, list[float]] | None = None, knots: l
     The text is moved once, by the range sort: a row finds its positions by its place in the files, and the table of
     these is broadcast up to ``BROADCAST_IDS`` rows (beyond it that join is a shuffle too).
     """
-    columns = docs.columns
     rows = with_row(docs)
-    places = positions(rows, weights, knots, ["_file", "_row"])
+    named = rows.select(*[F.col(f"_doc.{c}").alias(c) for c in ("doc_id", "text", "source")], "_file", "_row")
+    places = positions(named, weights, knots, ["_file", "_row"])
     lists = materialize(
         places.groupBy("_file", "_row").agg(F.collect_list(F.struct("position", "epoch")).alias("_uses")), "positions"
     )
     small = lists.count() <= BROADCAST_IDS
     joined = rows.join(F.broadcast(lists) if small else lists, ["_file", "_row"]).withColumn("_use", F.explode("_uses"))
-    return joined.orderBy("_use.position", "source", "doc_id", "_use.epoch").select(*columns)
+    return joined.orderBy("_use.position", "_doc.source", "_doc.doc_id", "_use.epoch").select("_doc.*")
 
 
 def op10_curriculum(spark: SparkSession, sf_dir: str) -> DataFrame:

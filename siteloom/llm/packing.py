@@ -26,7 +26,7 @@ def pack(docs: DataFrame, window: int = WINDOW, eos: int = EOS, by_place: bool =
     doc_from and doc_to are token positions in the document (doc_to is exclusive; the eos token counts), place is the
     first one's position in the window. Documents follow each other by doc_id, or with ``by_place`` by file and row.
     """
-    docs = with_row(docs) if by_place else docs
+    docs = with_row(docs).select(F.col("_doc.doc_id").alias("doc_id"), F.col("_doc.text").alias("text"), "_file", "_row") if by_place else docs
     order = ["_file", "_row"] if by_place else ["doc_id", "n_words"]
     counts = materialize(
         docs.where("doc_id IS NOT NULL").select(F.col("doc_id").cast("long").alias("doc_id"), words_count().alias("n_words"), *(order if by_place else [])),

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siteloom.llm.common import Words, materialize, read, slices, texts
+from siteloom.llm.common import Words, lean, materialize, read, slices, texts
 
 LABELS = ("O", "EMAIL", "PHONE", "IP", "CARD", "SECRET")
 TRAIN_DOCS, REACH, ROUNDS, DAMPING = 2000, 2, 8, 0.3
@@ -316,7 +316,7 @@ def redact(docs: DataFrame, crf: Crf) -> DataFrame:
                     part = part.set_column(where, part.schema.field(where), new)
                 yield part
 
-    out = docs.mapInArrow(run, schema)
+    out = lean(docs).mapInArrow(run, schema)
     if "n_chars" in docs.columns:
         out = out.withColumn("n_chars", F.when(F.col("n_chars").isNotNull(), F.length("text")).cast(schema["n_chars"].dataType))
     return out.select(*docs.columns)

@@ -38,12 +38,19 @@ def words_count(text: str = "text"):
 
 
 def with_row(docs: DataFrame) -> DataFrame:
-    """Add ``_file`` and ``_row``: a row's place in the files that ``docs`` is read from (it is written first if it isn't read from files)."""
+    """Add ``_file`` and ``_row``: a row's place in the files that ``docs`` is read from (it is written first if it isn't read from files).
+
+    The columns of ``docs`` are those of the struct ``_doc``, so names that clash do no harm.
+    """
+    whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_doc")
+
+    def placed(df: DataFrame) -> DataFrame:
+        place = df.metadataColumn("_metadata")
+        return df.select(whole, place["file_path"].alias("_file"), place["row_index"].alias("_row"))
+
     try:
-        return docs.select("*", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.row_index").alias("_row"))
+        return placed(docs)
     except Exception as error:  # a DataFrame that isn't a file scan has no such column
-        if "UNRESOLVED_COLUMN" not in str(error):
+        if not any(x in str(error) for x in ("UNRESOLVED_COLUMN", "CANNOT_RESOLVE", "cannot resolve")):
             raise
-        return materialize(docs, "rows").select(
-            "*", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.row_index").alias("_row")
-        )
+        return placed(materialize(docs, "rows"))

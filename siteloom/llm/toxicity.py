@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siteloom.llm.common import U, Words, materialize, mix, read, slices, texts
+from siteloom.llm.common import U, Words, lean, materialize, mix, read, slices, texts
 
 TERMS = (
     "idiot idiots idiotic moron morons moronic loser losers scum scumbag stupid worthless pathetic disgusting clown "
@@ -295,7 +295,7 @@ def keep_clean(docs: DataFrame, automaton: Automaton, context: int = CONTEXT, th
                         bad[row[i]] = score(int(automaton.edits[s]), *window(w, raw, k, context)) >= threshold
             yield batch.filter(pa.array(~bad))
 
-    return docs.mapInArrow(judged, docs.schema)
+    return lean(docs).mapInArrow(judged, docs.schema)
 
 
 def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
