@@ -42,7 +42,8 @@ def test_boxes(spark):
 
 
 def test_candidates_keep_numbers_and_drop_repeats(spark):
-    df = spark.sql("SELECT 'a' AS id, false AS forced, array(struct(array(350D,350D,650D,650D) AS box, 'again' AS reason), struct(array(0D,0D,50D,50D), 'small'), struct(array(0D,0D,200D,200D), 'a\nb'), struct(array(1D,1D,300D,300D), '')) AS candidates")
+    boxes = [([350.0, 350.0, 650.0, 650.0], "again"), ([0.0, 0.0, 50.0, 50.0], "small"), ([0.0, 0.0, 200.0, 200.0], "a\nb"), ([1.0, 1.0, 300.0, 300.0], "")]
+    df = spark.createDataFrame([("a", False, boxes)], "id string, forced boolean, candidates array<struct<box: array<double>, reason: string>>")
     got = [(r.crop, r.crop_label) for r in imagery.zoom_candidates(df).orderBy("crop").collect()]
     assert got == [(1, "anchor"), (2, "anchor"), (5, "a b"), (6, "candidate")]
 
