@@ -98,18 +98,28 @@ def fingerprints(docs: DataFrame, lead: int = LEAD) -> DataFrame:
     kept = materialize(docs.mapInArrow(hashes, "doc_id long, n_chars long, fingerprint long, lead long"), "fingerprints")
     leads = kept.where("lead IS NOT NULL").groupBy("lead").agg(F.min("doc_id").alias("anchor_id"), F.max("doc_id").alias("_last")).where("anchor_id < _last")
     marked = materialize(kept.join(leads, "lead").where("doc_id > anchor_id").select("doc_id", "anchor_id", "fingerprint").distinct(), "marked")
-    needed = materialize(marked.select("doc_id").union(marked.select("anchor_id")).distinct(), "needed")
-    few = materialize(semi_filter(docs, needed, "doc_id"), "texts")
-    anchors = few.join(marked.select(F.col("anchor_id").alias("doc_id")).distinct(), "doc_id", "left_semi").groupBy("doc_id").agg(F.min("text").alias("anchor_text"))
+    # Texts are moved once: each goes to its anchor, which is sorted first, so a group of any size is streamed.
+    pairs = materialize(marked.select("anchor_id", "doc_id").union(marked.select("anchor_id", "anchor_id")).distinct(), "pairs")
+    sides = semi_filter(docs, pairs, "doc_id").repartition("anchor_id").sortWithinPartitions("anchor_id", "doc_id", "text")
 
     def extend(batches):
+        lead, own = None, ""
         for batch in batches:
             for part in slices(batch):
-                a, b = Prefixes(part.column("text")), Prefixes(part.column("anchor_text"))
-                yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("anchor_id"), pa.array(a.fingerprint()), pa.array(a.extension(b))], ["doc_id", "anchor_id", "fingerprint", "lce"])
-
-    pairs = few.distinct().join(marked.select("doc_id", "anchor_id").distinct(), "doc_id").join(anchors.withColumnRenamed("doc_id", "anchor_id"), "anchor_id")
-    extended = pairs.mapInArrow(extend, "doc_id long, anchor_id long, fingerprint long, lce long")
+                rows, leads = [], []
+                for i, (a, d, t) in enumerate(zip(*(part.column(c).to_pylist() for c in ("anchor_id", "doc_id", "text")))):
+                    if a == d:
+                        if a != lead:
+                            lead, own = a, t
+                    elif a == lead:
+                        rows.append(i)
+                        leads.append(own[: len(t)])  # no extension is longer
+                if rows:
+                    part = part.take(pa.array(rows))
+                    p = Prefixes(part.column("text"))
+                    yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("anchor_id"), pa.array(p.fingerprint()), pa.array(p.extension(Prefixes(pa.array(leads, pa.string()))))], ["doc_id", "anchor_id", "fingerprint", "lce"])
+
+    extended = sides.mapInArrow(extend, "doc_id long, anchor_id long, fingerprint long, lce long").distinct()
     # A repeated doc_id may have several texts, of which some have another lead.
     return kept.join(leads.select("lead", F.col("anchor_id")), "lead", "left").withColumn(
         "anchor_id", F.when(F.col("doc_id") > F.col("anchor_id"), F.col("anchor_id"))
