@@ -11,7 +11,7 @@ around it take 0.3 and a reporting verb takes 0.3. A document is toxic if a matc
 Stems are learnt from at most ``TRAIN_TOXIC`` toxic and ``TRAIN_CLEAN`` other labelled rows (those of least hash): the
 shortest prefixes that occur with at least ``ENDINGS`` endings, in far more toxic documents than chance explains, and
 in next to no others. A term whose misspellings the sample's other documents hold (as a common word may be one) is
-allowed fewer edits. Near copies count once.
+allowed fewer edits. Copies (the same words in the same order) count once.
 
 Defined results: null and empty texts, and texts without a match, aren't toxic; repeated rows are scored alike; rows
 without a doc_id are dropped by ``scan`` and kept by ``keep_clean``; without labels the lexicon is ``TERMS``; an empty
@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siteloom.llm.common import U, Words, lean, materialize, mix, read, slices, texts
+from siteloom.llm.common import BASE, U, Words, lean, materialize, mix, powers, read, slices, texts
 
 TERMS = (
     "idiot idiots idiotic moron morons moronic loser losers scum scumbag stupid worthless pathetic disgusting clown "
@@ -172,6 +172,23 @@ def window(w: Words, raw: bytes, k: int, context: int) -> tuple[bytes, bytes]:
     return raw[max(w.offsets[i], w.starts[a] - 3) : w.starts[k]], raw[w.ends[k] : min(w.offsets[i + 1], w.ends[b] + 3)]
 
 
+def distinct(sample: DataFrame) -> DataFrame:
+    """text and toxic of the rows that hold a word: one of those with the same words in the same order and the same label."""
+
+    def whole(batches):
+        for batch in batches:
+            for part in slices(batch):
+                w = Words(part.column("text"))
+                ok = w.count > 0
+                place = np.arange(len(w.starts)) - w.first[w.doc]
+                terms = w.hash * powers(BASE, int(w.count.max(initial=0)) + 1)[place]
+                same = mix(np.add.reduceat(terms, w.first[:-1][ok])) if ok.any() else np.empty(0, U)
+                kept = part.filter(pa.array(ok))
+                yield pa.RecordBatch.from_arrays([kept.column("text"), kept.column("toxic"), pa.array(same.view(np.int64))], ["text", "toxic", "same"])
+
+    return sample.mapInArrow(whole, "text string, toxic int, same long").groupBy("same", "toxic").agg(F.min("text").alias("text")).select("text", "toxic")
+
+
 def learn(docs: DataFrame, labels: DataFrame, terms: list[str] = TERMS, toxic: int = TRAIN_TOXIC, clean: int = TRAIN_CLEAN) -> Automaton:
     """The automaton of the terms, with as many edits as the sample bears out, and of the stems that mark toxic documents."""
     sure = labels.where("doc_id IS NOT NULL AND toxic IS NOT NULL").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
@@ -182,18 +199,7 @@ def learn(docs: DataFrame, labels: DataFrame, terms: list[str] = TERMS, toxic: i
     chosen = F.broadcast(least(1, toxic).union(least(0, clean)))
     widest = Automaton(list(terms))
 
-    def first(batches):  # near copies mostly share their least word hash
-        for batch in batches:
-            for part in slices(batch):
-                w = Words(part.column("text"))
-                ok = w.count > 0
-                low = np.minimum.reduceat(w.hash, w.first[:-1][ok]) if ok.any() else np.empty(0, np.uint64)
-                kept = part.filter(pa.array(ok))
-                yield pa.RecordBatch.from_arrays([kept.column("text"), kept.column("toxic"), pa.array((low >> U(1)).astype(np.int64))], ["text", "toxic", "low"])
-
-    sample = materialize(
-        texts(docs).join(chosen, "doc_id").mapInArrow(first, "text string, toxic int, low long").groupBy("low", "toxic").agg(F.min("text").alias("text")), "sample"
-    )
+    sample = materialize(distinct(texts(docs).join(chosen, "doc_id")), "sample")
     sizes = {r[0]: r[1] for r in sample.groupBy("toxic").count().collect()}
     n_toxic, n_clean = sizes.get(1, 0), sizes.get(0, 0)
     if not n_toxic or not n_clean:

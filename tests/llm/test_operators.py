@@ -101,6 +101,14 @@ def test_toxicity(odd, empty):
     assert quoted < toxicity.THRESHOLD <= toxicity.score(0, b"you are an ", b" really")
 
 
+def test_toxicity_sample_keeps_all_but_copies(spark):
+    """Texts that share their least word hash are no copies; the same words in other case and spacing are."""
+    rows = [(i, f"same common words here {a}{b}", i % 2) for i, (a, b) in enumerate((a, b) for a in "abcdefgh" for b in "ijklmnop")]
+    rows += [(99, "Same  common words here ai!", 0), (98, "words same common here ai", 0), (97, "", 0), (96, "...", 1)]
+    got = [tuple(r) for r in toxicity.distinct(spark.createDataFrame(rows, "doc_id long, text string, toxic int")).collect()]
+    assert len(got) == 65 and sum(t for _, t in got) == 32
+
+
 def test_probability_jaccard_by_definition():
     rng = np.random.default_rng(2)
     for _ in range(20):
