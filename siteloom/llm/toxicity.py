@@ -1,6 +1,6 @@
 """Toxicity: Levenshtein automata intersected with a lexicon trie, and context windows that tell quotation from abuse.
 
-The lexicon is a trie of insults (``TERMS``) and of stems learnt from labelled rows. The automaton of all words within
+The lexicon is a trie of insults (``TERMS``) and of words and stems learnt from labelled rows. The automaton of all words within
 ``allowed(term)`` edits of a term (a word of any ending for a stem) is intersected with the trie and determinised once,
 on the driver; on the executors it runs over all words of a batch at a time, one character a step. A misspelling keeps
 the first letter, and digits count as the letters that they resemble.
@@ -8,9 +8,9 @@ the first letter, and digits count as the letters that they resemble.
 A match scores 1, less 0.2 an edit; in its window of ``CONTEXT`` words an address (you, ...) adds 0.2, quotation marks
 around it take 0.3 and a reporting verb takes 0.3. A document is toxic if a match scores ``THRESHOLD`` or more.
 
-Stems are learnt from at most ``TRAIN_TOXIC`` toxic and ``TRAIN_CLEAN`` other labelled rows (those of least hash): the
-shortest prefixes that occur with at least ``ENDINGS`` endings, in far more toxic documents than chance explains, and
-in next to no others. A term whose misspellings the sample's other documents hold (as a common word may be one) is
+Words and stems (prefixes of any length) are learnt from at most ``TRAIN_TOXIC`` toxic and ``TRAIN_CLEAN`` other labelled
+rows (those of least hash): those that pass ``marked`` in a language and whose odds over all languages are as good.
+``held_out`` gives the recall by language. A term whose misspellings the sample's other documents hold (as a common word may be one) is
 allowed fewer edits. Copies (the same words in the same order) count once.
 
 Defined results: null and empty texts, and texts without a match, aren't toxic; repeated rows are scored alike; rows
@@ -22,11 +22,11 @@ from __future__ import annotations
 
 import re
 from collections import defaultdict, deque
-from math import log
+from math import log, sqrt
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from siteloom.llm.common import BASE, U, Words, lean, materialize, mix, powers, read, slices, texts
@@ -37,9 +37,8 @@ TERMS = (
     "bitch whore fucking fucker motherfucker asshole retard retarded crybaby pervert wanker dickhead douchebag"
 ).split()
 TRAIN_TOXIC, TRAIN_CLEAN = 3000, 9000
-ENDINGS, PURITY = 5, 0.02
-#: Lengths of stems in bytes.
-STEMS = range(4, 9)
+#: Odds that a learnt word's holder is toxic; spellings that are tried, for chance; bytes of the shortest.
+ODDS, TRIED, LEAST = 3, 1e5, 4
 CONTEXT, THRESHOLD = 6, 0.65
 ADDRESS = re.compile(rb"\b(?:you|your|youre|u|ur|du|dich|dein|tu|toi|vous|usted|eres)\b")
 REPORT = re.compile(rb"\b(?:said|says|say|wrote|writes|called|calls|quote|quoted|quoting|word|term|insult|sagte|schrieb|dit|dijo|palabra|wort|mot)\b")
@@ -54,8 +53,8 @@ def allowed(term: str) -> int:
 class Automaton:
     """Deterministic: ``step[state, symbol]``, state 0 accepts nothing any more, state 1 is the start."""
 
-    def __init__(self, terms: list[str], stems: list[bytes] = (), edits: dict[str, int] | None = None):
-        words = [(t.encode(), min(allowed(t), (edits or {}).get(t, 9)), False) for t in terms] + [(s, 0, True) for s in stems]
+    def __init__(self, terms: list[str], stems: list[bytes] = (), edits: dict[str, int] | None = None, learnt: list[bytes] = ()):
+        words = [(t.encode(), min(allowed(t), (edits or {}).get(t, 9)), False) for t in terms] + [(s, 0, True) for s in stems] + [(x, 0, False) for x in learnt]
         letters = sorted({c for w, *_ in words for c in w})
         self.symbol = np.zeros(256, np.int64)
         self.symbol[letters] = np.arange(1, len(letters) + 1)
@@ -173,7 +172,9 @@ def window(w: Words, raw: bytes, k: int, context: int) -> tuple[bytes, bytes]:
 
 
 def distinct(sample: DataFrame) -> DataFrame:
-    """text and toxic of the rows that hold a word: one of those with the same words in the same order and the same label."""
+    """text and toxic (and lang, if there is one) of the rows that hold a word: one of those with the same words in the same order and the same label."""
+
+    more = [c for c in sample.columns if c == "lang"]
 
     def whole(batches):
         for batch in batches:
@@ -184,9 +185,10 @@ def distinct(sample: DataFrame) -> DataFrame:
                 terms = w.hash * powers(BASE, int(w.count.max(initial=0)) + 1)[place]
                 same = mix(np.add.reduceat(terms, w.first[:-1][ok])) if ok.any() else np.empty(0, U)
                 kept = part.filter(pa.array(ok))
-                yield pa.RecordBatch.from_arrays([kept.column("text"), kept.column("toxic"), pa.array(same.view(np.int64))], ["text", "toxic", "same"])
+                yield pa.RecordBatch.from_arrays([*(kept.column(c) for c in ["text", "toxic", *more]), pa.array(same.view(np.int64))], ["text", "toxic", *more, "same"])
 
-    return sample.mapInArrow(whole, "text string, toxic int, same long").groupBy("same", "toxic").agg(F.min("text").alias("text")).select("text", "toxic")
+    kept = sample.mapInArrow(whole, "text string, toxic int, " + "lang string, " * len(more) + "same long")
+    return kept.groupBy("same", "toxic").agg(*(F.min(c).alias(c) for c in ["text", *more])).select("text", "toxic", *more)
 
 
 def learn(docs: DataFrame, labels: DataFrame, terms: list[str] = TERMS, toxic: int = TRAIN_TOXIC, clean: int = TRAIN_CLEAN) -> Automaton:
@@ -198,62 +200,126 @@ def learn(docs: DataFrame, labels: DataFrame, terms: list[str] = TERMS, toxic: i
 
     chosen = F.broadcast(least(1, toxic).union(least(0, clean)))
     widest = Automaton(list(terms))
-
-    sample = materialize(distinct(texts(docs).join(chosen, "doc_id")), "sample")
-    sizes = {r[0]: r[1] for r in sample.groupBy("toxic").count().collect()}
-    n_toxic, n_clean = sizes.get(1, 0), sizes.get(0, 0)
+    lang = F.coalesce(F.col("lang").cast("string"), F.lit("")) if "lang" in docs.columns else F.lit("")
+    sample = materialize(distinct(texts(docs, lang.alias("lang")).join(chosen, "doc_id")), "sample")
+    sizes = {(r.lang, r.toxic): r["count"] for r in sample.groupBy("lang", "toxic").count().collect()}
+    n_toxic, n_clean = (sum(n for (_, which), n in sizes.items() if which == label) for label in (1, 0))
     if not n_toxic or not n_clean:
         return widest
 
     def count(batches):
-        """By prefix: toxic and other documents that hold it. By term and edits (kind -1 - edits): the same."""
+        """By language and word (kind 0) or prefix (kind: its length): toxic and other documents that hold it. By term and edits (kind -1 - edits): the same."""
         for batch in batches:
             for part in slices(batch):
                 w = Words(part.column("text"))
                 label = part.column("toxic").to_numpy().astype(bool)
+                names, of = np.unique(np.array(part.column("lang").to_pylist(), object).astype(str), return_inverse=True)
                 known, states = widest.match(w.bytes, w.starts, w.ends) if len(w.starts) else (np.empty(0, np.int64), np.empty(0, np.int64))
                 fresh = np.ones(len(w.starts), bool)
                 fresh[known] = False
-                for kind, doc, key in [
-                    *((n, w.doc[i], w.span(w.starts[i], w.starts[i] + n)) for n in STEMS for i in [np.flatnonzero(fresh & (w.ends - w.starts > n))]),
-                    *((-1 - e, w.doc[known[i]], widest.term[states[i]].astype(np.uint64)) for e in (0, 1, 2) for i in [np.flatnonzero(widest.edits[states] == e)]),
-                ]:
-                    _, i = np.unique(mix(key) ^ mix(doc.astype(np.uint64)), return_index=True)
-                    keys, at = np.unique(key[i], return_inverse=True)
-                    bad = label[doc[i]]
-                    yield pa.RecordBatch.from_arrays([
-                        pa.array(np.full(len(keys), kind, np.int32)), pa.array(keys.view(np.int64)),
-                        pa.array(np.bincount(at[bad], minlength=len(keys))), pa.array(np.bincount(at[~bad], minlength=len(keys))),
-                    ], ["kind", "key", "t", "c"])
-
-    counts = sample.mapInArrow(count, "kind int, key long, t long, c long").groupBy("kind", "key").agg(F.sum("t").alias("t"), F.sum("c").alias("c"))
-    # t toxic documents and no others have the chance (toxic share) ** t; about 1e5 prefixes are tried.
-    need = log(1e5 / 0.01) / log((n_toxic + n_clean) / n_toxic)
-    rows = counts.where((F.col("kind") < -1) | (F.col("kind") > 0) & (F.col("t") >= need) & (F.col("c") <= PURITY * F.col("t"))).collect()
-    edits = {}
+                for kind, i, key in _keys(w, fresh):
+                    yield from tally(kind, w.doc[i], key, label, names, of)
+                for e in (0, 1, 2):
+                    i = np.flatnonzero(widest.edits[states] == e)
+                    yield from tally(-1 - e, w.doc[known[i]], widest.term[states[i]].astype(np.uint64), label, names, of)
+
+    def tally(kind, doc, key, label, names, of):
+        _, i = np.unique(mix(key) ^ mix(doc.astype(np.uint64)), return_index=True)
+        for n, name in enumerate(names):
+            mine = i[of[doc[i]] == n]
+            keys, at = np.unique(key[mine], return_inverse=True)
+            bad = label[doc[mine]]
+            yield pa.RecordBatch.from_arrays([
+                pa.array([name] * len(keys), pa.string()), pa.array(np.full(len(keys), kind, np.int32)), pa.array(keys.view(np.int64)),
+                pa.array(np.bincount(at[bad], minlength=len(keys))), pa.array(np.bincount(at[~bad], minlength=len(keys))),
+            ], ["lang", "kind", "key", "t", "c"])
+
+    counts = sample.mapInArrow(count, "lang string, kind int, key long, t long, c long").groupBy("lang", "kind", "key").agg(F.sum("t").alias("t"), F.sum("c").alias("c"))
+    every = Window.partitionBy("kind", "key")
+    counts = counts.withColumns({"all_t": F.sum("t").over(every), "all_c": F.sum("c").over(every)})
+    # What can't pass in any language stays there: marked() asks for at least these odds.
+    rows = counts.where((F.col("kind") < 0) | (F.col("t") + 0.5 >= ODDS * (F.col("c") + 0.5)) & (F.col("all_t") + 0.5 >= ODDS * (F.col("all_c") + 0.5)) & (F.col("t") > 2)).collect()
+    edits, passed = {}, {}
     for r in rows:
-        if r.kind < 0 and r.c * n_toxic > 0.1 * max(1, r.t) * n_clean:
-            edits[terms[r.key]] = min(edits.get(terms[r.key], 9), -2 - r.kind)
-    wanted = np.sort(np.array([r.key for r in rows if r.kind > 0], np.int64).view(np.uint64))
-
-    def endings(batches):
+        if r.kind < -1:
+            if r.all_c * n_toxic > 0.1 * max(1, r.all_t) * n_clean:
+                edits[terms[r.key]] = min(edits.get(terms[r.key], 9), -2 - r.kind)
+        elif r.kind >= 0 and marked(r.t, r.c, sizes.get((r.lang, 1), 0), sizes.get((r.lang, 0), 0)):
+            passed[r.kind, r.key] = r.all_t
+    wanted = defaultdict(list)
+    for kind, key in passed:
+        wanted[kind].append(key)
+    wanted = {kind: np.sort(np.array(keys, np.int64).view(np.uint64)) for kind, keys in wanted.items()}
+
+    def spelled(batches):
         for batch in batches:
             for part in slices(batch):
                 w = Words(part.column("text"))
-                raw, out = w.bytes.tobytes(), set()
-                for n in STEMS:
-                    i = np.flatnonzero(w.ends - w.starts > n)
-                    hit = i[np.isin(w.span(w.starts[i], w.starts[i] + n), wanted)]
-                    out |= {(raw[a : a + n], raw[a:b]) for a, b in zip(w.starts[hit].tolist(), w.ends[hit].tolist())}
-                yield pa.RecordBatch.from_arrays([pa.array([x for x, _ in out], pa.binary()), pa.array([y for _, y in out], pa.binary())], ["stem", "word"])
-
-    stems: list[bytes] = []
-    if len(wanted):
-        found = sample.where("toxic = 1").mapInArrow(endings, "stem binary, word binary").distinct().groupBy("stem").count().where(F.col("count") >= ENDINGS)
-        for stem in sorted((bytes(r[0]) for r in found.collect()), key=lambda x: (len(x), x)):
-            if not any(stem.startswith(x) for x in stems):
-                stems.append(stem)
-    return Automaton(list(terms), stems, edits)
+                raw, out = w.bytes.tobytes(), {}
+                for kind, i, key in _keys(w, np.ones(len(w.starts), bool)):
+                    if kind in wanted:
+                        hit = np.isin(key, wanted[kind])
+                        for k, h in zip(i[hit].tolist(), key[hit].view(np.int64).tolist()):
+                            out[kind, h] = raw[w.starts[k] : w.starts[k] + kind if kind else w.ends[k]]
+                yield pa.RecordBatch.from_arrays([pa.array([k for k, _ in out], pa.int32()), pa.array([h for _, h in out], pa.int64()), pa.array(list(out.values()), pa.binary())], ["kind", "key", "word"])
+
+    stems, words = [], []
+    if wanted:
+        found = sample.where("toxic = 1").mapInArrow(spelled, "kind int, key long, word binary").distinct().collect()
+        stems, words = fewest({(bytes(r.word), r.kind > 0): passed[r.kind, r.key] for r in found})
+    return Automaton(list(terms), stems, edits, words)
+
+
+def _keys(w: Words, fresh: np.ndarray):
+    """(kind, words, their hashes): whole words (kind 0) and prefixes of at least ``LEAST`` bytes (kind: the length) of longer ones."""
+    size = w.ends - w.starts
+    i = np.flatnonzero(fresh & (size >= LEAST))
+    yield 0, i, w.hash[i]
+    n = LEAST
+    while len(i := i[size[i] > n]):
+        yield n, i, w.span(w.starts[i], w.starts[i] + n)
+        n += 1
+
+
+def marked(t: int, c: int, n_toxic: int, n_clean: int) -> bool:
+    """Whether what t of n_toxic toxic and c of n_clean other documents (of a language) hold tells toxic ones.
+
+    The smoothed log-odds that its holder is toxic, less their standard error, must reach ``ODDS``; and a share of t in t + c
+    must be beyond chance (Chernoff's bound, for ``TRIED`` words and prefixes).
+    """
+    if not t or not n_toxic:
+        return False
+    if log((t + 0.5) / (c + 0.5)) - sqrt(1 / (t + 0.5) + 1 / (c + 0.5)) < log(ODDS):
+        return False
+    share, prior = t / (t + c), (n_toxic + 0.5) / (n_toxic + n_clean + 1)
+    if share <= prior:
+        return False
+    return t * log(share / prior) + (c * log((1 - share) / (1 - prior)) if c else 0) >= log(TRIED / 0.01)
+
+
+def fewest(passed: dict[tuple[bytes, bool], int]) -> tuple[list[bytes], list[bytes]]:
+    """(stems, words) that cover ``passed``: toxic documents by (spelling, whether it is a prefix).
+
+    A prefix whose documents all hold one longer spelling stands for this, so one word isn't taken for a stem.
+    """
+    stems, words = [], []
+    for (x, prefix), t in sorted(passed.items(), key=lambda p: (len(p[0][0]), not p[0][1], p[0][0])):
+        if x in words or any(x.startswith(s) for s in stems):
+            continue
+        longer = [(y, p) for (y, p), n in passed.items() if n == t and y.startswith(x)] if prefix else [(x, False)]
+        y, p = max(longer, key=lambda o: (len(o[0]), not o[1]))
+        (stems if p else words).append(y)
+    return stems, [x for x in dict.fromkeys(words) if not any(x.startswith(s) for s in stems)]
+
+
+def held_out(docs: DataFrame, labels: DataFrame, context: int = CONTEXT, threshold: float = THRESHOLD) -> DataFrame:
+    """lang, toxic (the label), n and n_found by language: learnt from one half of the labelled documents, applied to the other."""
+    half = F.pmod(F.xxhash64(F.col("doc_id").cast("long"), F.lit("half")), F.lit(2)) == 1
+    automaton = learn(docs, labels.where(~half))
+    rest = labels.where(half & F.col("toxic").isNotNull()).groupBy("doc_id").agg(F.max("toxic").alias("label"))
+    lang = F.col("lang") if "lang" in docs.columns else F.lit(None).cast("string")
+    found = scan(docs, automaton, context, threshold).where("toxic").select("doc_id", F.lit(1).alias("found")).distinct()
+    return docs.select("doc_id", lang.alias("lang")).join(rest, "doc_id").join(found, "doc_id", "left").groupBy("lang", F.col("label").alias("toxic")).agg(F.count("*").alias("n"), F.count("found").alias("n_found"))
 
 
 def scan(docs: DataFrame, automaton: Automaton, context: int = CONTEXT, threshold: float = THRESHOLD) -> DataFrame:

@@ -109,6 +109,20 @@ def test_toxicity_sample_keeps_all_but_copies(spark):
     assert len(got) == 65 and sum(t for _, t in got) == 32
 
 
+def test_toxicity_learns_by_language(spark):
+    """A stem of three endings, with a clean document that holds it, and a whole word; a stem that is clean in another language isn't learnt."""
+    rows = [(i, f"le réeuxo{'abc'[i % 3]} texte n{i}", "fr", 1) for i in range(40)] + [(i, f"das schlimmwort text n{i}", "de", 1) for i in range(100, 130)]
+    rows += [(i, f"gutwort{'xyz'[i % 3]} text n{i}", "de", 1) for i in range(140, 170)] + [(i, f"gutwort{'xyz'[i % 3]} text n{i}", "es", 0) for i in range(200, 260)]
+    rows += [(i, f"le texte n{i}", "fr", 0) for i in range(300, 500)] + [(i, f"das schlimmwortige text n{i}", "de", 0) for i in range(500, 700)] + [(700, "un réeuxoa", "fr", 0)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, toxic int")
+    automaton = toxicity.learn(docs, docs)
+    assert set(automaton.terms) - set(toxicity.TERMS) == {"réeuxo*", "schlimmwort"}
+    found = {r.doc_id for r in toxicity.scan(docs, automaton).where("toxic").collect()}
+    assert found == {*range(40), *range(100, 130), 700}
+    got = {(r.lang, r.toxic): (r.n, r.n_found) for r in toxicity.held_out(docs, docs).collect()}
+    assert got["fr", 1][1] == got["fr", 1][0] > 0 == got["es", 0][1] and got["fr", 0][0] > 50
+
+
 def test_probability_jaccard_by_definition():
     rng = np.random.default_rng(2)
     for _ in range(20):
