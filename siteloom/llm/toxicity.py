@@ -1,17 +1,18 @@
 """Toxicity: Levenshtein automata intersected with a lexicon trie, and context windows that tell quotation from abuse.
 
-The lexicon is a trie of insults (``TERMS``) and of words and stems learnt from labelled rows. The automaton of all words within
-``allowed(term)`` edits of a term (a word of any ending for a stem) is intersected with the trie and determinised once,
-on the driver; on the executors it runs over all words of a batch at a time, one character a step. A misspelling keeps
-the first letter, and digits count as the letters that they resemble.
+The lexicon is a trie of insults (``TERMS``) and of words and stems learnt from labelled rows. The automata of all words within
+``allowed(term)`` edits of a term (a word of any ending for a stem, which may have one) are intersected with the trie and
+determinised once, on the driver; on the executors they run over all words of a batch at a time, one character a step.
+Edits are at any place, a swap of neighbours is one, and digits count as the letters that they resemble.
 
-A match scores 1, less 0.2 an edit; in its window of ``CONTEXT`` words an address (you, ...) adds 0.2, quotation marks
+A match scores 1, less 0.15 an edit; in its window of ``CONTEXT`` words an address (you, ...) adds 0.2, quotation marks
 around it take 0.3 and a reporting verb takes 0.3. A document is toxic if a match scores ``THRESHOLD`` or more.
 
 Words and stems (prefixes of any length) are learnt from at most ``TRAIN_TOXIC`` toxic and ``TRAIN_CLEAN`` other labelled
 rows (those of least hash): those that pass ``marked`` in a language and whose odds over all languages are as good.
-``held_out`` gives the recall by language. A term whose misspellings the sample's other documents hold (as a common word may be one) is
-allowed fewer edits. Copies (the same words in the same order) count once.
+``held_out`` gives the recall by language. A misspelling that is a common word (``LOOKALIKES``), or that the
+sample's other documents hold at odds worse than ``ODDS``, is no match, while the term's other misspellings stay. Of
+what is learnt, misspellings that the sample doesn't hold are matches only if those that it holds once are toxic at these odds. Copies (the same words in the same order) count once.
 
 Defined results: null and empty texts, and texts without a match, aren't toxic; repeated rows are scored alike; rows
 without a doc_id are dropped by ``scan`` and kept by ``keep_clean``; without labels the lexicon is ``TERMS``; an empty
@@ -21,7 +22,7 @@ table gives an empty result; other columns are ignored or passed through.
 from __future__ import annotations
 
 import re
-from collections import defaultdict, deque
+from collections import Counter, defaultdict, deque
 from math import log, sqrt
 
 import numpy as np
@@ -39,6 +40,16 @@ TERMS = (
 TRAIN_TOXIC, TRAIN_CLEAN = 3000, 9000
 #: Odds that a learnt word's holder is toxic; spellings that are tried, for chance; bytes of the shortest.
 ODDS, TRIED, LEAST = 3, 1e5, 4
+#: Words of one part of the automaton.
+PART = 16
+#: Common words that are within the edits of a term.
+LOOKALIKES = frozenset(
+    b"adore anker apathetic banker batch birch blown boron brash bucking butch chore clod closer closers cown crash cretan crown dastard "
+    b"degenerated degenerates degenerative ditch ducking filth flown hanker hitch horde idiom idioms itch laser lasers loner loners lose "
+    b"loses losses lover lovers lower lowers luring maroon moon moran morn mucking parasites parasitic pitch poser rash regard regarded "
+    b"regards regenerate regenerated scam scud shore slum stash stitch sucking sum tanker thrash trace trashy tucking user vermins wander "
+    b"where whole whorl whose witch wore worthiness".split()
+)
 CONTEXT, THRESHOLD = 6, 0.65
 ADDRESS = re.compile(rb"\b(?:you|your|youre|u|ur|du|dich|dein|tu|toi|vous|usted|eres)\b")
 REPORT = re.compile(rb"\b(?:said|says|say|wrote|writes|called|calls|quote|quoted|quoting|word|term|insult|sagte|schrieb|dit|dijo|palabra|wort|mot)\b")
@@ -47,24 +58,30 @@ QUOTE = re.compile(rb'"|\xe2\x80[\x9c-\x9f]|\xc2[\xab\xbb]')
 
 def allowed(term: str) -> int:
     """Edits that a misspelling of ``term`` may have."""
-    return 0 if len(term) < 5 else 1 if len(term) < 9 else 2
+    return 1 if len(term) < 9 else 2
 
 
-class Automaton:
-    """Deterministic: ``step[state, symbol]``, state 0 accepts nothing any more, state 1 is the start."""
+class _Part:
+    """The determinised automaton of some words: ``step[state, symbol]``, state 0 accepts nothing any more, state 1 is the start.
+
+    A state is a set of (node of the trie, edits so far); (node, symbol) waits for the second letter of a swap.
+    """
 
-    def __init__(self, terms: list[str], stems: list[bytes] = (), edits: dict[str, int] | None = None, learnt: list[bytes] = ()):
-        words = [(t.encode(), min(allowed(t), (edits or {}).get(t, 9)), False) for t in terms] + [(s, 0, True) for s in stems] + [(x, 0, False) for x in learnt]
-        letters = sorted({c for w, *_ in words for c in w})
+    def __init__(self, words: list[tuple[int, bytes, int]], stem: bool):
+        self.stem = stem
+        self.shortest = min(len(w) - d for _, w, d in words)
+        self.longest = max(len(w) + d for _, w, d in words)
+        letters = sorted({c for _, w, _ in words for c in w})
         self.symbol = np.zeros(256, np.int64)
         self.symbol[letters] = np.arange(1, len(letters) + 1)
         for digit, letter in zip(b"0134570", b"oieastg"):
             if self.symbol[digit] == 0 and letter in letters:
                 self.symbol[digit] = self.symbol[letter]
         children: list[dict[int, int]] = [{}]
-        most, end, stem = [0], [-1], [False]
-        for i, (w, d, is_stem) in enumerate(words):
+        most, end, own = [0], [-1], {}
+        for i, w, d in words:
             node = 0
+            most[0] = max(most[0], d)
             for c in w:
                 c = int(self.symbol[c])
                 if c not in children[node]:
@@ -72,51 +89,46 @@ class Automaton:
                     children.append({})
                     most.append(0)
                     end.append(-1)
-                    stem.append(False)
                 node = children[node][c]
                 most[node] = max(most[node], d)
             if end[node] < 0:
-                end[node] = i
-            stem[node] |= is_stem
-        own = {end[n]: words[end[n]][1] for n in range(len(end)) if end[n] >= 0}
+                end[node], own[node] = i, d
+
+        def put(best: dict, node, e: int) -> bool:
+            ok = e <= most[node if isinstance(node, int) else node[0]] and best.get(node, 9) > e
+            if ok:
+                best[node] = e
+            return ok
 
-        def closed(raw: dict[int, int]) -> frozenset:
+        def closed(best: dict) -> frozenset:
             """With the nodes that are reached by leaving out characters of the term."""
-            best, todo = dict(raw), list(raw.items())
+            todo = [(node, e) for node, e in best.items() if isinstance(node, int)]
             while todo:
                 node, e = todo.pop()
-                for child in children[node].values():
-                    if e + 1 <= most[child] and best.get(child, 9) > e + 1:
-                        best[child] = e + 1
-                        todo.append((child, e + 1))
+                todo += [(child, e + 1) for child in children[node].values() if put(best, child, e + 1)]
             return frozenset(best.items())
 
         def after(state: frozenset, c: int) -> frozenset:
-            best: dict[int, int] = {}
-
-            def put(node: int, e: int) -> None:
-                if e <= most[node] and best.get(node, 9) > e:
-                    best[node] = e
-
+            best: dict = {}
             for node, e in state:
-                put(node, e + 1)  # a character too many
+                if not isinstance(node, int):
+                    if node[1] == c:
+                        put(best, node[0], e)
+                    continue
+                put(best, node, e + 1)  # a character too many
                 for s, child in children[node].items():
-                    put(child, e if s == c else e + 1)
+                    put(best, child, e if s == c else e + 1)
+                    if s != c and c in children[child]:
+                        put(best, (children[child][c], s), e + 1)
             return closed(best)
 
-        n = len(letters) + 1
-        first = frozenset({("start", 0)})
-        ids, rows, queue = {frozenset(): 0, first: 1}, {0: [0] * n}, deque([first])
+        first = closed({0: 0})
+        ids, rows, queue = {frozenset(): 0, first: 1}, {0: [0] * (len(letters) + 1)}, deque([first])
         while queue:
             state = queue.popleft()
             row = []
-            for c in range(n):
-                if state is first:
-                    child = children[0].get(c)
-                    to = closed({child: 0}) if child else frozenset()
-                else:
-                    held = next((node for node, e in state if e == 0 and stem[node]), None)
-                    to = state if held is not None else after(state, c)
+            for c in range(len(letters) + 1):
+                to = after(state, c)
                 if to not in ids:
                     ids[to] = len(ids)
                     queue.append(to)
@@ -125,36 +137,79 @@ class Automaton:
         self.step = np.array([rows[i] for i in range(len(ids))], np.int32)
         self.term, self.edits = np.full(len(ids), -1, np.int32), np.zeros(len(ids), np.int32)
         for state, i in ids.items():
-            fits = [(e, end[node]) for node, e in state if node != "start" and end[node] >= 0 and e <= own[end[node]]]
+            fits = [(e, end[node]) for node, e in state if isinstance(node, int) and end[node] >= 0 and e <= own[node]]
             if fits:
                 self.edits[i], self.term[i] = min(fits)
+
+    def run(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(word, end of what is accepted, state): at the end of a word or, for stems, wherever one is accepted."""
+        size = ends - starts
+        live = np.flatnonzero((size >= self.shortest) if self.stem else (size >= self.shortest) & (size <= self.longest))
+        state, at, done = np.ones(len(live), np.int32), starts[live], []
+        while len(live):
+            state = self.step[state, self.symbol[data[at]]]
+            at = at + 1
+            ok = self.term[state] >= 0
+            if not self.stem:
+                ok &= at == ends[live]
+            if ok.any():
+                done.append((live[ok], at[ok], state[ok]))
+            on = (state > 0) & (at < ends[live])
+            live, state, at = live[on], state[on], at[on]
+        return tuple(np.concatenate(x) for x in zip(*done)) if done else (np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, np.int32))
+
+
+class Automaton:
+    """Of terms, stems and learnt words, in parts by their length. States count on from part to part; ``term`` and ``edits`` are those of a state.
+
+    An edit is a letter too many, too few or another one, or two neighbours swapped, at any place. A misspelling (of a stem:
+    the part of the word that is accepted) that is in ``excluded`` is no match; of the terms in ``doubtful``, only those in
+    ``seen`` are.
+    """
+
+    def __init__(self, terms: list[str], stems: list[bytes] = (), learnt: list[bytes] = (), excluded: frozenset[bytes] = frozenset(), doubtful: frozenset[int] = frozenset(), seen: frozenset[bytes] = frozenset()):
+        words = [(t.encode(), allowed(t), False) for t in terms] + [(s, 1, True) for s in stems] + [(x, allowed(x), False) for x in learnt]
         self.terms = [w.decode(errors="replace") + "*" * is_stem for w, _, is_stem in words]
+        self.excluded, self.seen = excluded, seen
+        self.doubtful = np.isin(np.arange(len(words)), list(doubtful))
+        groups = defaultdict(list)
+        for i, (w, d, is_stem) in enumerate(words):
+            groups[is_stem, len(w)].append((i, w, d))
+        self.parts = [_Part(g[i : i + PART], is_stem) for (is_stem, _), g in sorted(groups.items()) for i in range(0, len(g), PART)]
+        self.base = np.cumsum([0] + [len(p.step) for p in self.parts])
+        self.term = np.concatenate([p.term for p in self.parts] or [np.empty(0, np.int32)])
+        self.edits = np.concatenate([p.edits for p in self.parts] or [np.empty(0, np.int32)])
+
+    def accepted(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(word, end, state), the best of a word first; words that are spelt as in the lexicon have no others."""
+        found = [(w, at, s + b) for p, b in zip(self.parts, self.base) for w, at, s in [p.run(data, starts, ends)]]
+        if not found:
+            return np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, np.int64)
+        w, at, s = (np.concatenate(x) for x in zip(*found))
+        order = np.lexsort((at, self.term[s], self.edits[s], w))
+        w, at, s = w[order], at[order], s[order]
+        exact = np.zeros(len(starts), bool)
+        exact[w[self.edits[s] == 0]] = True
+        keep = ~exact[w] | (self.edits[s] == 0)
+        return w[keep], at[keep], s[keep]
 
     def match(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Words that are accepted, and their states."""
-        state = self.step[1, self.symbol[data[starts]]]
-        live = np.flatnonzero(state)
-        state, at = state[live], starts[live] + 1
-        done_w, done_s = [], []
-        while len(live):
-            over = at >= ends[live]
-            if over.any():
-                done_w.append(live[over])
-                done_s.append(state[over])
-                live, state, at = live[~over], state[~over], at[~over]
-            state = self.step[state, self.symbol[data[at]]]
-            on = state > 0
-            live, state, at = live[on], state[on], at[on] + 1
-        w = np.concatenate(done_w) if done_w else np.empty(0, np.int64)
-        s = np.concatenate(done_s) if done_s else np.empty(0, np.int32)
-        ok = self.term[s] >= 0
-        order = np.argsort(w[ok], kind="stable")
-        return w[ok][order], s[ok][order]
+        w, at, s = self.accepted(data, starts, ends)
+        if len(w):
+            raw, fine = data.tobytes(), self.edits[s] == 0
+            unsure = self.doubtful[self.term[s]]
+            for i in np.flatnonzero(~fine).tolist():
+                x = raw[starts[w[i]] : at[i]]
+                fine[i] = x not in self.excluded and (not unsure[i] or x in self.seen)
+            w, s = w[fine], s[fine]
+        w, first = np.unique(w, return_index=True)
+        return w, s[first]
 
 
 def score(edits: int, before: bytes, after: bytes) -> float:
     """Of one match, from the (lower-case) text of its window before and after it."""
-    s = 1.0 - 0.2 * edits
+    s = 1.0 - 0.15 * edits
     if ADDRESS.search(before) or ADDRESS.search(after):
         s += 0.2
     if len(QUOTE.findall(before)) % 2 and QUOTE.search(after):
@@ -199,29 +254,26 @@ def learn(docs: DataFrame, labels: DataFrame, terms: list[str] = TERMS, toxic: i
         return sure.where(F.col("toxic") == which).orderBy(F.xxhash64("doc_id"), "doc_id").limit(n)
 
     chosen = F.broadcast(least(1, toxic).union(least(0, clean)))
-    widest = Automaton(list(terms))
+    plain = Automaton(list(terms), excluded=LOOKALIKES)
     lang = F.coalesce(F.col("lang").cast("string"), F.lit("")) if "lang" in docs.columns else F.lit("")
     sample = materialize(distinct(texts(docs, lang.alias("lang")).join(chosen, "doc_id")), "sample")
     sizes = {(r.lang, r.toxic): r["count"] for r in sample.groupBy("lang", "toxic").count().collect()}
     n_toxic, n_clean = (sum(n for (_, which), n in sizes.items() if which == label) for label in (1, 0))
     if not n_toxic or not n_clean:
-        return widest
+        return plain
 
     def count(batches):
-        """By language and word (kind 0) or prefix (kind: its length): toxic and other documents that hold it. By term and edits (kind -1 - edits): the same."""
+        """By language and word (kind 0) or prefix (kind: its length): toxic and other documents that hold it."""
         for batch in batches:
             for part in slices(batch):
                 w = Words(part.column("text"))
                 label = part.column("toxic").to_numpy().astype(bool)
                 names, of = np.unique(np.array(part.column("lang").to_pylist(), object).astype(str), return_inverse=True)
-                known, states = widest.match(w.bytes, w.starts, w.ends) if len(w.starts) else (np.empty(0, np.int64), np.empty(0, np.int64))
+                known, states = plain.match(w.bytes, w.starts, w.ends)
                 fresh = np.ones(len(w.starts), bool)
-                fresh[known] = False
+                fresh[known[plain.edits[states] == 0]] = False
                 for kind, i, key in _keys(w, fresh):
                     yield from tally(kind, w.doc[i], key, label, names, of)
-                for e in (0, 1, 2):
-                    i = np.flatnonzero(widest.edits[states] == e)
-                    yield from tally(-1 - e, w.doc[known[i]], widest.term[states[i]].astype(np.uint64), label, names, of)
 
     def tally(kind, doc, key, label, names, of):
         _, i = np.unique(mix(key) ^ mix(doc.astype(np.uint64)), return_index=True)
@@ -238,13 +290,10 @@ def learn(docs: DataFrame, labels: DataFrame, terms: list[str] = TERMS, toxic: i
     every = Window.partitionBy("kind", "key")
     counts = counts.withColumns({"all_t": F.sum("t").over(every), "all_c": F.sum("c").over(every)})
     # What can't pass in any language stays there: marked() asks for at least these odds.
-    rows = counts.where((F.col("kind") < 0) | (F.col("t") + 0.5 >= ODDS * (F.col("c") + 0.5)) & (F.col("all_t") + 0.5 >= ODDS * (F.col("all_c") + 0.5)) & (F.col("t") > 2)).collect()
-    edits, passed = {}, {}
+    rows = counts.where((F.col("t") + 0.5 >= ODDS * (F.col("c") + 0.5)) & (F.col("all_t") + 0.5 >= ODDS * (F.col("all_c") + 0.5)) & (F.col("t") > 2)).collect()
+    passed = {}
     for r in rows:
-        if r.kind < -1:
-            if r.all_c * n_toxic > 0.1 * max(1, r.all_t) * n_clean:
-                edits[terms[r.key]] = min(edits.get(terms[r.key], 9), -2 - r.kind)
-        elif r.kind >= 0 and marked(r.t, r.c, sizes.get((r.lang, 1), 0), sizes.get((r.lang, 0), 0)):
+        if marked(r.t, r.c, sizes.get((r.lang, 1), 0), sizes.get((r.lang, 0), 0)):
             passed[r.kind, r.key] = r.all_t
     wanted = defaultdict(list)
     for kind, key in passed:
@@ -267,7 +316,33 @@ def learn(docs: DataFrame, labels: DataFrame, terms: list[str] = TERMS, toxic: i
     if wanted:
         found = sample.where("toxic = 1").mapInArrow(spelled, "kind int, key long, word binary").distinct().collect()
         stems, words = fewest({(bytes(r.word), r.kind > 0): passed[r.kind, r.key] for r in found})
-    return Automaton(list(terms), stems, edits, words)
+    widest = Automaton(list(terms), stems, words)
+
+    def misspelt(batches):
+        """By misspelling that the automaton accepts, and its term: toxic and other documents that hold it."""
+        for batch in batches:
+            for part in slices(batch):
+                w = Words(part.column("text"), hashed=False)
+                label, raw = part.column("toxic").to_pylist(), w.bytes.tobytes()
+                k, at, states = widest.accepted(w.bytes, w.starts, w.ends)
+                off = np.flatnonzero(widest.edits[states] > 0)
+                held = {(d, raw[a:b], t) for d, a, b, t in zip(*(x[off].tolist() for x in (w.doc[k], w.starts[k], at, widest.term[states])))}
+                bad, fine = Counter((x, t) for d, x, t in held if label[d]), Counter((x, t) for d, x, t in held if not label[d])
+                every = sorted(bad.keys() | fine.keys())
+                yield pa.RecordBatch.from_arrays([
+                    pa.array([x for x, _ in every], pa.binary()), pa.array([t for _, t in every], pa.int32()),
+                    pa.array([bad[x] for x in every], pa.int64()), pa.array([fine[x] for x in every], pa.int64()),
+                ], ["word", "term", "t", "c"])
+
+    found = sample.mapInArrow(misspelt, "word binary, term int, t long, c long").groupBy("word", "term").agg(F.sum("t").alias("t"), F.sum("c").alias("c"))
+    found = materialize(found, "misspelt")
+    common = {bytes(r.word) for r in found.where((F.col("c") > 0) & (F.col("t") + 0.5 < ODDS * (F.col("c") + 0.5))).select("word").collect()}
+    # What is near a learnt spelling may be common. Misspellings that the sample has once stand for those that it hasn't (Good and Turing).
+    learnt = F.col("term") >= len(terms)
+    once = {r.term: (r.t, r.c) for r in found.where(learnt & (F.col("t") + F.col("c") == 1)).groupBy("term").agg(F.sum("t").alias("t"), F.sum("c").alias("c")).collect()}
+    doubtful = frozenset(len(terms) + i for i in range(len(stems) + len(words)) for t, c in [once.get(len(terms) + i, (0, 0))] if t + 0.5 < ODDS * (c + 0.5))
+    seen = found.where(learnt & (F.col("t") - 0.5 >= ODDS * (F.col("c") + 0.5))).select("word").collect()  # it counts without its first document
+    return Automaton(list(terms), stems, words, LOOKALIKES | common, doubtful, frozenset(bytes(r.word) for r in seen))
 
 
 def _keys(w: Words, fresh: np.ndarray):

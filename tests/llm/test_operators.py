@@ -123,6 +123,22 @@ def test_toxicity_learns_by_language(spark):
     assert got["fr", 1][1] == got["fr", 1][0] > 0 == got["es", 0][1] and got["fr", 0][0] > 50
 
 
+def test_toxicity_misspellings(spark):
+    """Edits at any place, swaps as one edit, short terms, stems, two edits alone; lookalikes go one by one."""
+    words = "diot xidiot tsupid idoit pathteic worhtless disgustnig scmu scumm".split()
+    docs = spark.createDataFrame([(i, f"so a {w} here") for i, w in enumerate(words)] + [(90, "where the losers crown"), (91, "ein shclimmes ding"), (92, "ein schlimmes")], "doc_id long, text string")
+    automaton = toxicity.Automaton(list(toxicity.TERMS), [b"schlimm"], excluded=toxicity.LOOKALIKES)
+    got = {r.doc_id: (r.toxic, r.terms) for r in toxicity.scan(docs, automaton).collect()}
+    assert [got[i] for i in range(len(words))] == [(True, [t]) for t in "idiot idiot stupid idiot pathetic worthless disgusting scum scum".split()]
+    assert got[90] == (True, ["losers"]) and got[91] == got[92] == (True, ["schlimm*"])
+    # 'stupit' is a word of other documents; 'stupd' is still a misspelling.
+    rows = [(i, f"stupid{i} stupid n{i}", 1) for i in range(20)] + [(i, f"stupit text n{i}", 0) for i in range(30, 60)]
+    table = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    learnt = toxicity.learn(table, table)
+    test = spark.createDataFrame([(1, "stupit"), (2, "stupd")], "doc_id long, text string")
+    assert [r.doc_id for r in toxicity.scan(test, learnt).collect()] == [2]
+
+
 def test_probability_jaccard_by_definition():
     rng = np.random.default_rng(2)
     for _ in range(20):
