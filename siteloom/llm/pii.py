@@ -5,7 +5,9 @@ without one has no feature in favour of any entity label and stays outside. Labe
 of a node and its two neighbours' shapes; chain edges between nodes at most ``REACH`` tokens apart; skip edges between
 distant tokens of the document that are the same, or similar (the same digits), whose labels should agree. Each
 token is linked with the one before of its kind, so n copies make n - 1 edges. Loopy max-product passing of messages
-in log space, damped, runs over all documents of a batch at once; each document's labels are then consistent.
+in log space, damped, runs over all documents of a batch at once until no message changes, so that evidence reaches every
+copy at any distance; messages that swing on loops are stopped after ``ROUNDS`` and two rounds
+a node of their part.
 
 The weights are trained here, piece by piece: nodes by multinomial logistic regression, edges by counts of label pairs.
 Labels for training come from strict patterns over at most ``TRAIN_DOCS`` documents that hold a node (those of least
@@ -30,6 +32,8 @@ from siteloom.llm.common import Words, lean, materialize, read, slices, texts
 
 LABELS = ("O", "EMAIL", "PHONE", "IP", "CARD", "SECRET")
 TRAIN_DOCS, REACH, ROUNDS, DAMPING = 2000, 2, 8, 0.3
+#: Change of a message that counts as none.
+SETTLED = 1e-6
 _NOISE = re.compile(r"^[\"'(\[{<,;:!?*#%$&|`]+|[\"')\]}>,;:.!?*#%$&|`]+$")
 _PART = re.compile(r"\(\d{3}\)")
 _SHAPE = re.compile(r"[A-Za-z]+|[0-9]+")
@@ -133,7 +137,7 @@ class Crf:
         return out
 
     def decode(self, unary: np.ndarray, chain: np.ndarray, skip: np.ndarray) -> np.ndarray:
-        """Labels of the nodes; chain and skip are edges (n x 2), the earlier node first. Max-product in rounds."""
+        """Labels of the nodes; chain and skip are edges (n x 2), the earlier node first. Max-product until it settles."""
         edges = np.concatenate((chain.reshape(-1, 2), skip.reshape(-1, 2))).astype(np.int64)
         if not len(edges):
             return unary.argmax(1)
@@ -143,12 +147,28 @@ class Crf:
         pair = np.concatenate((pair, pair.transpose(0, 2, 1)))
         back = np.roll(np.arange(len(source)), len(edges))
         message = np.zeros((len(source), len(LABELS)))
-        for _ in range(ROUNDS):
-            belief = unary.copy()
-            np.add.at(belief, target, message)
-            new = ((belief[source] - message[back])[:, :, None] + pair).max(1)
+        # News goes one edge a round. What stops changing drops out with all that waits for it; loops may swing for ever.
+        # Nodes in one run of overlapping edges hold a whole connected part.
+        over = np.zeros(len(unary) + 1, np.int64)
+        np.add.at(over, edges.min(1), 1)
+        np.add.at(over, edges.max(1), -1)
+        run = np.concatenate(([0], np.cumsum(np.cumsum(over)[: len(unary) - 1] == 0)))
+        most = ROUNDS + 2 * np.bincount(run)[run[source]]
+        live, rounds = np.arange(len(source)), 0
+        belief = unary.copy()
+        while len(live):
+            rounds += 1
+            new = ((belief[source[live]] - message[back[live]])[:, :, None] + pair[live]).max(1)
             new -= new.max(1, keepdims=True)
-            message = DAMPING * message + (1 - DAMPING) * new
+            change = (1 - DAMPING) * (new - message[live])
+            message[live] += change
+            np.add.at(belief, target[live], change)
+            moved = np.abs(change).max(1) > SETTLED
+            stirred = np.zeros(len(unary), bool)
+            stirred[target[live[moved]]] = True
+            again = stirred[source]
+            again[live[moved]] = True
+            live = np.flatnonzero(again & (rounds < most))
         belief = unary.copy()
         np.add.at(belief, target, message)
         return belief.argmax(1)

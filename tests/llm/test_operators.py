@@ -246,6 +246,17 @@ def test_decoding_a_chain_by_brute_force():
     assert tuple(crf.decode(unary, chain, skip)) == max(product(range(n), repeat=4), key=value)
 
 
+def test_decoding_reaches_every_copy():
+    """Evidence at one end of a chain of 60 copies decides them all, as the best labelling has it."""
+    n = len(pii.LABELS)
+    crf = pii.Crf({}, np.zeros((0, n)), np.zeros((n, n)), np.eye(n) * 4)
+    unary = np.zeros((60, n))
+    unary[:, 0] = 0.01
+    unary[0, 2] = 30
+    chain, skip = np.empty((0, 2), np.int64), np.array([(i, i + 1) for i in range(59)])
+    assert crf.decode(unary, chain, skip).tolist() == [2] * 60
+
+
 def test_curriculum(odd, empty):
     got = mixing.positions(odd).collect()
     assert {r.doc_id for r in got} == set(range(1, 11)) and {r.source for r in got} == {"", "web", "code"}
