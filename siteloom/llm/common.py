@@ -2,7 +2,7 @@
 
 * ``shared_dir`` / ``materialize`` cut lineage with Parquet written under the folder
   named by ``spark.checkpoint.dir``; nothing is kept on a single machine.
-* ``semi_filter`` keeps rows by id; it broadcasts the ids only behind a count of them.
+* ``is_small`` measures a table; only what it passes is broadcast, all else is joined by shuffles.
 * ``Words`` turns an Arrow string column into flat numpy arrays of words, so that the
   text operators work on whole batches without a Python loop over words.
 """
@@ -15,25 +15,40 @@ import uuid
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 U = np.uint64
-#: Ids that may be broadcast (8 bytes each, about 40 MB as a hash relation); beyond it a shuffle join is used.
-BROADCAST_IDS = 1_000_000
+#: Bytes of a table that may be broadcast, as ``is_small`` counts them; beyond it a shuffle join is used.
+BROADCAST_BYTES = 64_000_000
 #: Bytes of text that are turned into numpy arrays at once.
 SLICE_BYTES = 4_000_000
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The cluster's shared folder, from ``spark.checkpoint.dir``; a local one is set only where it is unset."""
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        base = spark.sparkContext.getCheckpointDir()
+    """A folder of this application in the cluster's shared one (``spark.checkpoint.dir``); it goes when the application ends.
+
+    A local folder is made only where none is set and everything runs in one process.
+    """
+    context = spark.sparkContext
+    base = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not base:
+        if not context.master.startswith("local") or context.master.startswith("local-cluster"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         base = "file://" + tempfile.mkdtemp(prefix="siteloom-")
-        spark.sparkContext.setCheckpointDir(base)
-    return base.rstrip("/")
+        context.setCheckpointDir(base)
+    folder = f"{base.rstrip('/')}/siteloom-{context.applicationId}"
+    if folder not in _ENDING:
+        path = context._jvm.org.apache.hadoop.fs.Path(folder)
+        system = path.getFileSystem(context._jsc.hadoopConfiguration())
+        system.mkdirs(path)
+        system.deleteOnExit(path)
+        _ENDING.add(folder)
+    return folder
+
+
+_ENDING: set[str] = set()
 
 
 def materialize(df: DataFrame, name: str) -> DataFrame:
@@ -44,13 +59,27 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def semi_filter(df: DataFrame, ids: DataFrame, key: str) -> DataFrame:
-    """``df`` joined with ``ids`` (one row a key). ``ids`` should be materialized: it is counted first.
+def _bytes(name: str, kind: T.DataType) -> Column:
+    column = F.col(f"`{name}`")
+    if isinstance(kind, (T.StringType, T.BinaryType)):
+        return F.coalesce(F.octet_length(column), F.lit(0)) + 16
+    if isinstance(kind, T.ArrayType):
+        each = len(kind.elementType.fields) * 8 + 24 if isinstance(kind.elementType, T.StructType) else 8
+        return F.coalesce(F.size(column), F.lit(0)) * each + 16
+    return F.lit(8)
 
-    Up to ``BROADCAST_IDS`` rows they are broadcast and ``df`` isn't shuffled; beyond it both sides are shuffled.
-    """
-    small = ids.count() <= BROADCAST_IDS
-    return df.join(F.broadcast(ids) if small else ids.hint("merge"), key, "inner")
+
+def is_small(df: DataFrame, limit: int = BROADCAST_BYTES) -> bool:
+    """Whether the rows of ``df`` (longs, strings and arrays of fixed-size parts; it should be materialized) are below ``limit`` bytes as a hash relation."""
+    width = F.lit(48)
+    for field in df.schema.fields:
+        width = width + _bytes(field.name, field.dataType)
+    return (df.agg(F.sum(width.cast("long"))).first()[0] or 0) <= limit
+
+
+def semi_filter(df: DataFrame, ids: DataFrame, key: str) -> DataFrame:
+    """``df`` joined with ``ids`` (one row a key, materialized): broadcast if it is small, else both sides are shuffled."""
+    return df.join(F.broadcast(ids) if is_small(ids) else ids.hint("merge"), key, "inner")
 
 
 #: Rows and bytes of an Arrow batch, set where the session has Spark's own: ten thousand long texts at once are too much.

@@ -16,13 +16,11 @@ empty table gives an empty result; other columns pass through ``mix``.
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siteloom.llm.common import BROADCAST_IDS, materialize, read
-from siteloom.llm.prefix import running_offsets, with_row, words_count
+from siteloom.llm.common import is_small, materialize, read
+from siteloom.llm.prefix import running_offsets, short_file, with_row, words_count
 
 #: Weights at t=1: this part of them is proportional to the root of a source's tokens, the rest to its tokens.
 FLATTEN = 0.5
@@ -31,16 +29,39 @@ SEED = "curriculum-1"
 EPSILON = 1e-6
 
 
-def tempered(tokens: dict[str, int], flatten: float = FLATTEN) -> dict[str, list[float]]:
-    """The default schedule, two knots: from the sources' own shares to flatter ones."""
-    total, roots = sum(tokens.values()), sum(math.sqrt(n) for n in tokens.values())
-    return {s: [n / total, (1 - flatten) * n / total + flatten * math.sqrt(n) / roots] for s, n in tokens.items()}
+def schedule(totals: DataFrame, weights: dict[str, list[float]] | None, knots: list[float]) -> tuple[DataFrame, float]:
+    """The plan, a row a source (source, _tokens, _demand, and _sums and _w by knot), and T. Only sums over all sources come to the driver.
+
+    Without own weights a source's go from its share of all tokens (t=0) to a flatter one (t=1).
+    """
+    every = totals.agg(F.sum("_tokens"), F.sum(F.sqrt("_tokens"))).first()
+    total, roots = float(every[0] or 1), float(every[1] or 1)
+    first = F.col("_tokens") / F.lit(total)
+    last = F.lit(1 - FLATTEN) * F.col("_tokens") / F.lit(total) + F.lit(FLATTEN) * F.sqrt("_tokens") / F.lit(roots)
+    line = F.array(*[first if t == 0 else last if t == 1 else first + (last - first) * F.lit(float(t)) for t in knots])
+    if weights:
+        given = totals.sparkSession.createDataFrame([(s, [float(x) for x in w]) for s, w in weights.items()], "source string, _given array<double>")
+        totals = totals.join(given, "source", "left")
+    plan = totals.withColumn("_w", F.coalesce("_given", line) if weights else line)
+    sums = plan.agg(*[F.sum(F.get("_w", F.lit(k))) for k in range(len(knots))]).first()
+    at = lambda k: F.get("_w", F.lit(k))
+    plan = plan.withColumn("_w", F.array(*[at(k) / F.lit(sums[k] or 1.0) for k in range(len(knots))]))
+    areas = [F.lit(float(knots[k + 1] - knots[k])) * (at(k) + at(k + 1)) / 2 for k in range(len(knots) - 1)]
+    up_to = [F.lit(0.0)]
+    for area in areas:
+        up_to.append(up_to[-1] + area)
+    plan = plan.withColumn("_area", up_to[-1])
+    found = plan.agg(F.min("_area").alias("least"), F.max(F.col("_tokens") / F.col("_area")).alias("run")).first()
+    if found.least is not None and found.least <= 0:
+        raise ValueError("a source that has documents has no weight")
+    run = float(found.run or 0.0)
+    return plan.select("source", "_tokens", (F.lit(run) * F.col("_area")).alias("_demand"), F.array(*[F.lit(run) * x for x in up_to]).alias("_sums"), "_w"), run
 
 
 def positions(docs: DataFrame, weights: dict[str, list[float]] | None = None, knots: list[float] | None = None, keep: list[str] = []) -> DataFrame:  # noqa: B006
     """doc_id, source, n_tokens, epoch, position (and ``keep``) of every use of a document; not sorted.
 
-    weights: by source, one for each of knots (from 0 to 1; two by default); sources that aren't named get ``tempered``'s.
+    weights: by source, one for each of knots (ascending from 0 to 1; two by default); other sources have the default's.
     """
     counts = materialize(
         docs.where("doc_id IS NOT NULL").select(
@@ -49,24 +70,12 @@ def positions(docs: DataFrame, weights: dict[str, list[float]] | None = None, kn
         ).withColumn("_shuffled", F.substring(F.md5(F.concat(F.lit(SEED), F.col("doc_id").cast("string"))), 1, 16)),
         "counts",
     )
-    # One row a source: the table of the schedule itself.
-    tokens = {r[0]: r[1] for r in counts.groupBy("source").agg(F.sum("n_tokens")).collect()}
-    knots = knots or [0.0, 1.0]
-    given = dict(tempered(tokens))
-    if len(knots) != 2:
-        given = {s: [w[0] + (w[1] - w[0]) * t for t in knots] for s, w in given.items()}
-    given |= {s: w for s, w in (weights or {}).items() if s in tokens}
-    sums = [sum(w[k] for w in given.values()) for k in range(len(knots))]
-    given = {s: [x / y for x, y in zip(w, sums)] for s, w in given.items()}
-    areas = {s: [(knots[k + 1] - knots[k]) * (w[k] + w[k + 1]) / 2 for k in range(len(knots) - 1)] for s, w in given.items()}
-    if any(sum(a) <= 0 for a in areas.values()):
-        raise ValueError("a source that has documents has no weight")
-    run = max((tokens[s] / sum(areas[s]) for s in tokens), default=0.0)
-    rows = [(s, tokens[s], run * sum(areas[s]), [run * sum(areas[s][:k]) for k in range(len(knots))], given[s]) for s in tokens]
-    plan = docs.sparkSession.createDataFrame(rows, "source string, _tokens long, _demand double, _sums array<double>, _w array<double>")
+    knots = [float(t) for t in knots or (0.0, 1.0)]
+    totals = materialize(counts.groupBy("source").agg(F.sum("n_tokens").alias("_tokens")), "totals")
+    plan, run = schedule(totals, weights, knots)
+    plan = materialize(plan, "plan")
     placed = running_offsets(counts, ["_shuffled", "doc_id"], "n_tokens", ["source"])
-    small = len(rows) <= BROADCAST_IDS
-    used = placed.join(F.broadcast(plan) if small else plan, "source").select(
+    used = placed.join(F.broadcast(plan) if is_small(plan) else plan.hint("merge"), "source").select(
         "doc_id", "source", "n_tokens", "offset", "_tokens", "_sums", "_w", *keep,
         F.explode(F.sequence(F.lit(0).cast("long"), F.greatest(F.lit(0).cast("long"), F.ceil((F.col("_demand") - F.col("offset")) / F.col("_tokens") - F.lit(1e-9)) - 1))).alias("epoch"),
     )
@@ -85,17 +94,13 @@ def mix(docs: DataFrame, weights: dict[str, list[float]] | None = None, knots: l
     """The rows of ``docs``, as often as they are used and range-sorted by position; the columns are those of ``docs``.
 
     The text is moved once, by the range sort: a row finds its positions by its place in the files, and the table of
-    these is broadcast up to ``BROADCAST_IDS`` rows (beyond it that join is a shuffle too).
+    these is broadcast if it is small (else that join is a shuffle too).
     """
-    rows = with_row(docs)
+    rows = short_file(with_row(docs))
     named = rows.select(*[F.col(f"_doc.{c}").alias(c) for c in ("doc_id", "text", "source")], "_file", "_row")
-    places = positions(named, weights, knots, ["_file", "_row"])
-    lists = materialize(
-        places.groupBy("_file", "_row").agg(F.collect_list(F.struct("position", "epoch")).alias("_uses")), "positions"
-    )
-    small = lists.count() <= BROADCAST_IDS
-    joined = rows.join(F.broadcast(lists) if small else lists, ["_file", "_row"]).withColumn("_use", F.explode("_uses"))
-    return joined.orderBy("_use.position", "_doc.source", "_doc.doc_id", "_use.epoch").select("_doc.*")
+    uses = materialize(positions(named, weights, knots, ["_file", "_row"]).select("_file", "_row", "position", "epoch"), "positions")
+    joined = rows.join(F.broadcast(uses) if is_small(uses) else uses.hint("merge"), ["_file", "_row"])
+    return joined.orderBy("position", "_doc.source", "_doc.doc_id", "epoch").select("_doc.*")
 
 
 def op10_curriculum(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -20,8 +20,8 @@ from siteloom.llm.prefix import running_offsets, with_row, words_count
 WINDOW, EOS = 2048, 1
 
 
-def pack(docs: DataFrame, window: int = WINDOW, eos: int = EOS, by_place: bool = False) -> DataFrame:
-    """window_id, n_tokens, n_pieces, doc_ids, and pieces: (doc_id, doc_from, doc_to, place), by their place in the window.
+def pieces(docs: DataFrame, window: int = WINDOW, eos: int = EOS, by_place: bool = False) -> DataFrame:
+    """window_id, n_tokens (of the window), place, doc_id, doc_from, doc_to: a row a piece.
 
     doc_from and doc_to are token positions in the document (doc_to is exclusive; the eos token counts), place is the
     first one's position in the window. Documents follow each other by doc_id, or with ``by_place`` by file and row.
@@ -31,35 +31,30 @@ def pack(docs: DataFrame, window: int = WINDOW, eos: int = EOS, by_place: bool =
     counts = materialize(
         docs.where("doc_id IS NOT NULL").select(F.col("doc_id").cast("long").alias("doc_id"), words_count().alias("n_words"), *(order if by_place else [])),
         "tokens",
-    ).where("n_words > 0")
-    placed = running_offsets(counts.withColumn("n", F.col("n_words") + eos), order, "n")
+    ).where("n_words > 0").withColumn("n", F.col("n_words") + eos)
+    total = counts.agg(F.sum("n")).first()[0] or 0
     first, last = F.col("offset"), F.col("offset") + F.col("n")
-    pieces = placed.select(
+    begin, end = F.greatest("offset", F.col("window_id") * window), F.least(last, (F.col("window_id") + 1) * window)
+    return running_offsets(counts, order, "n").select(
         "doc_id", "offset", "n", F.explode(F.sequence(F.floor(first / window), F.floor((last - 1) / window))).alias("window_id")
     ).select(
-        "window_id",
-        F.struct(
-            (F.greatest("offset", F.col("window_id") * window) - F.col("window_id") * window).alias("place"),
-            "doc_id",
-            (F.greatest("offset", F.col("window_id") * window) - F.col("offset")).alias("doc_from"),
-            (F.least(F.col("offset") + F.col("n"), (F.col("window_id") + 1) * window) - F.col("offset")).alias("doc_to"),
-        ).alias("p"),
-    )
-    grouped = pieces.groupBy("window_id").agg(F.array_sort(F.collect_list("p")).alias("pieces"))
-    return grouped.select(
-        "window_id",
-        F.aggregate("pieces", F.lit(0).cast("long"), lambda a, p: a + p.doc_to - p.doc_from).alias("n_tokens"),
-        F.size("pieces").cast("long").alias("n_pieces"),
-        F.transform("pieces", lambda p: p.doc_id).alias("doc_ids"),
-        "pieces",
-    )
+        "window_id", F.least(F.lit(window), F.lit(total) - F.col("window_id") * window).cast("long").alias("n_tokens"),
+        (begin - F.col("window_id") * window).alias("place"), "doc_id", (begin - F.col("offset")).alias("doc_from"), (end - F.col("offset")).alias("doc_to"),
+    )
+
+
+def pack(docs: DataFrame, window: int = WINDOW, eos: int = EOS, by_place: bool = False) -> DataFrame:
+    """window_id, n_tokens, n_pieces, doc_ids, and pieces (place, doc_id, doc_from, doc_to), by their place in the window.
+
+    A window's pieces are at most as many as its tokens, so its list is bounded.
+    """
+    listed = pieces(docs, window, eos, by_place).groupBy("window_id", "n_tokens").agg(F.array_sort(F.collect_list(F.struct("place", "doc_id", "doc_from", "doc_to"))).alias("pieces"))
+    return listed.select("window_id", "n_tokens", F.size("pieces").cast("long").alias("n_pieces"), F.transform("pieces", lambda p: p.doc_id).alias("doc_ids"), "pieces")
 
 
 def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row for each piece of each window of the whole corpus."""
-    return pack(read(spark, sf_dir, "documents")).select("window_id", "n_tokens", F.inline("pieces")).select(
-        "window_id", "n_tokens", "place", "doc_id", "doc_from", "doc_to"
-    )
+    return pieces(read(spark, sf_dir, "documents"))
 
 
 SQL = rf"""

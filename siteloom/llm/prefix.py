@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from siteloom.llm.common import BROADCAST_IDS, materialize, shuffles
+from siteloom.llm.common import is_small, materialize, shuffles
 
 
 def running_offsets(df: DataFrame, order: list[str], amount: str, group: list[str] | None = None) -> DataFrame:
@@ -23,7 +24,7 @@ def running_offsets(df: DataFrame, order: list[str], amount: str, group: list[st
     before = Window.partitionBy(*group).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     base = materialize(totals.select("_part", *group, F.coalesce(F.sum("_total").over(before), F.lit(0)).alias("_base")), "totals")
     within = Window.partitionBy("_part", *group).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
-    small = base.count() <= BROADCAST_IDS
+    small = is_small(base)
     return (
         parts.withColumn("_before", F.coalesce(F.sum(amount).over(within), F.lit(0)))
         .join(F.broadcast(base) if small else base, ["_part", *group])
@@ -38,7 +39,7 @@ def words_count(text: str = "text"):
 
 
 def with_row(docs: DataFrame) -> DataFrame:
-    """Add ``_file`` and ``_row``: a row's place in the files that ``docs`` is read from (it is written first if it isn't read from files).
+    """Add ``_file`` and ``_row``: a row's place in the files that ``docs`` is read from. What isn't read from files, or from files without such places (JSON), is written first.
 
     The columns of ``docs`` are those of the struct ``_doc``, so names that clash do no harm.
     """
@@ -50,7 +51,11 @@ def with_row(docs: DataFrame) -> DataFrame:
 
     try:
         return placed(docs)
-    except Exception as error:  # a DataFrame that isn't a file scan has no such column
-        if not any(x in str(error) for x in ("UNRESOLVED_COLUMN", "CANNOT_RESOLVE", "cannot resolve")):
-            raise
+    except AnalysisException:
         return placed(materialize(docs, "rows"))
+
+
+def short_file(rows: DataFrame) -> DataFrame:
+    """``rows`` with a hash for ``_file``, if no two files have the same."""
+    names = rows.select("_file").distinct().agg(F.count("*").alias("n"), F.count_distinct(F.xxhash64("_file")).alias("h")).first()
+    return rows.withColumn("_file", F.xxhash64("_file")) if names.n == names.h else rows

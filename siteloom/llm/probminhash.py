@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siteloom.llm.common import BROADCAST_IDS, U, Words, grams, materialize, mix, read, semi_filter, slices, texts
+from siteloom.llm.common import U, Words, grams, is_small, materialize, mix, read, semi_filter, slices, texts
 
 SHINGLE, BANDS, ROWS, THRESHOLD = 3, 24, 4, 0.5
 #: Bytes of text that are turned into shingles at once.
@@ -219,8 +219,7 @@ def duplicates(docs: DataFrame, shingle: int = SHINGLE, bands: int = BANDS, rows
 def keep_one(docs: DataFrame, **options) -> DataFrame:
     """``docs`` without the documents that ``duplicates`` lists; its columns and other rows stay as they are."""
     gone = materialize(duplicates(docs, **options).select("doc_id"), "gone")
-    small = gone.count() <= BROADCAST_IDS
-    return docs.join(F.broadcast(gone) if small else gone, docs.doc_id == gone.doc_id, "left_anti")
+    return docs.join(F.broadcast(gone) if is_small(gone) else gone.hint("merge"), docs.doc_id == gone.doc_id, "left_anti")
 
 
 def op6_probminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
