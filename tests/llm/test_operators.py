@@ -265,6 +265,40 @@ def test_curriculum(odd, empty):
     assert mixing.mix(empty).count() == 0
 
 
+@pytest.mark.parametrize(("weights", "knots"), [(None, None), (None, [0.0, 0.25, 1.0]), ({"a": [1.0, 0.0, 0.5, 0.1], "b": [0.0, 1.0, 0.1, 0.1]}, [0.0, 0.3, 0.6, 1.0])])
+def test_curriculum_by_integration(spark, weights, knots):
+    """Positions are where a sum of small steps of the weights reaches a document's place in its source."""
+    rows = [(i, "w " * (1 + i % 5), "abc"[i % 3 if i < 60 else 0]) for i in range(90)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    got = mixing.positions(df, weights, knots).collect()
+    times = knots or [0.0, 1.0]
+    sums = Counter()
+    for i, t, s in rows:
+        sums[s] += len(t.split())
+    total, roots = sum(sums.values()), sum(n**0.5 for n in sums.values())
+    w = {s: [n / total + ((1 - mixing.FLATTEN) * n / total + mixing.FLATTEN * n**0.5 / roots - n / total) * t for t in times] for s, n in sums.items()} | (weights or {})
+    norm = [sum(x[k] for x in w.values()) for k in range(len(times))]
+    grid = np.linspace(0, 1, 400_001)
+    demand = {s: np.concatenate(([0], np.cumsum((y[1:] + y[:-1]) / 2 * np.diff(grid)))) for s, x in w.items() for y in [np.interp(grid, times, np.array(x) / norm)]}
+    run = max(sums[s] / demand[s][-1] for s in sums)
+    by = {s: sorted((r for r in got if r.source == s), key=lambda r: (r.epoch, r.position)) for s in sums}
+    assert {r.doc_id for r in got} == set(range(90))
+    for s, uses in by.items():
+        at = 0
+        for r in uses:
+            place = run * grid[np.searchsorted(demand[s] * run, at - 1e-6)]
+            assert abs(r.position - place) <= 1.01
+            at += r.n_tokens
+        assert at >= run * demand[s][-1] - 1e-6 and at - uses[-1].n_tokens < run * demand[s][-1] + 1e-6
+    assert max(abs(mixing.positions(df, {"a": [1.0, 1.0], "b": [1.0, 1.0], "c": [1.0, 1.0]}).agg(F.max("position")).first()[0] - 3 * max(sums.values())), 0) < 10
+
+
+def test_rows_of_files_without_places(spark, tmp_path):
+    spark.createDataFrame([(1, "a b", "x"), (1, "a b", "x"), (2, "c", None)], "doc_id long, text string, source string").write.json(str(tmp_path / "docs"))
+    docs = spark.read.schema("doc_id long, text string, source string").json(str(tmp_path / "docs"))
+    assert sorted(r.doc_id for r in mixing.mix(docs).collect())[:2] == [1, 1] and packing.pack(docs, 4, by_place=True).count() == 2
+
+
 def test_packing(odd, empty):
     windows = packing.pack(odd, window=64).orderBy("window_id").collect()
     stream = Counter()
@@ -278,11 +312,33 @@ def test_packing(odd, empty):
 
 
 def test_neighbours_odd_vectors(spark):
+    """Dropped vectors, repeated ids, ties, clashing names; one task and several, queries in groups of two."""
     rows = [(1, [0.0, 0.0]), (2, [1.0, 0.0]), (3, [1.0, 0.0]), (3, [5.0, 5.0]), (4, None), (5, []), (6, [1.0]), (7, [float("nan"), 1.0]), (None, [0.0, 1.0]), (8, [9.0, 9.0])]
-    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>").withColumn("block", F.lit(1))
-    got = [(r.vec_id, r.neighbour_id, r.rank) for r in neighbours.knn(df, k=2).orderBy("vec_id", "rank").collect()]
-    assert got == [(1, 2, 1), (1, 3, 2), (2, 3, 1), (2, 1, 2), (3, 2, 1), (3, 1, 2), (8, 2, 1), (8, 3, 2)]
-    assert neighbours.knn(df.limit(0)).count() == 0
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>").withColumns({x: F.lit(1) for x in ("block", "ids", "far", "side", "task", "g", "a")})
+    wanted = [(1, 2, 1), (1, 3, 2), (2, 3, 1), (2, 1, 2), (3, 2, 1), (3, 1, 2), (8, 2, 1), (8, 3, 2)]
+    for options in ({}, {"block": 1}, {"block": 2, "query_bytes": 16}):
+        got = [(r.vec_id, r.neighbour_id, r.rank) for r in neighbours.knn(df, k=2, **options).orderBy("vec_id", "rank").collect()]
+        assert got == wanted
+    some = neighbours.knn(df, F.col("vec_id") % 2 == 0, k=2).orderBy("vec_id", "rank").collect()
+    assert [(r.vec_id, r.neighbour_id, r.rank) for r in some] == [x for x in wanted if x[0] % 2 == 0]
+    assert neighbours.knn(df.limit(0)).count() == neighbours.knn(df, F.lit(None).cast("boolean")).count() == 0
+
+
+def test_neighbours_by_brute_force():
+    """More dimensions than one exact float32 sum holds, copies, and blocks that come one after the other."""
+    rng = np.random.default_rng(5)
+    x = rng.normal(size=(300, 2500)).astype(np.float32)
+    x[40] = x[7]
+    a, b = (rng.integers(-127, 128, (n, 2500)).astype(np.int8) for n in (5, 9))
+    assert (neighbours.product(a, b) == a.astype(np.int64) @ b.astype(np.int64).T).all()
+    ids = np.arange(300)
+    search = neighbours.Search(neighbours.Block(ids[:50], x[:50]), 4)
+    for part in np.array_split(rng.permutation(300), 7):
+        search.see(neighbours.Block(ids[part], x[part]))
+    wide = x.astype(np.float64)
+    for i in range(50):
+        d = ((wide[i] - wide) ** 2).sum(1)
+        assert search.found[i].tolist() == [j for j in np.lexsort((ids, d)) if j != i][:4]
 
 
 def test_pipeline(spark):
