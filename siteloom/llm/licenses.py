@@ -1,13 +1,14 @@
 """License scans: normalised text is compared with licence templates by the Dice coefficient over word bigrams.
 
-Units are the lines of a text and, if it has several, the whole text. Text is normalised to runs of ASCII letters (in
-lower case), digits and characters beyond ASCII. A unit of n distinct bigrams is compared only with templates whose m
-fulfil t / (2 - t) <= n / m <= (2 - t) / t, as no other can reach the threshold t; units that hold too few of all
-templates' bigrams are dropped before.
-
-Defined results: a null or empty text and a unit of fewer than two words match nothing; ties between templates are all
-returned; a repeated row is returned as often as it occurs; rows without a doc_id are dropped; an empty table gives an
-empty result; other columns are ignored.
+Text is normalised to runs of ASCII letters (in lower case), digits and characters beyond ASCII. A template of W words is
+compared with every window of W words of the text, wherever lines end, and with the whole text if that is shorter.
+Windows of n distinct bigrams are compared only with templates whose m fulfil t / (2 - t) <= n / m <= (2 - t) / t, as no
+other can reach the threshold t; and only where at least m * t / (2 - t) of their bigrams are the template's, which
+leaves few. Windows that reach t and follow each other are one match, reported by the best of them (the first of equals).
+
+Defined results: a null or empty text and a text of fewer than two words match nothing; ties between templates are all
+returned; a repeated row is returned as often as it occurs; rows without a doc_id are dropped; texts are read as a whole;
+an empty table gives an empty result; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -17,69 +18,57 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 from siteloom.llm.common import U, Words, grams, read, slices, texts
+from siteloom.llm.license_texts import TEMPLATES
 
 THRESHOLD = 0.8
-
-#: Short notices and the operative text of public licences.
-TEMPLATES: list[tuple[str, str]] = [
-    ("MIT", "Released under the MIT License."),
-    ("MIT", "Licensed under the MIT License."),
-    ("MIT", "This project is licensed under the terms of the MIT license."),
-    ("Apache-2.0", "Licensed under the Apache License, Version 2.0."),
-    ("Apache-2.0", "Released under the Apache License, Version 2.0."),
-    ("GPL-3.0", "This work is licensed under the GNU General Public License, version 3."),
-    ("GPL-2.0", "This work is licensed under the GNU General Public License, version 2."),
-    ("LGPL-3.0", "This work is licensed under the GNU Lesser General Public License, version 3."),
-    ("AGPL-3.0", "This work is licensed under the GNU Affero General Public License, version 3."),
-    ("CC-BY-NC-4.0", "Licensed under CC BY-NC 4.0."),
-    ("CC-BY-4.0", "Licensed under CC BY 4.0."),
-    ("CC-BY-SA-4.0", "Licensed under CC BY-SA 4.0."),
-    ("CC-BY-4.0", "This work is licensed under a Creative Commons Attribution 4.0 International License."),
-    ("CC-BY-NC-4.0", "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License."),
-    ("CC-BY-SA-4.0", "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License."),
-    ("CC0-1.0", "To the extent possible under law, the author has waived all copyright and related or neighboring rights to this work."),
-    ("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0."),
-    ("BSD", "Use of this source code is governed by a BSD-style license that can be found in the LICENSE file."),
-    ("proprietary", "Copyright. All rights reserved. No part of this work may be reproduced without written permission."),
-    ("MIT", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the \"Software\"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions: The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software."),
-    ("ISC", "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies."),
-    ("BSD-2-Clause", "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met: Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution."),
-    ("Apache-2.0", "Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this file except in compliance with the License. You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0. Unless required by applicable law or agreed to in writing, software distributed under the License is distributed on an \"AS IS\" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied."),
-    ("GPL-3.0", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version."),
-]
-
-SCHEMA = "doc_id long, line long, template long, license string, dice double"
-
-
-def _bigrams(text: str) -> np.ndarray:
-    return np.unique(grams(Words(pa.array([text])).hash, 2))
+#: Bigrams of windows that are counted at once.
+CELLS = 4_000_000
+
+SCHEMA = "doc_id long, begin long, end long, template long, license string, dice double"
+
+
+class Template:
+    def __init__(self, text: str, threshold: float):
+        words = Words(pa.array([text]))
+        self.words = len(words.hash)
+        self.grams = np.unique(grams(words.hash, 2))
+        self.size, self.threshold = len(self.grams), threshold
+        self.need = max(1, int(np.ceil(threshold / (2 - threshold) * self.size - 1e-9)))
+
+    def matches(self, gram: np.ndarray, hit: np.ndarray):
+        """(begin, end, dice) in a text of bigrams ``gram``, of which ``hit`` are the template's."""
+        width = min(self.words - 1, len(gram))
+        sums = np.append(0, np.cumsum(hit))
+        starts = np.flatnonzero(sums[width:] - sums[:-width] >= self.need)
+        found = []
+        for at in range(0, len(starts), max(1, CELLS // width)):
+            part = starts[at : at + max(1, CELLS // width)]
+            cells = np.sort(np.lib.stride_tricks.sliding_window_view(gram, width)[part], 1)
+            new = np.ones(cells.shape, bool)
+            new[:, 1:] = cells[:, 1:] != cells[:, :-1]
+            n, shared = new.sum(1), (new & np.isin(cells, self.grams)).sum(1)
+            near = (n * self.threshold / (2 - self.threshold) <= self.size + 1e-9) & (n >= self.threshold / (2 - self.threshold) * self.size - 1e-9)
+            dice = 2 * shared / (n + self.size)
+            ok = near & (dice >= self.threshold - 1e-12)
+            found += list(zip(part[ok].tolist(), dice[ok].tolist()))
+        best = None
+        for i, (begin, dice) in enumerate(found):
+            if best is None or dice > best[1]:
+                best = begin, dice
+            if i + 1 == len(found) or found[i + 1][0] > begin + 1:
+                yield best[0], best[0] + width + 1, best[1]
+                best = None
 
 
 def scan(docs: DataFrame, templates: list[tuple[str, str]] = TEMPLATES, threshold: float = THRESHOLD) -> DataFrame:
-    """doc_id, line (from 1; 0 is the whole text), template (its place in the list, from 0), license and dice of each match."""
-    sets = [_bigrams(t) for _, t in templates]
-    sizes = np.array([len(s) for s in sets])
-    every = np.unique(np.concatenate(sets))
-    held = np.zeros((len(sets), len(every)), np.int32)
-    for i, s in enumerate(sets):
-        held[i, np.searchsorted(every, s)] = 1
-    least = threshold / (2 - threshold)
-    need = max(1, int(np.ceil(least * sizes.min() - 1e-9)))
-
-    def found(unit: np.ndarray, gram: np.ndarray, hit: np.ndarray):
-        """(unit, template, dice); unit is ascending, and between two units where a bigram crosses them."""
-        ok = hit
-        ids, hits = np.unique(unit[ok], return_counts=True)
-        for u in ids[hits >= need]:
-            own = np.unique(gram[np.searchsorted(unit, u) : np.searchsorted(unit, u, "right")])
-            n = len(own)
-            near = np.flatnonzero((n >= least * sizes - 1e-9) & (n * least <= sizes + 1e-9))
-            if not len(near):
-                continue
-            at = np.searchsorted(every, own)
-            at = at[(at < len(every)) & (every[np.minimum(at, len(every) - 1)] == own)]
-            dice = 2 * held[near][:, at].sum(1) / (n + sizes[near])
-            yield from ((int(u), t, d) for t, d in zip(near, dice) if d >= threshold - 1e-12)
+    """doc_id, begin and end (words begin .. end - 1 are the window), template (its place in the list), license and dice of each match."""
+    made = [Template(t, threshold) for _, t in templates]
+    every = np.unique(np.concatenate([t.grams for t in made]))
+    # Templates of each bigram that any of them has.
+    of = np.zeros((len(every), len(made)), bool)
+    for i, t in enumerate(made):
+        of[np.searchsorted(every, t.grams), i] = True
+    needs = np.array([t.need for t in made])
 
     def run(batches):
         rough = np.zeros(1 << 20, bool)
@@ -90,51 +79,52 @@ def scan(docs: DataFrame, templates: list[tuple[str, str]] = TEMPLATES, threshol
                 gram = grams(w.hash, 2)
                 if not len(gram):
                     continue
-                hit = rough[gram >> U(44)]
-                hit[hit] = np.isin(gram[hit], every)
-                same = w.doc[1:] == w.doc[:-1]
-                breaks = np.flatnonzero(w.bytes == 10)
-                line = np.searchsorted(breaks, w.starts)
-                firsts = np.searchsorted(breaks, w.offsets)
+                hit = np.flatnonzero(rough[gram >> U(44)] & (w.doc[1:] == w.doc[:-1]))
+                hit = hit[np.isin(gram[hit], every)]
+                if not len(hit):
+                    continue
+                which, doc = np.searchsorted(every, gram[hit]), w.doc[hit]
+                begin = np.flatnonzero(np.concatenate(([True], doc[1:] != doc[:-1])))
+                # A document is looked at for the templates of which it holds enough bigrams.
+                enough = np.add.reduceat(of[which].astype(np.int32), begin) >= needs
                 id_, out = part.column("doc_id").to_numpy(), []
-                # A break before each text's first line keeps units of different texts apart.
-                unit = line + w.doc
-                for u, t, d in found(_cut(unit, same & (line[1:] == line[:-1])), gram, hit & same & (line[1:] == line[:-1])):
-                    doc = w.doc[np.searchsorted(unit, u)]
-                    out.append((id_[doc], u - doc - firsts[doc] + 1, t, templates[t][0], d))
-                for doc, t, d in found(_cut(w.doc, same), gram, hit & same):
-                    if firsts[doc + 1] > firsts[doc]:
-                        out.append((id_[doc], 0, t, templates[t][0], d))
+                for row, t in np.argwhere(enough):
+                    d = doc[begin[row]]
+                    a, b = w.first[d], w.first[d + 1] - 1
+                    own = np.zeros(b - a, bool)
+                    s = slice(begin[row], begin[row + 1] if row + 1 < len(begin) else None)
+                    own[hit[s][of[which[s], t]] - a] = True
+                    out += [(id_[d], x, y, t, templates[t][0], dice) for x, y, dice in made[t].matches(gram[a:b], own)]
                 if out:
                     c = list(zip(*out))
-                    yield pa.RecordBatch.from_arrays([pa.array(c[0], pa.int64()), pa.array(c[1], pa.int64()), pa.array(c[2], pa.int64()), pa.array(c[3], pa.string()), pa.array(c[4], pa.float64())], ["doc_id", "line", "template", "license", "dice"])
+                    yield pa.RecordBatch.from_arrays(
+                        [*(pa.array(x, pa.int64()) for x in c[:4]), pa.array(c[4], pa.string()), pa.array(c[5], pa.float64())], ["doc_id", "begin", "end", "template", "license", "dice"]
+                    )
 
     return texts(docs).mapInArrow(run, SCHEMA)
 
 
-def _cut(unit: np.ndarray, inside: np.ndarray) -> np.ndarray:
-    """The unit of each bigram; one that crosses units belongs to neither, so it takes a value between them."""
-    return np.where(inside, unit[:-1] * 1.0, unit[:-1] + 0.5)
-
-
 def op2_license_dice(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan(read(spark, sf_dir, "documents"))
 
 
 _UP, _LOW = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 _WORDS = rf"regexp_extract_all(translate({{}}, '{_UP}', '{_LOW}'), '[^\x00-\x2f\x3a-\x40\x5b-\x60\x7b-\x7f]+')"
-_PAIRS = "list_distinct(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]))"
+_PAIRS = "list_distinct(list_transform(range(1, len({0})), lambda i: {0}[i] || ' ' || {0}[i + 1]))"
 SQL = f"""
 WITH templates AS (
-  SELECT template, license, {_PAIRS} AS b FROM (SELECT template, license, {_WORDS.format("t")} AS w FROM (VALUES
+  SELECT template, license, len(w) AS words, {_PAIRS.format("w")} AS b FROM (SELECT template, license, {_WORDS.format("t")} AS w FROM (VALUES
     {", ".join(f"({i}::BIGINT, '{n}', '{t.replace(chr(39), chr(39) * 2)}')" for i, (n, t) in enumerate(TEMPLATES))}) v(template, license, t))
-), units AS (
-  SELECT doc_id, unnest(string_split(text, chr(10))) AS u, unnest(range(1, len(string_split(text, chr(10))) + 1)) AS line FROM documents
-  UNION ALL SELECT doc_id, text, 0 FROM documents WHERE contains(text, chr(10))
-), grams AS (SELECT doc_id, line, {_PAIRS} AS b FROM (SELECT doc_id, line, {_WORDS.format("u")} AS w FROM units) WHERE len(w) > 1),
-found AS (
-  SELECT doc_id, line::BIGINT AS line, template, license, 2 * len(list_intersect(g.b, t.b)) / (len(g.b) + len(t.b))::DOUBLE AS dice
-  FROM grams g JOIN templates t ON len(g.b) BETWEEN {THRESHOLD / (2 - THRESHOLD)} * len(t.b) - 1e-9 AND {(2 - THRESHOLD) / THRESHOLD} * len(t.b) + 1e-9
-)
-SELECT * FROM found WHERE dice >= {THRESHOLD} - 1e-12
+), docs AS (SELECT doc_id, {_WORDS.format("text")} AS w FROM documents),
+near AS (
+  SELECT doc_id, w, template, license, words, t.b FROM (SELECT doc_id, w, {_PAIRS.format("w")} AS b FROM docs WHERE len(w) > 1) d
+  JOIN templates t ON len(list_intersect(d.b, t.b)) >= {THRESHOLD / (2 - THRESHOLD)} * len(t.b) - 1e-9
+), windows AS (
+  SELECT doc_id, template, license, b, i - 1 AS begin, list_slice(w, i, i + words - 1) AS v
+  FROM (SELECT *, unnest(range(1, greatest(1, len(w) - words + 1) + 1)) AS i FROM near)
+), pairs AS (SELECT doc_id, template, license, begin, len(v) AS n, b, {_PAIRS.format("v")} AS c FROM windows),
+found AS (SELECT *, 2 * len(list_intersect(c, b)) / (len(c) + len(b))::DOUBLE AS dice FROM pairs),
+runs AS (SELECT *, begin - row_number() OVER (PARTITION BY doc_id, template ORDER BY begin) AS run FROM found WHERE dice >= {THRESHOLD} - 1e-12),
+best AS (SELECT *, row_number() OVER (PARTITION BY doc_id, template, run ORDER BY dice DESC, begin) AS r FROM runs)
+SELECT doc_id, begin::BIGINT AS begin, (begin + n)::BIGINT AS "end", template, license, dice FROM best WHERE r = 1
 """
