@@ -115,15 +115,19 @@ BASE = U(0x9E3779B97F4A7C15 | 1)
 INVERSE = U(pow(int(BASE), -1, 1 << 64))
 
 
-def powers(base: np.uint64, n: int, _kept: dict = {}) -> np.ndarray:  # noqa: B006
+#: Powers by what they are of; ``release`` forgets those that a very long text has asked for.
+KEPT: dict = {}
+
+
+def powers(base: np.uint64, n: int) -> np.ndarray:
     """base**0 .. base**(n-1) modulo 2**64; the longest array so far is kept."""
-    have = _kept.get(int(base))
+    have = KEPT.get(int(base))
     if have is None or len(have) < n:
         have = np.empty(max(n, 1 << 16), U)
         have[0] = 1
         have[1:] = base
         np.multiply.accumulate(have, out=have)
-        _kept[int(base)] = have
+        KEPT[int(base)] = have
     return have[:n]
 
 
@@ -173,6 +177,8 @@ def slices(batch: pa.RecordBatch, column: str = "text", limit: int = SLICE_BYTES
 
 def release() -> None:
     """Give freed memory back to the system: workers live on between stages, beside a full heap."""
+    for key in [k for k, a in KEPT.items() if len(a) > 2 * SLICE_BYTES]:
+        del KEPT[key]
     pa.default_memory_pool().release_unused()
     if _TRIM is not None:
         _TRIM(0)

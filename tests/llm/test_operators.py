@@ -37,29 +37,74 @@ def test_same_rows_as_sql(name, same):
     same(queries.queries()[name], queries.oracle_sql()[name])
 
 
-def test_licenses(odd, empty):
+def test_licenses(spark, odd, empty):
     got = licenses.scan(odd).collect()
-    assert [(r.doc_id, r.line) for r in got if r.license == "MIT" and r.dice == 1] == [(7, 1)]
+    assert [(r.doc_id, r.begin, r.end) for r in got if r.license == "MIT" and r.dice == 1] == [(7, 0, 5)]
     assert licenses.scan(empty).count() == 0
+    texts = dict(enumerate(t for _, t in licenses.TEMPLATES))
+    whole = {i: texts[i] for i in range(25, 29)}  # whole MIT, ISC and BSD licences
+    head = "\n".join(f"// {texts[19][i : i + 70]}" for i in range(0, len(texts[19]), 70))
+    rows = [
+        (1, f"MIT License\n\nCopyright (c) 2024 Some One\n\n{whole[25]}\n"), (2, f"ISC License\n\nCopyright 2024 Some One\n\n{whole[26]}"),
+        (3, f"Copyright (c) 2020, Some One\n\n{whole[27]}"), (4, f"Copyright (c) 2020, Some One\n\n{whole[28]}"), (5, texts[29] + " and so on " + STORY),
+        (6, f"{head}\nint main() {{ return 0; }}\n" + STORY), (7, "In prose, it is licensed under\nthe Apache License,\nVersion 2.0. Twice: Licensed under the Apache License, Version 2.0!"),
+        (8, "one"), (9, "Released under the MIT License."), (9, "Released under the MIT License."),
+    ]
+    every = licenses.scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    found = Counter((r.doc_id, r.license) for r in every)
+    assert {(1, "MIT"), (2, "ISC"), (3, "BSD-2-Clause"), (4, "BSD-3-Clause"), (5, "Apache-2.0"), (6, "MIT")} <= set(found)
+    assert [(r.begin, r.end) for r in every if r.doc_id == 7 and r.dice == 1] == [(4, 12), (13, 21)] and not any(d == 8 for d, _ in found) and [r.dice for r in every if r.doc_id == 9].count(1) == 2
+
+
+def _common(a, b):
+    return next((i for i, (x, y) in enumerate(zip(a, b)) if x != y), min(len(a), len(b)))
 
 
 def test_fingerprints(odd, empty):
     got = {(r.doc_id, r.n_chars): r for r in fingerprints.fingerprints(odd).collect()}
-    assert got[2, len(STORY)].anchor_id == 1 and got[2, len(STORY)].lce == len(STORY) == got[6, len(STORY) + 5].lce
-    assert got[3, 0].fingerprint == 0 and got[10, 8].anchor_id is None
+    copy, longer = got[2, len(STORY)], got[6, len(STORY) + 5]
+    assert (copy.prefix_id, copy.prefix_length, copy.suffix_id, copy.suffix_length) == (1, len(STORY), 1, len(STORY))
+    assert (longer.prefix_id, longer.prefix_length, longer.suffix_id) == (1, len(STORY), None)
+    assert got[3, 0].fingerprint == 0 and got[10, 8].prefix_id is None and got[3, 0].suffix_length is None
     assert fingerprints.fingerprints(odd).count() == odd.where("doc_id IS NOT NULL").count()
     assert fingerprints.fingerprints(empty).count() == 0
 
 
+def _longest(rows, lead):
+    """The result by comparing all pairs."""
+    out = set()
+    for i, t in rows:
+        sides = []
+        for turn in (1, -1):
+            found = [(_common(t[::turn], u[::turn]), -j) for j, u in rows if j < i and t]
+            found = [(n, j) for n, j in found if n >= lead or n == len(t) and (-j, t) in set(rows)]
+            n, j = max(found, default=(None, None))
+            sides += [None if n is None else -j, n]
+        out.add((i, len(t), *sides))
+    return out
+
+
+def test_fingerprints_by_brute_force(spark):
+    """Headers that many share, prefixes of each other, copies; over one partition and many, with ids in any order of the texts."""
+    rng = np.random.default_rng(11)
+    texts = ["".join("ab"[x] for x in rng.integers(0, 2, rng.integers(0, 14))) for _ in range(60)]
+    texts += [t[: rng.integers(0, len(t) + 1)] + "".join("äb"[x] for x in rng.integers(0, 2, 5)) for t in texts] + texts[:20]
+    for order in (rng.permutation(len(texts)), np.argsort(texts), np.argsort(texts)[::-1]):
+        rows = [(int(i), texts[k]) for i, k in enumerate(order)]
+        df = spark.createDataFrame(rows, "doc_id long, text string")
+        for parts in ("1", "13"):
+            spark.conf.set("spark.sql.shuffle.partitions", parts)
+            got = {(r.doc_id, r.n_chars, r.prefix_id, r.prefix_length, r.suffix_id, r.suffix_length) for r in fingerprints.fingerprints(df, lead=3).collect()}
+            spark.conf.set("spark.sql.shuffle.partitions", "8")
+            assert got == _longest(rows, 3)
+
+
 def test_prefix_hashes_by_brute_force():
     texts, others = ["abcabcabd", "ünïx", "", "aaaa"], ["abcabd", "xünï", "z", "aaab"]
     p, q = fingerprints.Prefixes(pa.array(texts)), fingerprints.Prefixes(pa.array(others))
 
-    def common(a, b):
-        return next((i for i, (x, y) in enumerate(zip(a, b)) if x != y), min(len(a), len(b)))
-
-    assert p.extension(q).tolist() == [common(a, b) for a, b in zip(texts, others)]
-    assert p.extension(q, np.array([3, 0, 0, 1]), np.array([0, 1, 0, 0])).tolist() == [common(a[i:], b[j:]) for a, b, i, j in zip(texts, others, [3, 0, 0, 1], [0, 1, 0, 0])]
+    assert p.extension(q).tolist() == [_common(a, b) for a, b in zip(texts, others)]
+    assert p.extension(q, np.array([3, 0, 0, 1]), np.array([0, 1, 0, 0])).tolist() == [_common(a[i:], b[j:]) for a, b, i, j in zip(texts, others, [3, 0, 0, 1], [0, 1, 0, 0])]
 
 
 def _distance(a, b):
