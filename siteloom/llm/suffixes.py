@@ -11,7 +11,10 @@ Two documents share a passage of MIN_WORDS words only if they share the least ha
 document is cut at these minimizers: a window of MIN_WORDS words belongs to one minimizer, and windows of one minimizer
 make up one fragment. Fragments with the same minimizer go to the same task, which finds all repeats among them, so the
 construction is local and the result is still that of the whole collection. Equal fragments are one text; minimizers
-of a single document, and those whose fragments are all equal, need no construction.
+of a single document, and those whose fragments are all equal, need no construction. A collection has about
+``COLLECTION`` symbols, a round's arrays are read as a whole, and a state under ``IN_MEMORY`` bytes stays in memory. The
+windows of a minimizer whose kinds of fragments have more symbols than that are grouped by their hashes instead, by
+partial aggregates, so no minimizer is too hot for a task.
 
 Defined results: a passage counts if its words (runs of letters and digits, in lower case for ASCII) are the same and
 another document of smaller id has it; repeats within one document don't count; repeated rows of a doc_id are one
@@ -33,7 +36,7 @@ from pyspark.sql import functions as F
 from siteloom.llm.common import BASE, INVERSE, U, Words, grams, materialize, mix, powers, read, semi_filter, shared_dir, slices, texts
 
 MIN_WORDS, GRAM = 50, 10
-#: Symbols of a collection; a minimizer's fragments beyond it are a collection of their own.
+#: Symbols of a collection, and of the most that one minimizer's fragments may have to go into one.
 COLLECTION = 1_000_000
 #: A state smaller than this stays in memory between rounds.
 IN_MEMORY = 16_000_000
@@ -43,7 +46,7 @@ class Files:
     """The state's arrays between rounds: one file an array and round, written and read from front to back."""
 
     def __init__(self, folder: str, external: int = IN_MEMORY):
-        self.system, self.path = fs.FileSystem.from_uri(posixpath.join(folder, f"bwt-{uuid.uuid4().hex}"))
+        self.system, self.path = fs.FileSystem.from_uri(posixpath.join(folder.replace("s3a://", "s3://", 1), f"bwt-{uuid.uuid4().hex}"))
         self.external, self.kept, self.round, self.made = external, {}, 0, False
 
     def put(self, **arrays: np.ndarray) -> None:
@@ -204,7 +207,7 @@ def minimizers(w: Words, least: int, k: int) -> tuple[np.ndarray, np.ndarray, np
     return w.doc[begin], h[at[begin]], begin, end
 
 
-def repeats(docs: DataFrame, least: int = MIN_WORDS, k: int = GRAM) -> DataFrame:
+def repeats(docs: DataFrame, least: int = MIN_WORDS, k: int = GRAM, collection: int = COLLECTION) -> DataFrame:
     """doc_id, first_doc_id, begin, end: words begin .. end - 1 of the document are passages of first_doc_id, the least document that has them."""
     spark = docs.sparkSession
     docs, folder = texts(docs), shared_dir(spark)
@@ -217,24 +220,24 @@ def repeats(docs: DataFrame, least: int = MIN_WORDS, k: int = GRAM) -> DataFrame
                 sums = np.zeros(len(w.hash) + 1, U)
                 np.cumsum(w.hash * powers(BASE, len(w.hash)), out=sums[1:])
                 stop = end + least
-                content = mix((sums[stop] - sums[begin]) * powers(INVERSE, len(w.hash) + 1)[begin]) ^ mix((stop - begin).astype(U))
                 ids = part.column("doc_id").to_numpy()
                 yield pa.RecordBatch.from_arrays([
-                    pa.array(anchor.view(np.int64)), pa.array(content.view(np.int64)), pa.array(ids[doc]),
+                    pa.array(anchor.view(np.int64)), pa.array(content(sums, begin, stop)), pa.array(ids[doc]),
                     pa.array((begin - w.first[doc]).astype(np.int32)), pa.array((stop - w.first[doc]).astype(np.int32)),
                 ], ["anchor", "content", "doc_id", "begin", "stop"])
 
-    fragments = docs.mapInArrow(cut, "anchor long, content long, doc_id long, begin int, stop int")
-    # Minimizers of one document go first. One row then holds all documents with the same fragment, so a hot one is small.
-    among = Window.partitionBy("anchor")
-    several = fragments.withColumn("low", F.min("doc_id").over(among)).withColumn("high", F.max("doc_id").over(among)).where("low < high")
-    kinds = several.groupBy("anchor", "content").agg(F.array_sort(F.collect_list(F.struct("doc_id", "begin", "stop"))).alias("members"))
-    shared = materialize(kinds.select("anchor", F.get("members", F.lit(0)).alias("own"), "members", F.count("*").over(among).alias("kinds")), "fragments")
-    alike = shared.where("kinds = 1").select(F.col("own.doc_id").alias("first_doc_id"), F.explode("members").alias("m")).select(
-        "m.doc_id", "first_doc_id", "m.begin", "m.stop"
-    )
-    mixed = materialize(shared.where("kinds > 1").select("anchor", "own", "members"), "mixed")
-    needed = materialize(mixed.groupBy(F.col("own.doc_id").alias("doc_id")).agg(F.collect_set(F.struct("anchor", F.col("own.begin"), F.col("own.stop"))).alias("cuts")), "needed")
+    fragments = materialize(docs.mapInArrow(cut, "anchor long, content long, doc_id long, begin int, stop int"), "fragments")
+    # Minimizers of one document go first. Aggregates are partial before the shuffle, so a hot minimizer comes as one row a task;
+    # the join back splits it, as its other side has one row.
+    anchors = fragments.groupBy("anchor").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("_high"), (F.min("content") != F.max("content")).alias("mixed"))
+    anchors = materialize(anchors.where("low < _high").drop("_high"), "anchors")
+    several = materialize(fragments.join(anchors.hint("merge"), "anchor"), "several")
+    alike = several.where("NOT mixed AND doc_id > low").select("doc_id", F.col("low").alias("first_doc_id"), "begin", "stop")
+    # Of minimizers with several kinds of fragments one fragment stands for each kind: that of its least document.
+    mixed = several.where("mixed").select("anchor", "content", "doc_id", "begin", "stop")
+    kinds = mixed.groupBy("anchor", "content").agg(F.min(F.struct("doc_id", "begin", "stop")).alias("own"))
+    kinds = materialize(kinds.select("anchor", "content", "own.*"), "kinds")
+    needed = materialize(kinds.groupBy("doc_id").agg(F.collect_list(F.struct("anchor", "content", "begin", "stop")).alias("cuts")), "needed")
 
     def take(batches):
         """The words' hashes of the fragments that stand for each kind."""
@@ -244,28 +247,38 @@ def repeats(docs: DataFrame, least: int = MIN_WORDS, k: int = GRAM) -> DataFrame
                 cuts, ids = part.column("cuts"), part.column("doc_id").to_pylist()
                 own = np.repeat(np.arange(part.num_rows), np.diff(cuts.offsets.to_numpy()))
                 flat = cuts.flatten()
-                a, b, c = (flat.field(i).to_numpy() for i in range(3))
+                a, kind, b, c = (flat.field(i).to_numpy() for i in range(4))
                 fits = w.first[own] + c <= w.first[own + 1]  # another text of a repeated doc_id may be shorter
-                own, a, b, c = own[fits], a[fits], b[fits], c[fits]
-                size = c - b
+                own, a, kind, b, c = own[fits], a[fits], kind[fits], b[fits], c[fits]
+                sums = np.zeros(len(w.hash) + 1, U)
+                np.cumsum(w.hash * powers(BASE, len(w.hash)), out=sums[1:])
+                # ... or have other words there.
+                begin, stop = w.first[own] + b, w.first[own] + c
+                same = content(sums, begin, stop) == kind
+                own, a, kind, begin, size = own[same], a[same], kind[same], begin[same], (c - b)[same]
                 bounds = np.append(0, np.cumsum(size))
-                index = np.arange(bounds[-1]) - np.repeat(bounds[:-1] - w.first[own] - b, size)
+                index = np.arange(bounds[-1]) - np.repeat(bounds[:-1] - begin, size)
                 yield pa.RecordBatch.from_arrays([
-                    pa.array(a), pa.array(np.array(ids, np.int64)[own]), pa.array(b), pa.array(c),
+                    pa.array(a), pa.array(kind), pa.array(np.array(ids, np.int64)[own]),
                     pa.ListArray.from_arrays(pa.array(bounds.astype(np.int32)), pa.array((w.hash[index] >> U(32)).astype(np.uint32).view(np.int32))),
-                ], ["anchor", "doc_id", "begin", "stop", "words"])
-
-    taken = semi_filter(docs, needed, "doc_id").mapInArrow(take, "anchor long, doc_id long, begin int, stop int, words array<int>")
-    taken = taken.groupBy("anchor", "doc_id", "begin", "stop").agg(F.min("words").alias("words"))
-    placed = mixed.select("anchor", "own.doc_id", "own.begin", "own.stop", F.transform("members", lambda m: m.doc_id).alias("ids"), F.transform("members", lambda m: m.begin).alias("begins"))
-    collected = placed.join(taken, ["anchor", "doc_id", "begin", "stop"]).repartition("anchor").sortWithinPartitions("anchor", "doc_id", "begin")
-
-    def build(batches):
-        for rows in _collections(batches):
-            yield from _repeated(rows, least, folder)
-
-    found = collected.select("anchor", "words", "ids", "begins").mapInArrow(build, "doc_id long, first_doc_id long, begin int, stop int")
-    pieces = alike.where("doc_id > first_doc_id").union(found)
+                ], ["anchor", "content", "doc_id", "words"])
+
+    taken = semi_filter(docs, needed, "doc_id").mapInArrow(take, "anchor long, content long, doc_id long, words array<int>")
+    # Repeated rows of a document give the same words again.
+    taken = taken.groupBy("anchor", "content", "doc_id").agg(F.min("words").alias("words"))
+    hot = materialize(kinds.groupBy("anchor").agg(F.sum(F.col("stop") - F.col("begin")).alias("symbols")).where(F.col("symbols") > collection).select("anchor"), "hot")
+    if hot.isEmpty():
+        found = _built(taken, least, folder)
+    else:
+        # A minimizer whose kinds are more than a collection has its windows compared by their hash, which needs no task to see them all.
+        taken = materialize(taken, "taken")
+        found = _built(taken.join(hot, "anchor", "left_anti"), least, folder).union(_by_window(taken.join(hot, "anchor", "left_semi"), least))
+    # Each run of windows for all members of its kind.
+    runs = materialize(found, "runs")
+    members = mixed.join(runs.hint("merge"), ["anchor", "content"]).where("doc_id > first_doc_id").select(
+        "doc_id", "first_doc_id", (F.col("begin") + F.col("low")).alias("begin"), (F.col("begin") + F.col("high")).alias("stop")
+    )
+    pieces = alike.union(members)
     # Windows of one pair that overlap or follow each other are one passage.
     order = Window.partitionBy("doc_id", "first_doc_id").orderBy("begin", "stop")
     reach = F.max("stop").over(order.rowsBetween(Window.unboundedPreceding, -1))
@@ -274,6 +287,55 @@ def repeats(docs: DataFrame, least: int = MIN_WORDS, k: int = GRAM) -> DataFrame
     return joined.groupBy("doc_id", "first_doc_id", "run").agg(F.min("begin").cast("long").alias("begin"), F.max("stop").cast("long").alias("end")).drop("run")
 
 
+_RUNS = "anchor long, content long, first_doc_id long, low int, high int"
+
+
+def _built(taken: DataFrame, least: int, folder: str) -> DataFrame:
+    """Runs of windows by kind, from collections of whole minimizers."""
+
+    def build(batches):
+        for rows in _collections(batches):
+            yield from _repeated(rows, least, folder)
+
+    return taken.repartition("anchor").sortWithinPartitions("anchor", "doc_id").mapInArrow(build, _RUNS)
+
+
+def _by_window(taken: DataFrame, least: int) -> DataFrame:
+    """The same, from hashes of the windows: a row a window, its least document by a partial aggregate."""
+
+    def windows(batches):
+        for batch in batches:
+            for at in range(0, batch.num_rows, 500):
+                part = batch.slice(at, 500)
+                words = part.column("words")
+                size = np.diff(words.offsets.to_numpy())
+                symbols = words.flatten().to_numpy().view(np.uint32).astype(U)
+                first = np.append(0, np.cumsum(size))
+                count = np.maximum(size - least + 1, 0)
+                row = np.repeat(np.arange(len(size)), count)
+                place = np.arange(len(row)) - np.repeat(np.append(0, np.cumsum(count))[:-1], count)
+                sums = np.zeros(len(symbols) + 1, U)
+                np.cumsum(mix(symbols) * powers(BASE, len(symbols)), out=sums[1:])
+                begin = first[row] + place
+                window = content(sums, begin, begin + least)
+                yield pa.RecordBatch.from_arrays([
+                    *(part.column(c).take(pa.array(row)) for c in ("anchor", "content", "doc_id")), pa.array(place.astype(np.int32)), pa.array(window),
+                ], ["anchor", "content", "doc_id", "place", "window"])
+
+    rows = materialize(taken.mapInArrow(windows, "anchor long, content long, doc_id long, place int, window long"), "windows")
+    firsts = rows.groupBy("anchor", "window").agg(F.min("doc_id").alias("first_doc_id"))
+    same = rows.join(firsts.hint("merge"), ["anchor", "window"])
+    order = Window.partitionBy("anchor", "content", "first_doc_id").orderBy("place")
+    return same.withColumn("run", F.col("place") - F.row_number().over(order)).groupBy("anchor", "content", "first_doc_id", "run").agg(
+        F.min("place").alias("low"), (F.max("place") + least).cast("int").alias("high")
+    ).select("anchor", "content", "first_doc_id", "low", "high")
+
+
+def content(sums: np.ndarray, begin: np.ndarray, stop: np.ndarray) -> np.ndarray:
+    """Hash of spans of words, from the running sums of their hashes by powers."""
+    return (mix((sums[stop] - sums[begin]) * powers(INVERSE, len(sums))[begin]) ^ mix((stop - begin).astype(U))).view(np.int64)
+
+
 def _collections(batches):
     """Whole minimizers, sorted, about ``COLLECTION`` symbols at once."""
     held, symbols = [], 0
@@ -305,8 +367,7 @@ def _repeated(table: pa.Table, least: int, folder: str):
         return
     anchors = table.column("anchor").to_numpy()
     sizes, words = _flat(table, "words")
-    counts, ids = _flat(table, "ids")
-    _, begins = _flat(table, "begins")
+    lows = table.column("doc_id").to_numpy()
     _, symbols = np.unique(words, return_inverse=True)
     _, group = np.unique(anchors, return_inverse=True)
     made = Collection(symbols, sizes, Files(folder))
@@ -318,7 +379,6 @@ def _repeated(table: pa.Table, least: int, folder: str):
     label = np.cumsum(start)[window]
     text = made.text[window]
     offset = sizes[text] - made.length[window]
-    lows = np.minimum.reduceat(ids, np.append(0, np.cumsum(counts))[:-1])
     order = np.lexsort((lows[text], group[text], label))
     text, offset, label = text[order], offset[order], label[order]
     new = np.concatenate(([True], (label[1:] != label[:-1]) | (group[text][1:] != group[text][:-1])))
@@ -329,16 +389,9 @@ def _repeated(table: pa.Table, least: int, folder: str):
     new = np.flatnonzero(np.concatenate(([True], (text[1:] != text[:-1]) | (first[1:] != first[:-1]) | (offset[1:] != offset[:-1] + 1))))
     last = np.append(new[1:], len(text)) - 1
     text, low, high, first = text[new], offset[new], offset[last] + least, first[new]
-    # Each for all members of the fragment.
-    n = counts[text]
-    base = np.append(0, np.cumsum(counts))[text]
-    run = np.repeat(np.arange(len(text)), n)
-    index = np.arange(len(run)) - np.repeat(np.append(0, np.cumsum(n))[:-1] - base, n)
-    keep = ids[index] > first[run]
-    run, index = run[keep], index[keep]
     yield pa.RecordBatch.from_arrays([
-        pa.array(ids[index]), pa.array(first[run]), pa.array((begins[index] + low[run]).astype(np.int32)), pa.array((begins[index] + high[run]).astype(np.int32)),
-    ], ["doc_id", "first_doc_id", "begin", "stop"])
+        pa.array(anchors[text]), pa.array(table.column("content").to_numpy()[text]), pa.array(first), pa.array(low.astype(np.int32)), pa.array(high.astype(np.int32)),
+    ], ["anchor", "content", "first_doc_id", "low", "high"])
 
 
 def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

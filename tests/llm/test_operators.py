@@ -245,6 +245,31 @@ def test_repeats(odd, empty):
     assert suffixes.repeats(empty).count() == 0
 
 
+def test_repeats_of_hot_minimizers(spark):
+    """Passages in other surroundings, by collections and, for minimizers that are too hot, by windows' hashes: the same rows as from all windows."""
+    rng = np.random.default_rng(8)
+    word = lambda n: " ".join(f"w{x}" for x in rng.integers(0, 400, n))
+    passages = [word(70) for _ in range(3)]
+    rows = [(i, f"{word(int(rng.integers(0, 40)))} {passages[i % 3]} {word(int(rng.integers(0, 40)))} {passages[(i + i // 3) % 3]}") for i in range(60)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    first, wanted = {}, set()
+    for i, t in rows:
+        w = t.split()
+        for b in range(len(w) - 49):
+            first.setdefault(tuple(w[b : b + 50]), i)
+    for i, t in rows:
+        w, last = t.split(), None
+        for b in range(len(w) - 48):
+            f = first[tuple(w[b : b + 50])] if b < len(w) - 49 else None
+            if last and last[0] != f:
+                wanted.add((i, last[0], last[1], b + 49))
+                last = None
+            if f is not None and f < i and last is None:
+                last = (f, b)
+    for collection in (suffixes.COLLECTION, 300, 0):
+        assert {(r.doc_id, r.first_doc_id, r.begin, r.end) for r in suffixes.repeats(df, collection=collection).collect()} == wanted
+
+
 def test_quality(spark, odd, empty):
     docs, labels = (spark.read.parquet(f"/root/testdata/sf0.01/{t}.parquet") for t in ("documents", "labels"))
     model = quality.train(docs, labels)
