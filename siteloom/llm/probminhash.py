@@ -7,12 +7,15 @@ after one point. Two documents agree in a register with the probability Jaccard
     J(a, b) = sum over shared s of 1 / sum over t of max(a[t] / a[s], b[t] / b[s]).
 
 Registers are grouped into bands. Exact copies (of the words) are one node, that of their least doc_id. In every band
-bucket each node is compared with the bucket's least one (the hub); a node that fails this is compared with all nodes
-of the bucket, so each pair of a bucket is either tested or joined through the hub, and hot buckets cost no square of
-their size. A pair is verified by its exact J over the shingles. Groups are the components of the verified pairs.
+bucket each node is compared with the bucket's least one (the hub). A node that fails this is compared with those nodes of
+the bucket that are in another component after this step; pairs within a component need no test, as they can't change a
+group, and a bucket that lies in one component drops out as a whole. So every pair of a bucket is either tested or joined,
+no link is lost, and a hot bucket of copies costs no square of its size. What is left is the square of the components in a
+bucket, of nodes that share a band with each other and are yet below the threshold. A pair is verified by its exact J over
+the shingles. Groups are the components of the verified pairs.
 
 Defined results: null and empty texts, and texts without words, are in no group; a text of fewer than ``SHINGLE`` words
-is one shingle; repeated rows of one doc_id count as one document (that of the largest text); rows without a doc_id
+is one shingle; repeated rows of one doc_id count as one document (that of the longest text in bytes); rows without a doc_id
 are dropped by ``duplicates`` and kept by ``keep_one``; an empty table gives an empty result; other columns are
 ignored or passed through.
 """
@@ -97,6 +100,11 @@ def probability_jaccard(ha: np.ndarray, wa: np.ndarray, hb: np.ndarray, wb: np.n
     return float((1.0 / total).sum())
 
 
+def _which() -> list:
+    """Which of several texts of a doc_id counts, when it is signed and when it is verified: the greatest (size, mark)."""
+    return [F.octet_length("text").cast("long").alias("size"), F.xxhash64("text").alias("mark")]
+
+
 def candidates(docs: DataFrame, shingle: int, bands: int, rows: int) -> tuple[DataFrame, DataFrame]:
     """Copies (doc_id, node) of the same words, and bucket members (bucket, node) of buckets with several nodes."""
     m = bands * rows
@@ -118,14 +126,14 @@ def candidates(docs: DataFrame, shingle: int, bands: int, rows: int) -> tuple[Da
                 kept = part.column("doc_id").filter(pa.array(ok))
                 bounds = pa.array(np.arange(len(key) + 1, dtype=np.int32) * bands)
                 yield pa.RecordBatch.from_arrays([
-                    kept, pa.array(ones.view(np.int64)), pa.array(twos.view(np.int64)), pa.array(w.count[ok].astype(np.int32)),
+                    kept, *(part.column(c).filter(pa.array(ok)) for c in ("size", "mark")), pa.array(ones.view(np.int64)), pa.array(twos.view(np.int64)), pa.array(w.count[ok].astype(np.int32)),
                     pa.ListArray.from_arrays(bounds, pa.array(key.reshape(-1).view(np.int64))),
-                ], ["doc_id", "one", "two", "n", "keys"])
+                ], ["doc_id", "size", "mark", "one", "two", "n", "keys"])
 
-    signed = materialize(docs.mapInArrow(sign, "doc_id long, one long, two long, n int, keys array<long>"), "signatures")
-    # Of a repeated doc_id the row of the most words counts; of exact copies the least doc_id.
+    signed = materialize(docs.select("doc_id", "text", *_which()).mapInArrow(sign, "doc_id long, size long, mark long, one long, two long, n int, keys array<long>"), "signatures")
+    # Of a repeated doc_id the longest text counts; of exact copies the least doc_id.
     nodes = (
-        signed.groupBy("doc_id").agg(F.max(F.struct("n", "one", "two", "keys")).alias("s")).select("doc_id", "s.*")
+        signed.groupBy("doc_id").agg(F.max(F.struct("size", "mark", "one", "two", "n", "keys")).alias("s")).select("doc_id", "s.*")
         .groupBy("one", "two", "n").agg(F.min(F.struct("doc_id", "keys")).alias("s"), F.collect_list("doc_id").alias("ids"))
     )
     nodes = materialize(nodes.select(F.col("s.doc_id").alias("node"), "s.keys", "ids"), "nodes")
@@ -143,7 +151,7 @@ def verify(docs: DataFrame, pairs: DataFrame, shingle: int, threshold: float) ->
     """
     needed = materialize(pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct(), "needed")
     found = materialize(
-        semi_filter(docs, needed, "doc_id").groupBy("doc_id").agg(F.max(F.struct(F.regexp_count("text", F.lit(r"[^ \t\n\r]+")).alias("n"), "text")).alias("s")).select("doc_id", "s.text"),
+        semi_filter(docs, needed, "doc_id").groupBy("doc_id").agg(F.max(F.struct(*_which(), "text")).alias("s")).select("doc_id", "s.text"),
         "candidates",
     )
     sides = (
@@ -178,7 +186,8 @@ def components(edges: DataFrame) -> DataFrame:
     """(node, root) of every node of ``edges`` (a, b): the least node of its component.
 
     Hash-to-min with pointer jumping: each round every node takes the least root of its neighbours, then its root's
-    root; a chain of n takes about log n rounds, each of which is written to the shared folder.
+    root; a chain of n takes about log n rounds, each of which is written to the shared folder. A giant component's root is
+    a hot key on one side of joins whose other side has one row for it, which adaptive skew joins split.
     """
     both = materialize(edges.select("a", "b").union(edges.select("b", "a")).distinct(), "edges")
     roots = materialize(both.groupBy(F.col("a").alias("node")).agg(F.least(F.min("b"), F.col("a")).alias("root")), "roots")
@@ -201,14 +210,21 @@ def duplicates(docs: DataFrame, shingle: int = SHINGLE, bands: int = BANDS, rows
     copies, buckets = candidates(docs, shingle, bands, rows)
     stars = buckets.where("node > hub").select(F.col("hub").alias("a"), F.col("node").alias("b")).distinct()
     tested = verify(docs, materialize(stars, "pairs"), shingle, threshold)
-    failed = tested.where("NOT same").select(F.col("a").alias("hub"), F.col("b").alias("node"))
-    odd = materialize(buckets.join(failed, ["hub", "node"], "left_semi").select("bucket", F.col("node").alias("x")), "odd")
-    rest = odd.join(buckets, "bucket").where("x <> node AND node <> hub").select(F.least("x", "node").alias("a"), F.greatest("x", "node").alias("b")).distinct()
-    rest = materialize(rest.join(tested, ["a", "b"], "left_anti"), "pairs")
     edges = tested.where("same").select("a", "b")
-    if not rest.isEmpty():
-        edges = edges.union(verify(docs, rest, shingle, threshold).where("same").select("a", "b"))
     roots = components(edges)
+    failed = tested.where("NOT same").select(F.col("a").alias("hub"), F.col("b").alias("node"))
+    if not failed.isEmpty():
+        # Members with their components; buckets that lie in one component need nothing more.
+        placed = buckets.join(roots, "node", "left").select("bucket", "hub", "node", F.coalesce("root", "node").alias("root"))
+        several = placed.groupBy("bucket").agg(F.min("root").alias("_a"), F.max("root").alias("_b")).where("_a < _b").select("bucket")
+        placed = materialize(placed.join(several, "bucket", "left_semi"), "placed")
+        odd = placed.join(failed, ["hub", "node"], "left_semi").select("bucket", F.col("node").alias("x"), F.col("root").alias("x_root"))
+        rest = odd.join(placed, "bucket").where("x_root <> root AND node <> hub").select(F.least("x", "node").alias("a"), F.greatest("x", "node").alias("b")).distinct()
+        rest = materialize(rest.join(tested, ["a", "b"], "left_anti"), "pairs")
+        if not rest.isEmpty():
+            more = verify(docs, rest, shingle, threshold).where("same").select("a", "b")
+            if not more.isEmpty():
+                roots = components(edges.union(more))
     linked = roots.withColumnRenamed("node", "doc_id")
     far = copies.join(roots, "node", "left").select("doc_id", F.coalesce("root", "node").alias("root"))
     # A node's own copies follow it to its root; the node itself is among them.

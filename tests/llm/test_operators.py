@@ -223,6 +223,22 @@ def test_near_copies(spark, odd, empty):
     assert {i for i, _ in mine} <= {i for i, _ in wanted}
 
 
+def test_near_copies_in_hot_buckets(spark):
+    """One band of one register puts all texts with a frequent shingle into one bucket; a chain of copies that fail against the hub is still one group."""
+    base = [f"t{i}" for i in range(40)]
+    chain = [" ".join(base[: 40 - 4 * k] + [f"n{k}x{j}" for j in range(4 * k)]) for k in range(5)]  # each is near the one before, the last not near the first
+    rows = [(10 * i, t) for i, t in enumerate(chain)] + [(1000 + i, f"same three words and {i} other {i * 7} things {i * 11}") for i in range(30)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    found = {i: (h[np.argsort(h)], w[np.argsort(h)]) for i, t in rows for _, h, w in [probminhash.shingles(Words(pa.array([t])))]}
+    near = {(i, j) for i in found for j in found if i < j and probminhash.probability_jaccard(*found[i], *found[j]) >= 0.5}
+    roots = {i: i for i in found}
+    for _ in found:
+        for i, j in near:
+            roots[i] = roots[j] = min(roots[i], roots[j])
+    got = {(r.doc_id, r.keeper_id) for r in probminhash.duplicates(df, bands=96, rows=1).collect()}
+    assert got == {(i, r) for i, r in roots.items() if i != r}
+
+
 @pytest.mark.parametrize("external", [0, 1 << 30])
 def test_collection_by_brute_force(tmp_path, external):
     rng = np.random.default_rng(3)
