@@ -33,6 +33,10 @@ BASES = (U(1103515245), U(1664525927))
 LEAD = 64
 #: Characters of a text that the ranges of the sort are made of; texts that agree in more are in one partition, where they are streamed.
 RANGE_KEY = 4096
+#: Texts of a partition that the ranges are made from; they come to the driver, cut to ``RANGE_KEY``.
+RANGE_SAMPLE = 20
+#: Bytes of text that are turned into prefix arrays at once.
+PIECE = 1_500_000
 
 
 def _powers(k: int, n: int) -> np.ndarray:
@@ -179,7 +183,7 @@ def _placed(batches, lead: int):
     part, seq, last, last_id = TaskContext.get().partitionId(), 0, None, None
     whole, left, right = 1 << 60, [], []
     for batch in batches:
-        for piece in slices(batch):
+        for piece in slices(batch, limit=PIECE):
             column = piece.column("text")
             joined = column if last is None else pa.concat_arrays([pa.array([last], column.type), column])
             p = Prefixes(joined)
@@ -258,7 +262,13 @@ def shared(sides: DataFrame, lead: int = LEAD) -> DataFrame:
     spark = sides.sparkSession
     key = F.substring("text", 1, RANGE_KEY)
     laid = sides.repartitionByRange(shuffles(spark), key).sortWithinPartitions("text", "doc_id")
-    placed = materialize(laid.mapInArrow(lambda b: _placed(b, lead), _PLACED), "placed")
+    setting = "spark.sql.execution.rangeExchange.sampleSizePerPartition"
+    before = spark.conf.get(setting)
+    spark.conf.set(setting, str(min(int(before), RANGE_SAMPLE)))
+    try:
+        placed = materialize(laid.mapInArrow(lambda b: _placed(b, lead), _PLACED), "placed")
+    finally:
+        spark.conf.set(setting, before)
     # A row a partition, of numbers: at most as many as a text has characters, in practice a few.
     parts = [(r.part, r.whole, [tuple(x) for x in r.lefts], [tuple(x) for x in r.rights]) for r in placed.where("seq = -1").select("part", "whole", "lefts", "rights").orderBy("part").collect()]
     follows = spark.createDataFrame([(a[0], b[0]) for a, b in zip(parts, parts[1:])], "part int, after int")
@@ -267,13 +277,13 @@ def shared(sides: DataFrame, lead: int = LEAD) -> DataFrame:
     joints = follows.join(last, "part").join(begin, "after").select("part", "last", "next").mapInArrow(_joint, "part int, common long").collect() if len(parts) > 1 else []
     joints = {r.part: r.common if r.common >= lead else 0 for r in joints}
     stand = []
-    for part, before, behind in _edges(parts, joints, lead):
+    for part, earlier, behind in _edges(parts, joints, lead):
         # They stand for all texts before and behind: the extension between two of them is that of the farther one.
-        commons = [0] + [length for length, _ in before[:-1]]
-        stand += [(part, k - len(before), id_, None, None, c) for k, ((_, id_), c) in enumerate(zip(before, commons))]
+        commons = [0] + [length for length, _ in earlier[:-1]]
+        stand += [(part, k - len(earlier), id_, None, None, c) for k, ((_, id_), c) in enumerate(zip(earlier, commons))]
         stand += [(part, (1 << 60) + k, id_, None, None, length) for k, (length, id_) in enumerate(behind[::-1])]
-        if before:
-            stand.append((part, None, None, None, None, before[-1][0]))  # the first text's own extension with what is before
+        if earlier:
+            stand.append((part, None, None, None, None, earlier[-1][0]))  # the first text's own extension with what is before
     pseudo = spark.createDataFrame([x for x in stand if x[1] is not None], "part int, seq long, first long, n_chars long, mark long, common long")
     heads = spark.createDataFrame([(x[0], x[5]) for x in stand if x[1] is None], "part int, head long")
     rows = placed.where("seq >= 0").join(F.broadcast(heads), "part", "left").select(
@@ -288,7 +298,7 @@ def fingerprints(docs: DataFrame, lead: int = LEAD) -> DataFrame:
 
     def hashes(batches):
         for batch in batches:
-            for piece in slices(batch):
+            for piece in slices(batch, limit=PIECE):
                 p = Prefixes(piece.column("text"))
                 yield pa.RecordBatch.from_arrays([*(piece.column(c) for c in ("doc_id", "mark", "lead", "tail")), pa.array(np.diff(p.start)), pa.array(p.fingerprint())], ["doc_id", "mark", "lead", "tail", "n_chars", "fingerprint"])
 
