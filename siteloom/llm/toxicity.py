@@ -6,7 +6,8 @@ determinised once, on the driver; on the executors they run over all words of a
 Edits are at any place, a swap of neighbours is one, and digits count as the letters that they resemble.
 
 A match scores 1, less 0.15 an edit; in its window of ``CONTEXT`` words an address (you, ...) adds 0.2, quotation marks
-around it take 0.3 and a reporting verb takes 0.3. A document is toxic if a match scores ``THRESHOLD`` or more.
+around it take 0.4 and a reporting verb takes 0.4, so either clears even an exact term that addresses nobody. A document is
+toxic if a match scores ``THRESHOLD`` or more.
 
 Words and stems (prefixes of any length) are learnt from at most ``TRAIN_TOXIC`` toxic and ``TRAIN_CLEAN`` other labelled
 rows (those of least hash): those that pass ``marked`` in a language and whose odds over all languages are as good.
@@ -213,9 +214,9 @@ def score(edits: int, before: bytes, after: bytes) -> float:
     if ADDRESS.search(before) or ADDRESS.search(after):
         s += 0.2
     if len(QUOTE.findall(before)) % 2 and QUOTE.search(after):
-        s -= 0.3
+        s -= 0.4
     if REPORT.search(before) or REPORT.search(after):
-        s -= 0.3
+        s -= 0.4
     return round(s, 6)
 
 
