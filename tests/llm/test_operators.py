@@ -1,5 +1,6 @@
 """Operators against SQL, brute force, and the cases that each docstring defines."""
 
+import re
 from collections import Counter
 
 import numpy as np
@@ -108,34 +109,91 @@ def test_prefix_hashes_by_brute_force():
 
 
 def _distance(a, b):
-    row = list(range(len(b) + 1))
-    for i, x in enumerate(a, 1):
-        row, before = [i, *row[1:]], row
-        for j, y in enumerate(b, 1):
-            row[j] = min(before[j] + 1, row[j - 1] + 1, before[j - 1] + (x != y))
-    return row[-1]
+    """Levenshtein distance with swaps of neighbours (optimal string alignment)."""
+    d = [[max(i, j) if not i or not j else 0 for j in range(len(b) + 1)] for i in range(len(a) + 1)]
+    for i in range(1, len(a) + 1):
+        for j in range(1, len(b) + 1):
+            d[i][j] = min(d[i - 1][j] + 1, d[i][j - 1] + 1, d[i - 1][j - 1] + (a[i - 1] != b[j - 1]))
+            if i > 1 and j > 1 and a[i - 1] == b[j - 2] and a[i - 2] == b[j - 1]:
+                d[i][j] = min(d[i][j], d[i - 2][j - 2] + 1)
+    return d[-1][-1]
+
+
+def _misspelt(terms, n, seed=1):
+    """Terms with up to three edits at any place."""
+    rng, out = np.random.default_rng(seed), []
+    for t in terms:
+        for _ in range(n):
+            w = list(t)
+            for _ in range(rng.integers(0, 4)):
+                k = int(rng.integers(0, len(w)))
+                if rng.random() < 0.3 and k + 1 < len(w):
+                    w[k], w[k + 1] = w[k + 1], w[k]
+                else:
+                    w[k : k + int(rng.integers(0, 2))] = list("abcdefgx"[int(rng.integers(0, 8))])
+            out.append("".join(w))
+    return out
 
 
 def test_automaton_by_brute_force():
     terms = ["idiot", "pathetic", "scum", "motherfucker"]
-    rng = np.random.default_rng(1)
-    words = []
-    for t in terms:
-        for _ in range(150):
-            w = list(t)
-            for _ in range(rng.integers(0, 4)):
-                k = int(rng.integers(1, len(w)))
-                w[k : k + int(rng.integers(0, 2))] = list("abcdefgx"[int(rng.integers(0, 8))])
-            words.append("".join(w))
+    words = _misspelt(terms, 150)
     w = Words(pa.array([" ".join(words)]), hashed=False)
     automaton = toxicity.Automaton(terms)
     found, states = automaton.match(w.bytes, w.starts, w.ends)
     got = {words[i]: int(automaton.edits[s]) for i, s in zip(found, states)}
-    # A misspelling keeps the first letter, so the distance is that of the rest.
-    best = {x: min((_distance(x[1:], t[1:]) for t in terms if x[0] == t[0] and _distance(x[1:], t[1:]) <= toxicity.allowed(t)), default=None) for x in words}
+    best = {x: min((_distance(x, t) for t in terms if _distance(x, t) <= toxicity.allowed(t)), default=None) for x in words}
     assert got == {x: n for x, n in best.items() if n is not None}
 
 
+def test_toxicity_scan_by_brute_force(spark):
+    """Scores of whole documents, word by word: misspellings, address, quotation, report."""
+    terms, rng = ["idiot", "pathetic", "scum"], np.random.default_rng(9)
+    other = ["you", "said", '"', "house", "green", "tree", "walks", "Term", "u", "\u201csee\u201d", "nothing", "."]
+    rows = [(i, " ".join(x for k in range(12) for x in (other[int(rng.integers(0, len(other)))], w) if k % 3 or x != w)) for i, w in enumerate(_misspelt(terms, 60, 2))]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    automaton = toxicity.Automaton(terms)
+    got = {r.doc_id: (r.toxic, r.score, r.n_matches, r.n_abusive) for r in toxicity.scan(df, automaton).collect()}
+    wanted = {}
+    for i, t in rows:
+        raw, scores = t.lower().encode(), []
+        places = [(m.start(), m.end()) for m in re.finditer(rb"[a-z0-9\x80-\xff]+", raw)]
+        for k, (a, b) in enumerate(places):
+            edits = min((_distance(raw[a:b].decode(), x) for x in terms if _distance(raw[a:b].decode(), x) <= toxicity.allowed(x)), default=None)
+            if edits is None:
+                continue
+            before = raw[max(0, places[max(0, k - 6)][0] - 3) : a]
+            after = raw[b : min(len(raw), places[min(len(places) - 1, k + 6)][1] + 3)]
+            s = 1 - 0.15 * edits + 0.2 * bool(re.search(rb"\b(you|u)\b", before + b" " + after))
+            quotes = [x for x in re.findall(rb'"|\xe2\x80[\x9c-\x9f]', before)]
+            s -= 0.4 * (len(quotes) % 2 == 1 and bool(re.search(rb'"|\xe2\x80[\x9c-\x9f]', after))) + 0.4 * bool(re.search(rb"\b(said|term)\b", before + b" " + after))
+            scores.append(round(s, 6))
+        if scores:
+            wanted[i] = (max(scores) >= 0.65, max(scores), len(scores), sum(x >= 0.65 for x in scores))
+    assert got == wanted and {x[0] for x in wanted.values()} == {True, False}
+
+
+def test_toxicity_context():
+    """Quotation or report clears an exact term by itself; an address inside a quotation doesn't; common words one edit away are no matches."""
+    for before, after in ((b'the "', b'" sign'), (b"they called him an ", b" in court"), (b'she wrote "', b'" twice'), (b"the word ", b" is old")):
+        assert toxicity.score(0, before, after) < toxicity.THRESHOLD
+    for before, after in ((b"what an ", b""), (b"you ", b""), (b'"you ', b'" '), (b'the end". an ', b" indeed")):
+        assert toxicity.score(0, before, after) >= toxicity.THRESHOLD
+    automaton = toxicity.Automaton(list(toxicity.TERMS), excluded=toxicity.LOOKALIKES)
+    w = Words(pa.array(["the crown and my lover lose a witch, a clod and the moon"]), hashed=False)
+    assert not len(automaton.match(w.bytes, w.starts, w.ends)[0])
+
+
+def test_toxicity_learning_odd_tables(spark, odd, empty):
+    """No documents, no labels, null and repeated labels, odd texts: the lexicon is the terms alone, or what is left to learn from."""
+    none = spark.createDataFrame([], "doc_id long, toxic int")
+    some = spark.createDataFrame([(1, 1), (1, 0), (None, 1), (2, None), (3, 0), (4, 0), (9, 0), (99, 1)], "doc_id long, toxic int")
+    for docs, labels in ((empty, none), (odd, none), (empty, some), (odd, some)):
+        automaton = toxicity.learn(docs, labels)
+        assert set(automaton.terms) == set(toxicity.TERMS)
+        assert [(r.doc_id, r.toxic) for r in toxicity.scan(odd, automaton).collect()] == [(8, True)]
+
+
 def test_toxicity(odd, empty):
     automaton = toxicity.Automaton(list(toxicity.TERMS))
     assert [(r.doc_id, r.toxic) for r in toxicity.scan(odd, automaton).collect()] == [(8, True)]
@@ -306,6 +364,49 @@ def test_quality(spark, odd, empty):
     assert np.allclose(m.scores(x), logs[1] - logs[0])
 
 
+def test_statistics_by_brute_force():
+    """Each statistic from its definition, over texts with nulls, empty ones, several lines and no letters."""
+    texts = ["One two, two TWO three. 12%!\nsame\nsame\n", "", None, "...", "   \n\n", "ünï çödé ünï çödé", "a", STORY]
+    got = quality.statistics(pa.array(texts))
+    for t, row in zip(texts, got):
+        raw = (t or "").encode()
+        words = re.findall(rb"[a-zA-Z0-9\x80-\xff]+", raw)
+        n, size = max(len(words), 1), max(len(raw), 1)
+        lengths = np.array([len(w) for w in words] or [0])
+        pairs = list(zip(words, words[1:]))
+        lines = raw.split(b"\n") if raw else []
+        if lines and not lines[-1]:
+            lines.pop()
+        share = lambda letters: sum(c in letters for c in raw) / size
+        shares = np.array([k / size for k in Counter(raw).values()])
+        others = bytes(c for c in range(128) if not chr(c).isalnum() and chr(c) not in " \t\n\r\v\f.!?")
+        wanted = [
+            np.log1p(len(raw)), np.log1p(len(words)), np.log1p(lengths.mean()), np.log1p(lengths.std()), np.sqrt(len(set(words)) / n), np.sqrt(share(others)), np.sqrt(share(b"0123456789")),
+            np.sqrt(share(bytes(range(65, 91)))), share(b" \t\n\r\v\f"), np.log1p(len(raw) / max(len(lines), 1)), 1 - len(set(lines)) / len(lines) if lines else 0.0, -(shares * np.log2(shares)).sum(),
+            1 - len(set(pairs)) / len(pairs) if pairs else 0.0, np.sqrt(share(b".!?")),
+        ]
+        for name, a, b in zip(quality.STATISTICS, row, wanted):
+            assert a == pytest.approx(b, abs=1e-9), (name, t)
+
+
+def test_quality_chooses_by_held_out_rows(spark):
+    rng = np.random.default_rng(12)
+    y = np.repeat([0, 1], [900, 300])
+    x = rng.normal(size=(1200, len(quality.STATISTICS))) * (1 + y[:, None]) + y[:, None] * 0.8
+    model = quality.chosen(x, y)
+    fresh = rng.normal(size=(4000, len(quality.STATISTICS)))
+    label = np.repeat([0, 1], 2000)
+    accuracy = quality.balanced(model.scores(fresh * (1 + label[:, None]) + label[:, None] * 0.8), label)
+    assert accuracy > 0.85 and abs(accuracy - model.held_out) < 0.08
+    # A repeated doc_id counts with its longest text, whatever the order of the rows.
+    rows = [(i, "word " * (i % 7 + 1) + "x" * i, i % 2) for i in range(40)]
+    labels = spark.createDataFrame([(i, q) for i, _, q in rows] + [(None, 1), (3, None), (5, 0)], "doc_id long, quality int")
+    twice = spark.createDataFrame([(i, t) for i, t, _ in rows] + [(i, "short") for i, _, _ in rows], "doc_id long, text string")
+    first, second = quality.train(twice, labels), quality.train(twice.orderBy(F.desc("text")), labels)
+    assert np.allclose(first.centre, second.centre) and first.bias == second.bias
+    assert quality.train(twice.limit(0), labels).means == [] and quality.train(twice, labels.limit(0)).means == []
+
+
 def test_pii(spark, odd, empty):
     crf = pii.train(spark.read.parquet(f"{DATA}/documents.parquet"))
     got = {r.doc_id: r for r in pii.entities(odd, crf).collect()}
@@ -317,6 +418,52 @@ def test_pii(spark, odd, empty):
     assert pii.entities(empty, crf).count() == pii.redact(empty, crf).count() == 0
 
 
+def test_pii_of_generated_texts(spark):
+    """Held-out texts of the same forms (another seed): entities as a whole, over blanks too, and numbers that are none."""
+    crf = pii.train(spark.createDataFrame([], "doc_id long, text string"))
+    made = pii.generated(300, seed=99)
+    docs = spark.createDataFrame([(i, t) for i, (t, _) in enumerate(made)], "doc_id long, text string")
+    got = {(r.doc_id, e.begin, e.end, e.label) for r in pii.entities(docs, crf).collect() for e in r.entities}
+    wanted = {(i, a, b, x) for i, (_, spans) in enumerate(made) for a, b, x in spans}
+    assert len(got & wanted) >= 0.95 * len(wanted) and len(got & wanted) >= 0.95 * len(got)
+    text = "card 4111 1111 1111 1111, years 1990 1995 2000 2005; +44 20 7946 0958 or +1 (212) 555-1234 now"
+    out = pii.redact(spark.createDataFrame([(1, text), (1, text), (2, None), (3, "")], "doc_id long, text string"), crf).collect()
+    assert [r.text for r in out] == ["card <CARD>, years 1990 1995 2000 2005; <PHONE> or <PHONE> now"] * 2 + [None, ""]
+    # Documents are labelled by themselves, whatever else is in the batch.
+    some = [t for t, _ in made[:40]]
+    n = pii.Nodes(pa.array(some))
+    every = list(n.entities(n.labelled(crf)))
+    for i, t in enumerate(some):
+        one = pii.Nodes(pa.array([t]))
+        at = int(n.offsets[i])
+        assert [(a + at, b + at, x) for _, a, b, x in one.entities(one.labelled(crf))] == [(a, b, x) for r, a, b, x in every if r == i]
+
+
+def test_decoding_loops_by_brute_force():
+    """On small graphs with loops the labelling is nearly always the best one, and never far from it."""
+    from itertools import product
+
+    rng = np.random.default_rng(6)
+    n, exact, tried = len(pii.LABELS), 0, 25
+    every = np.array(list(product(range(n), repeat=5)))
+    for _ in range(tried):
+        links = rng.normal(size=(2, n, n))
+        crf = pii.Crf({}, np.zeros((0, n)), links[0], (links[1] + links[1].T) / 2 + 2 * np.eye(n))
+        unary = rng.normal(size=(5, n)) * 2
+        chain, skip = np.array([[0, 1], [1, 2], [3, 4]]), np.array([[0, 2], [0, 4], [1, 3]])
+        value = sum(unary[i, every[:, i]] for i in range(5)) + sum(crf.chain[every[:, a], every[:, b]] for a, b in chain) + sum(crf.skip[every[:, a], every[:, b]] for a, b in skip)
+        mine = value[(every == crf.decode(unary, chain, skip)).all(1)][0]
+        exact += mine == value.max()
+        assert mine >= value.max() - 2
+    assert exact >= 0.8 * tried
+
+
+def test_copies_are_two_edges_apart():
+    """Thirty copies that say little follow one that is next to strong evidence; all are linked with the first."""
+    n = pii.Nodes(pa.array(["x123456 " + "filler " * 3 + ("some x123456 more " * 30)]))
+    assert len(n.skip) == 30 and (n.skip[:, 0] == 0).all() and not len(n.chain)
+
+
 def test_decoding_a_chain_by_brute_force():
     from itertools import product
 
