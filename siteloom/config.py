@@ -7,7 +7,12 @@ from dataclasses import dataclass
 
 VIEWS = ("Vert", "North", "East", "South", "West")
 OBLIQUES = VIEWS[1:]
-STAGES = ("naip", "vert", "full", "recheck", "escalate", "wide", "zoom")
+NAIP, TOP_DOWN = "NAIP top-down", "Nearmap top-down"
+#: Requests of the cascade; those with _recheck are the second look at the reply before.
+STAGES = (
+    "naip", "naip_recheck", "vert", "vert_recheck", "full", "full_recheck", "escalate", "escalate_recheck",
+    "wide", "wide_recheck", "wide_escalate", "wide_escalate_recheck", "zoom",
+)
 
 
 def flag(name: str, default: bool = False) -> bool:

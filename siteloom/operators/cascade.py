@@ -1,36 +1,63 @@
-"""The cascade over the reply log. Replies are structs (site_type, conf, cell, evidence, model), one column a stage; null: no reply."""
+"""The cascade over the reply log. Replies are structs of ``FIELDS``, one column a stage; null: no reply.
+
+Every stage's reply has a second look of its own; each is judged with the views that its stage has shown. Modes: ``tiered``
+(NAIP, then the vertical view, then all), ``full`` (all views at once) and ``naip_only``.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from siteloom.config import DEFAULT, Config
-from siteloom.functions.scalars import confidence, confident_stop, escalation_reason, is_asset, is_false, is_true, trust
+from siteloom.config import DEFAULT, NAIP, TOP_DOWN, Config
+from siteloom.functions import geo
+from siteloom.functions.replies import reply as parsed
+from siteloom.functions.scalars import confidence, confident_stop, escalation_reason, is_asset, is_false, is_true, trust, trust_mismatch
+
+FIELDS = ("site_type", "conf", "cell", "cell_conf", "cell_evidence", "evidence", "box", "view", "model")
+_UNSURE = ("other", "unclear")
+
+
+def from_log(log: DataFrame) -> DataFrame:
+    """Replies as text (id, stage, attempt, model, raw) as rows of ``FIELDS``; failed requests (no raw) give none."""
+    got = parsed(F.col("raw"))
+    names = {
+        "site_type": "site_type", "conf": "site_confidence", "cell": "cell_equipment", "cell_conf": "cell_equipment_confidence", "cell_evidence": "cell_equipment_evidence",
+        "evidence": "site_evidence", "box": "asset_box_2d", "view": "asset_view",
+    }
+    return log.where("raw IS NOT NULL").select("id", "stage", "attempt", "model", *[got[name].alias(field) for field, name in names.items()])
 
 
 def pivot_stages(replies: DataFrame, stages: list[str], key: str = "id", attempt: str = "attempt") -> DataFrame:
     """One row a key with a struct for each stage, of its last attempt; one shuffle for all stages."""
-    reply = F.struct("site_type", "conf", "cell", "evidence", "model")
+    reply = F.struct(*FIELDS)
     return replies.groupBy(key).agg(*[F.max_by(reply, F.when(F.col("stage") == s, F.col(attempt))).alias(s) for s in stages])
 
 
+def attempts(log: DataFrame) -> DataFrame:
+    """id, stage, attempts: of each request the tries that it took."""
+    return log.groupBy("id", "stage").agg(F.max("attempt").alias("attempts"))
+
+
 def recheck_gate(reply: Column, input_confidence: Column, views: Column) -> Column:
-    """A trusted site with several views whose equipment wasn't seen is looked at again."""
+    """A trusted site whose equipment wasn't seen, though two or more images (NAIP counts) were shown, is looked at again."""
     return trust(input_confidence).isin("high", "medium") & is_false(reply.cell) & F.coalesce(views >= 2, F.lit(False))
 
 
 def recheck_merge(reply: Column, again: Column, gate: Column) -> Column:
-    """The reply, overruled where a second look sees equipment."""
+    """The reply, overruled where a second look sees equipment; the type only where that is a clear one."""
     seen = gate & is_true(again.cell)
     adopt = seen & is_asset(again.site_type)
-    return F.struct(
-        F.when(adopt, again.site_type).otherwise(reply.site_type).alias("site_type"),
-        F.when(adopt, F.coalesce(again.conf, reply.conf)).otherwise(reply.conf).alias("conf"),
-        F.when(seen, F.lit(True)).otherwise(reply.cell).alias("cell"),
-        F.when(adopt, F.coalesce(again.evidence, reply.evidence)).otherwise(reply.evidence).alias("evidence"),
-        reply.model.alias("model"),
-    )
+    new = {
+        "site_type": (adopt, again.site_type), "conf": (adopt, F.coalesce(again.conf, reply.conf)), "cell": (seen, F.lit(True)),
+        "cell_conf": (seen, F.coalesce(again.cell_conf, reply.cell_conf)), "cell_evidence": (seen, F.coalesce(again.cell_evidence, reply.cell_evidence)),
+        "evidence": (adopt, F.coalesce(again.evidence, reply.evidence)),
+    }
+    return F.when(seen, F.struct(*[(F.when(*new[f]).otherwise(reply[f]) if f in new else reply[f]).alias(f) for f in FIELDS])).otherwise(reply)
+
+
+def rechecked(stage: str, views: Column) -> Column:
+    return recheck_merge(F.col(stage), F.col(f"{stage}_recheck"), recheck_gate(F.col(stage), F.col("input_confidence"), views))
 
 
 def route(primary: Column, secondary: Column, enabled: bool = True, config: Config = DEFAULT) -> dict[str, Column]:
@@ -41,7 +68,7 @@ def route(primary: Column, secondary: Column, enabled: bool = True, config: Conf
 
 
 def tier_cascade(naip: Column, vert: Column, full: Column, config: Config = DEFAULT) -> dict[str, Column]:
-    """Each tier replaces the one before, until one is sure or the imagery ends."""
+    """Each tier replaces the one before, until one is sure or the imagery ends (``vert`` or ``full`` is null)."""
     stop0 = confident_stop(naip.site_type, naip.conf, naip.cell, config) | vert.isNull()
     stop1 = confident_stop(vert.site_type, vert.conf, vert.cell, config) | full.isNull()
     return {
@@ -53,15 +80,20 @@ def tier_cascade(naip: Column, vert: Column, full: Column, config: Config = DEFA
 def wide_gate(site_type: Column, views: Column, naip_only: bool = False, has_key: bool = True) -> Column:
     """A site of no clear type without an oblique view is tried over a wider area."""
     oblique = F.coalesce(F.exists(views, lambda v: v != "Vert"), F.lit(False))
-    return F.coalesce(site_type.isin("other", "unclear"), F.lit(False)) & ~oblique & F.lit(has_key and not naip_only)
+    return F.coalesce(site_type.isin(*_UNSURE), F.lit(False)) & ~oblique & F.lit(has_key and not naip_only)
 
 
 def forced(label: Column) -> Column:
     return F.coalesce(F.lower(F.trim(label)) == "stealth", F.lit(False))
 
 
+def zoom_source(views: Column, has_naip: Column) -> Column:
+    """The image that crops are made of."""
+    return F.when(F.coalesce(F.array_contains(views, "Vert"), F.lit(False)), TOP_DOWN).when(is_true(has_naip), NAIP)
+
+
 def zoom_gate(label: Column, site_type: Column, source: Column) -> Column:
-    return (forced(label) | F.coalesce(site_type.isin("other", "unclear"), F.lit(False))) & source.isNotNull()
+    return (forced(label) | F.coalesce(site_type.isin(*_UNSURE), F.lit(False))) & source.isNotNull()
 
 
 def zoom_wins(prior: Column, zoom: Column, label: Column) -> Column:
@@ -69,20 +101,102 @@ def zoom_wins(prior: Column, zoom: Column, label: Column) -> Column:
     return zoom.isNotNull() & (is_asset(zoom.site_type) | better | forced(label))
 
 
-def cascade(stages: DataFrame, config: Config = DEFAULT) -> DataFrame:
-    """The whole cascade: stages (id, label, input_confidence, views and a reply struct for naip, vert, full, recheck, escalate, wide, zoom)."""
+def crop_counts(candidates: DataFrame) -> DataFrame:
+    """id, zoom_crops from ``imagery.zoom_candidates``."""
+    return candidates.groupBy("id").agg(F.count("*").cast("int").alias("zoom_crops"))
+
+
+def cascade(stages: DataFrame, mode: str = "tiered", escalate: bool = True, has_key: bool = True, config: Config = DEFAULT) -> DataFrame:
+    """The whole cascade; one row a site, nothing is shuffled.
+
+    stages: id, label, input_confidence, has_naip, views and wide_views (those that arrived), zoom_crops (how many could be made; null: not tried), and a
+    reply struct for each of ``config.STAGES``. A site without any image is no_imagery. Added: reply, classification_stage,
+    nearmap_tier, shown_views, escalation_reason, provider, and zoomed (whether crops were looked at).
+    """
+    c = F.col
+    many = lambda views: c("has_naip").cast("int") + F.size(views)
+    empty = F.array().cast("array<string>")
+    df = stages.withColumns({"has_naip": is_true(c("has_naip")), "views": F.coalesce("views", empty) if has_key else empty, "wide_views": F.coalesce("wide_views", empty)})
+    if mode == "tiered":
+        vert = F.when(F.array_contains("views", "Vert"), c("_vert"))
+        df = df.withColumns({"_naip": rechecked("naip", c("has_naip").cast("int")), "_vert": rechecked("vert", c("has_naip").cast("int") + 1), "_full": rechecked("full", many(c("views")))})
+        tier = tier_cascade(c("_naip"), vert, c("_full"), config)
+        df = df.withColumns({"_tier": tier["nearmap_tier"], "_r": tier["reply"]})
+        shown = F.when(c("_tier") == "naip_only", empty).when(c("_tier") == "vert_only", F.array(F.lit("Vert"))).otherwise(c("views"))
+        df = df.withColumns({"_shown": shown, "_none": ~c("has_naip")})
+    elif mode == "full":
+        df = df.withColumns({"_r": rechecked("full", many(c("views"))), "_tier": F.when(F.size("views") > 0, "full").otherwise("naip_only"), "_shown": c("views"), "_none": ~c("has_naip") & (F.size("views") == 0)})
+    elif mode == "naip_only":
+        df = df.withColumns({"_r": rechecked("naip", c("has_naip").cast("int")), "_tier": F.lit("naip_only"), "_shown": empty, "_none": ~c("has_naip")})
+    else:
+        raise ValueError(f"no such mode: {mode}")
+    df = df.withColumn("_second", rechecked("escalate", many(c("_shown"))))
+    routed = route(c("_r"), c("_second"), escalate, config)
+    df = df.withColumns({"_reason": routed["escalation_reason"], "_provider": routed["provider"], "_next": routed["reply"]}).withColumn("_r", c("_next"))
+    # The wider area goes by the provider that has the site now; only the primary one is escalated from.
+    df = df.withColumns({
+        "_wide": wide_gate(c("_r.site_type"), c("_shown"), mode == "naip_only", has_key) & (F.size("wide_views") > 0) & c("wide").isNotNull(),
+        "_w": rechecked("wide", many(c("wide_views"))), "_w2": rechecked("wide_escalate", many(c("wide_views"))),
+    })
+    again = route(c("_w"), c("_w2"), escalate, config)
+    df = df.withColumn("_again", c("_wide") & (c("_provider") == "primary"))
+    df = df.withColumns({"_reason2": F.when(c("_again"), again["escalation_reason"]), "_provider2": F.when(c("_again"), again["provider"]), "_next": F.when(c("_again"), again["reply"]).when(c("_wide"), c("_w")).otherwise(c("_r"))})
+    df = df.withColumns({"_r": c("_next"), "_shown": F.when(c("_wide"), c("wide_views")).otherwise(c("_shown"))})
+    nothing = F.struct(*[(F.lit("unclear") if f == "site_type" else F.lit(0.0) if f == "conf" else F.lit("Zoom stage without valid crops.") if f == "evidence" else F.lit(None).cast(stages.schema["zoom"].dataType[f].dataType)).alias(f) for f in FIELDS])
+    gate = zoom_gate(c("label"), c("_r.site_type"), zoom_source(c("_shown"), c("has_naip")))
+    df = df.withColumns({"_gate": gate, "_z": F.when(c("zoom_crops") == 0, nothing).otherwise(c("zoom"))})
+    df = df.withColumn("_zoom", F.coalesce(c("_gate") & zoom_wins(c("_r"), c("_z"), c("label")), F.lit(False)) & ~c("_none"))
+    seen = lambda x: F.when(~c("_none"), x)
+    blank = F.struct(*[(F.lit("no_imagery") if f == "site_type" else F.lit(None).cast(stages.schema["zoom"].dataType[f].dataType)).alias(f) for f in FIELDS])
+    return df.select(
+        *stages.columns, F.when(c("_none"), blank).when(c("_zoom"), c("_z")).otherwise(c("_r")).alias("reply"),
+        seen(F.when(c("_zoom"), "zoom").when(c("_wide"), "wide_aoi").otherwise("primary")).alias("classification_stage"),
+        seen(F.when(c("_zoom"), "zoom").when(c("_wide"), "wide_aoi").otherwise(c("_tier"))).alias("nearmap_tier"),
+        seen(c("_shown")).alias("shown_views"), seen(F.coalesce("_reason2", "_reason")).alias("escalation_reason"), seen(F.coalesce("_provider2", "_provider")).alias("provider"),
+        seen(c("_gate") & c("_z").isNotNull()).alias("zoomed"), seen(c("_wide")).alias("widened"),
+    )
+
+
+def locate(df: DataFrame, config: Config = DEFAULT) -> DataFrame:
+    """Add asset_lat, asset_lon and asset_offset_m: of a box that was drawn on the (georeferenced) NAIP image of the site at lat, lon.
+
+    Column by column, so that the series of the projection are computed once each.
+    """
     c = F.col
-    tier = tier_cascade(c("naip"), c("vert"), c("full"), config)
-    df = stages.withColumns({"_tier": tier["nearmap_tier"], "_r": tier["reply"]})
-    df = df.withColumn("_r", recheck_merge(c("_r"), c("recheck"), recheck_gate(c("_r"), c("input_confidence"), F.size("views"))))
-    routed = route(c("_r"), c("escalate"), True, config)
-    df = df.withColumns({"escalation_reason": routed["escalation_reason"], "_next": routed["reply"], "provider": routed["provider"]}).withColumn("_r", c("_next"))
-    wide = wide_gate(c("_r.site_type"), c("views")) & c("wide").isNotNull()
-    df = df.withColumn("_wide", wide).withColumn("_r", F.when(c("_wide"), c("wide")).otherwise(c("_r")))
-    zoom = (forced(c("label")) | c("_r.site_type").isin("other", "unclear")) & zoom_wins(c("_r"), c("zoom"), c("label"))
-    df = df.withColumn("_zoom", F.coalesce(zoom, F.lit(False))).withColumn("_r", F.when(c("_zoom"), c("zoom")).otherwise(c("_r")))
+    on_map = F.coalesce((F.size("reply.box") > 0) & (c("reply.view") == NAIP) & is_true(c("has_naip")), F.lit(False))
+    df = df.withColumns({"_zone": geo.utm_zone(c("lon")), "_centre": F.when(on_map, geo.box_centre(c("reply.box")))})
+    east, north = geo.utm_forward(c("lat"), c("lon"), c("_zone"))
+    df = df.withColumns({"_e": east, "_n": north})
+    at = geo.chip_bounds(c("_e"), c("_n"), config.chip_m)
+    # The image's first row is its northern edge.
+    df = df.withColumns({"_x": at["x_min"] + c("_centre.cx") * (at["x_max"] - at["x_min"]), "_y": at["y_max"] - c("_centre.cy") * (at["y_max"] - at["y_min"])})
+    lat, lon = geo.utm_inverse(c("_x"), c("_y"), c("_zone"))
+    offset = F.bround(F.hypot(c("_x") - c("_e"), c("_y") - c("_n")), 1)
+    return df.withColumns({"asset_lat": lat, "asset_lon": lon, "asset_offset_m": offset}).drop("_zone", "_centre", "_e", "_n", "_x", "_y")
+
+
+def final_projection(cascaded: DataFrame, primary: str = "primary", secondary: str = "secondary", config: Config = DEFAULT) -> DataFrame:
+    """Result rows of ``cascade``'s output with lat and lon (and image_date, nearmap_date and chip_path, if there are): the detail table's columns."""
+    c, r = F.col, lambda f: F.col(f"reply.{f}")
+    df = locate(cascaded, config)
+    box = F.concat(F.lit("["), F.array_join(F.transform(r("box"), lambda v: v.cast("string")), ", "), F.lit("]"))
+    done = c("classification_stage").isNotNull()
+    have = lambda name: c(name) if name in cascaded.columns else F.lit(None).cast("string")
+    given = [x for x in ("id", "lat", "lon", "address", "label", "geocode_source", "geocode_matched_address", "geocode_quality", "input_address") if x in cascaded.columns]
     return df.select(
-        "id", c("_r.site_type").alias("site_type"), confidence(c("_r.conf")).alias("site_confidence"), c("_r.cell").alias("cell_equipment"), c("_r.model").alias("model"),
-        F.when(c("_zoom"), "zoom").when(c("_wide"), "wide_aoi").otherwise("primary").alias("classification_stage"),
-        F.when(c("_zoom"), "zoom").when(c("_wide"), "wide_aoi").otherwise(c("_tier")).alias("nearmap_tier"), "escalation_reason", "provider",
+        *given, F.when(done, trust(c("input_confidence"))).alias("input_confidence"), have("image_date").alias("image_date"), F.when(done, have("nearmap_date")).alias("nearmap_date"),
+        F.when(F.size("shown_views") > 0, F.array_join("shown_views", ",")).alias("nearmap_views"),
+        F.when(F.size("shown_views") > 0, F.when(c("widened"), config.wide_m).otherwise(config.tile_m)).alias("nearmap_aoi_m"),
+        F.when(done & is_true(c("has_naip")), F.coalesce(have("chip_path"), F.concat("id", F.lit("_NAIP.jpg")))).alias("chip_path"),
+        (is_true(c("has_naip")).cast("int") + F.size("shown_views")).alias("view_count"),
+        r("site_type").alias("site_type"), confidence(r("conf")).alias("site_confidence"), r("evidence").alias("site_evidence"),
+        "asset_lat", "asset_lon", "asset_offset_m", F.when(F.size(r("box")) > 0, box).alias("asset_box_2d"), r("view").alias("asset_view"),
+        r("cell").alias("cell_equipment"), confidence(r("cell_conf")).alias("cell_equipment_confidence"), r("cell_evidence").alias("cell_equipment_evidence"), "classification_stage",
+        F.when(c("zoomed") & (c("zoom_crops") > 0), c("zoom_crops")).alias("zoom_crops"), F.when(done, trust_mismatch(c("input_confidence"), r("cell"))).alias("source_trust_mismatch"),
+        r("model").alias("model"), "nearmap_tier", F.when(done, F.lit(primary)).alias("primary_model"), F.when(c("provider") == "secondary", secondary).alias("escalation_model"), "escalation_reason",
     )
+
+
+def handoff(results: DataFrame, threshold: float = DEFAULT.medium) -> DataFrame:
+    """Extension: what goes on downstream, towers and rooftops above a confidence."""
+    return results.where(is_asset(F.col("site_type")) & (confidence(F.col("site_confidence")) > threshold))
