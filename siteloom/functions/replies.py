@@ -57,6 +57,6 @@ def unreadable(text: Column) -> Column:
 
 def block_text(blocks: Column, tool: str) -> Column:
     """blocks: array of struct(type, name, input, text). The first input of the tool, else all texts joined."""
-    tools = F.filter(blocks, lambda b: (b.type == "tool_use") & (b.name == tool) & b.input.isNotNull())
-    said = F.transform(F.filter(blocks, lambda b: b.type == "text"), lambda b: b.text)
-    return F.coalesce(F.get(tools, F.lit(0)).input, F.array_join(said, ""))
+    tools = F.filter(blocks, lambda b: (b["type"] == "tool_use") & (b["name"] == tool) & b["input"].isNotNull())
+    said = F.transform(F.filter(blocks, lambda b: b["type"] == "text"), lambda b: b["text"])
+    return F.coalesce(F.get(tools, F.lit(0))["input"], F.array_join(said, ""))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from siteloom.config import DEFAULT, OBLIQUES, VIEWS, Config
@@ -11,9 +11,10 @@ from siteloom.functions.scalars import crop_label
 
 
 def newest_scene(scenes: DataFrame, key: str = "id") -> DataFrame:
-    """The newest scene of each key; among equally new ones the first of the catalogue (item_ord)."""
-    rank = F.row_number().over(Window.partitionBy(key).orderBy(F.desc("dt"), "item_ord"))
-    return scenes.withColumn("_rank", rank).where("_rank = 1").drop("_rank")
+    """The newest scene of each key; among equally new ones the first of the catalogue (item_ord). Aggregated before the shuffle."""
+    rest = [x for x in scenes.columns if x not in (key, "dt", "item_ord")]
+    best = F.max_by(F.struct("dt", "item_ord", *rest), F.struct(F.col("dt").alias("a"), (-F.col("item_ord")).alias("b"))).alias("_s")
+    return scenes.groupBy(key).agg(best).select(key, "_s.*")
 
 
 def scenes_at(sites: DataFrame, scenes: DataFrame, cell: float = 1.0) -> DataFrame:
@@ -46,9 +47,58 @@ def tile_plan(sites: DataFrame, views: tuple[str, ...] = VIEWS, config: Config =
 
 
 def arrived_views(tiles: DataFrame) -> DataFrame:
-    """id and views, in the fixed order, of which any tile arrived (status 200)."""
-    got = tiles.where("status = 200").select("id", "view").distinct()
-    return assemble_views(got)
+    """id and views, in the fixed order, of which any tile arrived (status 200). A view's tiles that aren't there (404) are left out; any other failure (after the retries) loses the site's whole fetch."""
+    spoilt = F.max(F.coalesce(~F.col("status").isin(200, 404), F.lit(True))).alias("_spoilt")
+    order = F.array_position(F.array(*map(F.lit, VIEWS)), F.col("view"))
+    got = F.array_sort(F.collect_set(F.when(F.col("status") == 200, F.struct(order.alias("o"), "view")))).alias("_v")
+    return tiles.groupBy("id").agg(spoilt, got).where("NOT _spoilt AND size(_v) > 0").select("id", F.transform("_v", lambda v: v.view).alias("views"))
+
+
+def capture_dates(coverage: DataFrame) -> DataFrame:
+    """id and nearmap_date: of the surveys that cover a site (capture_date, survey_ord) the first; lookups that failed have none."""
+    return coverage.where("error IS NULL").groupBy("id").agg(F.min_by("capture_date", "survey_ord").alias("nearmap_date"))
+
+
+def with_imagery(sites: DataFrame, scenes: DataFrame, tiles: DataFrame, coverage: DataFrame, wide_tiles: DataFrame | None = None) -> DataFrame:
+    """Sites with has_naip, image_date, views, wide_views and nearmap_date, from the logs of what was fetched; all joins are outer ones on id.
+
+    scenes: (id, dt, item_ord) of those at a site. The date of a site without a view is null.
+    """
+    newest = newest_scene(scenes.select("id", "dt", "item_ord")).select("id", F.date_format("dt", "yyyy-MM-dd").alias("image_date"), F.lit(True).alias("has_naip"))
+    none = F.array().cast("array<string>")
+    wide = arrived_views(wide_tiles).withColumnRenamed("views", "wide_views") if wide_tiles is not None else sites.select("id").limit(0).withColumn("wide_views", none)
+    out = sites.join(newest, "id", "left").join(arrived_views(tiles), "id", "left").join(capture_dates(coverage), "id", "left").join(wide, "id", "left")
+    return out.withColumns({
+        "has_naip": F.coalesce("has_naip", F.lit(False)), "views": F.coalesce("views", none), "wide_views": F.coalesce("wide_views", none),
+        "nearmap_date": F.when(F.coalesce(F.size("views"), F.lit(0)) + F.coalesce(F.size("wide_views"), F.lit(0)) > 0, F.col("nearmap_date")),
+    })
+
+
+def without_imagery(sites: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Sites with neither a NAIP image nor a view, as results, and the others."""
+    bare = ~F.col("has_naip") & (F.size("views") == 0)
+    return sites.where(bare).select("id", F.lit("no_imagery").alias("site_type")), sites.where(~bare)
+
+
+def request_blocks(labels: Column, images: Column, prompt: Column) -> Column:
+    """array of struct(type, text, data): for each view its label and its image (bytes, in base64), and the prompt last."""
+
+    def block(kind: str, text: Column, data: Column) -> Column:
+        return F.struct(F.lit(kind).alias("type"), text.cast("string").alias("text"), data.cast("string").alias("data"))
+
+    none = F.lit(None)
+    pairs = F.transform(F.arrays_zip(labels.alias("l"), images.alias("i")), lambda v: F.array(block("text", F.concat(F.lit("View: "), v["l"]), none), block("image", none, F.base64(v["i"]))))
+    return F.concat(F.flatten(pairs), F.array(block("text", prompt, none)))
+
+
+def zoom_request(context: Column, crops: Column) -> Column:
+    """Views of the zoom request: the first of the context, then the crops."""
+    return F.concat(F.slice(context, F.lit(1), F.lit(1)), crops)
+
+
+def merge_views(have: Column, more: Column) -> Column:
+    """Views fetched before and now, in the order of arrival."""
+    return F.array_union(have, more)
 
 
 def assemble_views(rows: DataFrame, key: str = "id") -> DataFrame:

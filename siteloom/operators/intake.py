@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from siteloom.functions.geo import haversine
 from siteloom.functions.scalars import clean, has_coordinates
 
 
@@ -68,3 +69,30 @@ def resolve(sites: DataFrame, geocodes: DataFrame, sources: tuple[str, ...] = ("
         F.when(~given, hit.quality).alias("geocode_quality"), F.when(~given & hit.isNotNull(), asked).alias("input_address"),
         F.when(~given & hit.isNull(), F.when(asked.isNull(), "no coordinates and no address").otherwise(reasons)).alias("error"),
     )
+
+
+def nominatim_quality(kind: Column, category: Column) -> Column:
+    """Of a hit: its type, or its class where that is blank."""
+    return F.coalesce(F.nullif(kind, F.lit("")), category)
+
+
+def near_pairs(points: DataFrame, metres: float, key: str = "id") -> DataFrame:
+    """Extension: pairs (a, b, metres) of points within a distance, by a self-join on grid cells of that size (rows of latitude, wider columns).
+
+    Columns are as wide as the distance at the row's highest latitude; points without coordinates have no pairs.
+    """
+    c, dlat = F.col, metres / 111_000.0
+    points = points.where("lat IS NOT NULL AND lon IS NOT NULL").withColumn("_cy", F.floor(c("lat") / dlat))
+    wide = lambda row: F.lit(dlat) / F.cos(F.radians(F.least(F.lit(89.0), (F.abs(row) + 2) * dlat)))
+    left = points.withColumn("_row", F.explode(F.array(*[c("_cy") + i for i in (-1, 0, 1)])))
+    left = left.select(c(key).alias("a"), c("lat").alias("lat1"), c("lon").alias("lon1"), "_row", F.floor(c("lon") / wide(c("_row"))).alias("_cx"))
+    left = left.withColumn("_col", F.explode(F.array(*[c("_cx") + i for i in (-1, 0, 1)])))
+    right = points.select(c(key).alias("b"), c("lat").alias("lat2"), c("lon").alias("lon2"), c("_cy").alias("_row"), F.floor(c("lon") / wide(c("_cy"))).alias("_col"))
+    pairs = left.join(right, ["_row", "_col"]).where("a < b").withColumn("m", haversine(c("lat1"), c("lon1"), c("lat2"), c("lon2")))
+    return pairs.where(c("m") <= metres).select("a", "b", F.round("m", 1).alias("metres"))
+
+
+def radius_dedup(points: DataFrame, metres: float, key: str = "id") -> DataFrame:
+    """Extension: ``points`` without those that have one of a smaller key within the distance."""
+    gone = near_pairs(points, metres, key).select(F.col("b").alias(key)).distinct()
+    return points.join(gone, key, "left_anti")

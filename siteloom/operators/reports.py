@@ -48,13 +48,13 @@ def regenerate(results: DataFrame) -> DataFrame:
     return results.withColumn("changed", changed).withColumns(new)
 
 
-def stakeholder_rows(results: DataFrame) -> DataFrame:
-    """Display columns: an error, no imagery, or the finding."""
+def stakeholder_rows(results: DataFrame, keep: list[str] | None = None) -> DataFrame:
+    """Display columns (and ``keep``): an error, no imagery, or the finding."""
     bad, none = failed(), F.coalesce(F.col("site_type") == "no_imagery", F.lit(False))
     dash = F.lit("—")
     conf = F.bround(confidence(F.col("site_confidence")), 2)
     return results.select(
-        "id", asset_label(F.col("id"), F.col("label")).alias("asset"),
+        *(keep or ["id"]), asset_label(F.col("id"), F.col("label")).alias("asset"),
         F.when(bad, "error").when(none, "no imagery").otherwise(F.col("site_type")).alias("site_type"),
         F.when(~bad & ~none, conf).alias("conf"),
         F.when(bad | none, dash).otherwise(located(F.col("asset_offset_m"), F.col("asset_view"))).alias("located"),
@@ -116,13 +116,36 @@ def review_images(results: DataFrame, chips: DataFrame) -> DataFrame:
     return results.select("id").join(rows.groupBy("id").agg(F.min_by("path", "pos").alias("review_image")), "id", "left")
 
 
-def progress(results: DataFrame, order: str = "input_ord") -> DataFrame:
-    """Row index of a run's log; a single sorted stream by nature, so only for reports."""
-    return results.withColumn("row", F.row_number().over(Window.orderBy(order)))
-
-
-def markdown(totals, lines: list[str]) -> str:
-    """The summary document from one row of ``kpis`` and the (already collected) lines of its table."""
-    head = [f"- {name.replace('_', ' ')}: {totals[name]}" for name in ("total", "classified", "towers", "rooftops", "cell_hits", "located", "errors")]
-    table = ["| Asset | Region | Site type | Confidence | Cell equip. | Located | Method | Key finding |", "|---|---|---|---:|---|---|---|---|"]
-    return "\n".join(["# Summary", "", *head, "", *table, *lines, ""])
+def progress(results: DataFrame, order: list[str]) -> DataFrame:
+    """Results with their row number (from 1) in an order: ranges are numbered by themselves, then moved on by the rows before them."""
+    parts = results.repartitionByRange(*order).withColumn("_part", F.spark_partition_id())
+    parts = parts.withColumn("_n", F.row_number().over(Window.partitionBy("_part").orderBy(*order)))
+    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)  # of one row a range
+    counts = parts.groupBy("_part").agg(F.count("*").alias("_rows")).select("_part", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_before"))
+    return parts.join(counts, "_part").withColumn("row", F.col("_n") + F.col("_before")).drop("_part", "_n", "_before")
+
+
+_TABLE = ["| Asset | Region | Site type | Confidence | Cell equip. | Located | Method | Key finding |", "|---|---|---|---:|---|---|---|---|"]
+_GLANCE = (("Assets evaluated", "total"), ("Successfully classified", "classified"), ("Tower sites identified", "towers"), ("Rooftop sites identified", "rooftops"), ("Cellular equipment detected", "cell_hits"), ("Assets with a located position", "located"), ("Errors", "errors"))
+_HOW = (
+    "1. A site's newest public aerial image is fetched, and detailed views where there are any.",
+    "2. A vision model names the kind of site, its equipment and where in an image it is; an unsure answer is asked for again with more views or another model.",
+    "3. A site that stays unclear is looked at over a wider area, then in magnified crops.",
+    "4. A box on the georeferenced image becomes coordinates and a distance from the recorded point.",
+)
+_SOURCES = ("| Source | Gives |", "|---|---|", "| NAIP | the wide view from above, on the map grid |", "| Nearmap | fine vertical and oblique views, by subscription |", "| Vision model | the answer, with its confidence and evidence |")
+_NOTES = ("- Images are in `chips/`: `*_NAIP.jpg`, `*_nearmap_*.jpg`, `*_zoom_*.jpg`.", "- The detail table has every field of every site.")
+_LIMITS = ("- Where there is no oblique view, equipment on walls is hard to see.", "- Small lattice towers may only show in the crops.", "- Answers of low confidence should be checked by eye.")
+_NEXT = ("1. Look at what is unclear or of low confidence.", "2. Hand confident towers and rooftops on.")
+
+
+def markdown(totals: dict, lines, generated: str = "") -> str:
+    """The summary document from one row of totals and the lines of its table."""
+    sections = [
+        ("At a glance", [f"- **{name}:** {totals[key]}" for name, key in _GLANCE]), ("How it works", _HOW), ("Imagery sources", _SOURCES),
+        ("Results by asset", [*_TABLE, *lines]), ("Operational notes", _NOTES), ("Known limitations", _LIMITS), ("Next steps", _NEXT),
+    ]
+    out = ["# Summary", ""] + ([f"*Generated: {generated}*", ""] if generated else [])
+    for title, body in sections:
+        out += [f"## {title}", "", *body, ""]
+    return "\n".join(out)

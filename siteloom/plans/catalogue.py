@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from siteloom.config import STAGES
 from siteloom.functions import geo, scalars
+from siteloom.functions.replies import block_text as block_of
 from siteloom.functions.replies import json_part, parse, unreadable
 from siteloom.operators import cascade, imagery, intake, reports
 from siteloom.plans import views as v
@@ -267,78 +268,162 @@ def json_fallback(spark, d):
 _LABEL = "CASE WHEN site % 17 = 0 THEN 'stealth' ELSE 'plain' END"
 _INPUT = "CASE site % 6 WHEN 0 THEN 'high' WHEN 1 THEN ' Medium ' WHEN 2 THEN 'LOW' WHEN 3 THEN 'unknown' END"
 _MANY = "CASE site % 4 WHEN 0 THEN 0 WHEN 1 THEN 1 WHEN 2 THEN 2 ELSE 5 END"
-_PICK = ", ".join(f"max(reply_type) FILTER (rn = {i}) AS t{i}, max(conf) FILTER (rn = {i}) AS c{i}, bool_or(cell_equipment) FILTER (rn = {i}) AS e{i}, coalesce(bool_or(true) FILTER (rn = {i}), false) AS h{i}" for i in range(1, 8))
+_WIDE = "CASE site % 3 WHEN 0 THEN 0 WHEN 1 THEN 1 ELSE 2 END"
+_CROPS = "CASE WHEN site % 13 = 0 THEN 0 ELSE site % 6 + 1 END"
+_NTH = {s: i for i, s in enumerate(STAGES)}
+# A site's first reply is that of NAIP, the others are spread over all stages; of several in one stage the last counts.
+_REPLY = f"""site AS id, rn AS attempt, CASE WHEN rn = 1 THEN 0 ELSE (p + s + n) % {len(STAGES)} END AS nth, reply_type AS site_type, conf, cell_equipment AS cell, p % 10 / 10.0{{double}} AS cell_conf,
+  CASE WHEN p % 4 = 0 THEN {{cell}} END AS cell_evidence, site_evidence AS evidence, CASE WHEN p % 7 > 0 THEN {{box}} END AS box, CASE s % 3 WHEN 0 THEN 'NAIP top-down' WHEN 1 THEN 'Nearmap top-down' END AS view"""
+_FIELDS = ", ".join(f"{x} := {y}" for x, y in zip(("t", "c", "e", "cc", "ce", "ev", "b", "w", "m"), ("site_type", "conf", "cell", "cell_conf", "cell_evidence", "evidence", "box", "view", "'m' || nth")))
 _STAGED = f"""{REPLIES}, ranked AS (SELECT *, row_number() OVER (PARTITION BY site ORDER BY n, p, s, price) AS rn FROM replies),
-st AS (SELECT site AS id, {_LABEL} AS label, {_INPUT} AS input_confidence, {_MANY} AS nv, {_PICK} FROM ranked GROUP BY site)"""
+logged AS (SELECT {_REPLY.format(double='::DOUBLE', cell="'cell ' || p", box='[y0, x0, y1, x1]')} FROM ranked),
+st AS (SELECT id, id AS site, {", ".join(f"max_by(struct_pack({_FIELDS}), attempt) FILTER (nth = {i}) AS r{i}" for i in range(len(STAGES)))} FROM logged GROUP BY id),
+sites_st AS (SELECT *, {_LABEL} AS label, {_INPUT} AS input_confidence, {_MANY} AS nv, {_WIDE} AS wv, {_CROPS} AS crops, site % 11 <> 0 AS has_naip, (site % 11 <> 0)::INT AS n0 FROM st)"""
 
 
 def _staged(spark, d):
     order = Window.partitionBy("site").orderBy("n", "p", "s", "price")
-    rows = v.replies(spark, d).withColumn("rn", F.row_number().over(order)).where("rn <= 7").select(
-        c("site").alias("id"), F.element_at(F.array(*map(F.lit, STAGES)), c("rn")).alias("stage"), c("reply_type").alias("site_type"), "conf", c("cell_equipment").alias("cell"),
-        F.lit(None).cast("string").alias("evidence"), F.concat(F.lit("m"), c("rn")).alias("model"), F.lit(1).alias("attempt"),
-    )
+    box = "array(cast(y0 AS double), cast(x0 AS double), cast(y1 AS double), cast(x1 AS double))"
+    rows = v.replies(spark, d).withColumn("rn", F.row_number().over(order)).selectExpr(*v._split(_REPLY.format(double="D", cell="concat('cell ', p)", box=box)))
+    rows = rows.withColumns({"stage": F.element_at(F.array(*map(F.lit, STAGES)), (c("nth") + 1).cast("int")), "model": F.concat(F.lit("m"), c("nth"))})
     every = F.array(*map(F.lit, ("Vert", "North", "East", "South", "West")))
     wide = cascade.pivot_stages(rows, list(STAGES)).withColumn("site", c("id"))
-    return wide.withColumns({"label": F.expr(_LABEL), "input_confidence": F.expr(_INPUT), "views": F.slice(every, F.lit(1), F.expr(_MANY))}).drop("site")
+    return wide.withColumns({
+        "label": F.expr(_LABEL), "input_confidence": F.expr(_INPUT), "views": F.slice(every, F.lit(1), F.expr(_MANY)), "wide_views": F.slice(every, F.lit(1), F.expr(_WIDE)),
+        "has_naip": F.expr("site % 11 <> 0"), "zoom_crops": F.expr(f"CAST({_CROPS} AS INT)"),
+        "lat": F.expr("25 + (site * 7919 % 24000) / 1000.0D"), "lon": F.expr("-124 + (site * 104729 % 57000) / 1000.0D"),
+    }).drop("site")
 
 
-_GATE = f"({_trust('input_confidence')} IN ('high', 'medium') AND {{e}} IS NOT DISTINCT FROM false AND nv >= 2)"
+def _again(r: str, g: str, n: str) -> str:
+    """r after the second look g, with n images."""
+    seen = f"{_trust('input_confidence')} IN ('high', 'medium') AND {r}.e IS NOT DISTINCT FROM false AND {n} >= 2 AND coalesce({g}.e, false)"
+    pick = lambda f: f"CASE WHEN {g}.t IN ('tower', 'rooftop') THEN coalesce({g}.{f}, {r}.{f}) ELSE {r}.{f} END"
+    new = f"struct_pack(t := {pick('t')}, c := {pick('c')}, e := true, cc := coalesce({g}.cc, {r}.cc), ce := coalesce({g}.ce, {r}.ce), ev := {pick('ev')}, b := {r}.b, w := {r}.w, m := {r}.m)"
+    return f"CASE WHEN {seen} THEN {new} ELSE {r} END"
 
 
-@query(f"""WITH {_STAGED}, g AS (SELECT *, ({_GATE.format(e='e1')} AND coalesce(e4, false)) AS seen FROM st)
-SELECT id, CASE WHEN seen AND t4 IN ('tower', 'rooftop') THEN t4 ELSE t1 END AS site_type, CASE WHEN seen AND t4 IN ('tower', 'rooftop') THEN coalesce(c4, c1) ELSE c1 END AS conf,
-  CASE WHEN seen THEN true ELSE e1 END AS cell FROM g""")
+@query(f"""WITH {_STAGED}, g AS (SELECT id, {_again('r4', 'r5', 'n0 + nv')} AS q FROM sites_st)
+SELECT id, q.t AS site_type, q.c AS conf, q.e AS cell, q.cc AS cell_conf, q.ce AS cell_evidence FROM g""")
 def recheck_merge(spark, d):
-    r = cascade.recheck_merge(c("naip"), c("recheck"), cascade.recheck_gate(c("naip"), c("input_confidence"), F.size("views")))
-    return _staged(spark, d).withColumn("r", r).select("id", "r.site_type", "r.conf", "r.cell")
+    r = cascade.rechecked("full", c("has_naip").cast("int") + F.size("views"))
+    return _staged(spark, d).withColumn("r", r).select("id", "r.site_type", "r.conf", "r.cell", "r.cell_conf", "r.cell_evidence")
 
 
-@query(f"""WITH {_STAGED}, g AS (SELECT *, {_reason('t1', 'c1')} AS escalation_reason FROM st), u AS (SELECT *, escalation_reason IS NOT NULL AND h5 AS used FROM g)
-SELECT id, escalation_reason, CASE WHEN used THEN 'secondary' ELSE 'primary' END AS provider, CASE WHEN used THEN t5 ELSE t1 END AS site_type FROM u""")
+@query(f"""WITH {_STAGED}, g AS (SELECT *, {_reason('r0.t', 'r0.c')} AS escalation_reason FROM sites_st), u AS (SELECT *, escalation_reason IS NOT NULL AND r6 IS NOT NULL AS used FROM g)
+SELECT id, escalation_reason, CASE WHEN used THEN 'secondary' ELSE 'primary' END AS provider, CASE WHEN used THEN r6.t ELSE r0.t END AS site_type FROM u""")
 def routing(spark, d):
     r = cascade.route(c("naip"), c("escalate"))
     return _staged(spark, d).select("id", *[x.alias(n) for n, x in r.items()]).select("id", "escalation_reason", "provider", "reply.site_type")
 
 
-_TIER = f"CASE WHEN {_stop('t1', 'c1', 'e1')} OR NOT h2 THEN 1 WHEN {_stop('t2', 'c2', 'e2')} OR NOT h3 THEN 2 ELSE 3 END"
+def _tier(a: str, b: str, f: str) -> str:
+    return f"CASE WHEN {_stop(f'{a}.t', f'{a}.c', f'{a}.e')} OR {b} IS NULL THEN 0 WHEN {_stop(f'{b}.t', f'{b}.c', f'{b}.e')} OR {f} IS NULL THEN 1 ELSE 2 END"
+
 
+_TIERS = "CASE tier WHEN 0 THEN 'naip_only' WHEN 1 THEN 'vert_only' ELSE 'full' END"
 
-@query(f"WITH {_STAGED}, g AS (SELECT *, {_TIER} AS tier FROM st) SELECT id, CASE tier WHEN 1 THEN 'naip_only' WHEN 2 THEN 'vert_only' ELSE 'full' END AS nearmap_tier, CASE tier WHEN 1 THEN t1 WHEN 2 THEN t2 ELSE t3 END AS site_type FROM g")
+
+@query(f"WITH {_STAGED}, g AS (SELECT *, {_tier('r0', 'r2', 'r4')} AS tier FROM st) SELECT id, {_TIERS} AS nearmap_tier, CASE tier WHEN 0 THEN r0.t WHEN 1 THEN r2.t ELSE r4.t END AS site_type FROM g")
 def tier_cascade(spark, d):
     r = cascade.tier_cascade(c("naip"), c("vert"), c("full"))
     return _staged(spark, d).select("id", *[x.alias(n) for n, x in r.items()]).select("id", "nearmap_tier", "reply.site_type")
 
 
-@query(f"WITH {_STAGED} SELECT id FROM st WHERE t1 IN ('other', 'unclear') AND nv <= 1")
+@query(f"WITH {_STAGED} SELECT id FROM sites_st WHERE r0.t IN ('other', 'unclear') AND nv <= 1")
 def wide_aoi_gate(spark, d):
     return _staged(spark, d).where(cascade.wide_gate(c("naip.site_type"), c("views"))).select("id")
 
 
-@query(f"WITH {_STAGED} SELECT id, (h2 AND (t2 IN ('tower', 'rooftop') OR coalesce({_conf('c2')}, 0) > coalesce({_conf('c1')}, 0) OR label = 'stealth')) AS wins FROM st")
+@query(f"WITH {_STAGED} SELECT id, (label = 'stealth' OR r0.t IN ('other', 'unclear')) AND (nv > 0 OR has_naip) AS gate, CASE WHEN nv > 0 THEN 'Nearmap top-down' WHEN has_naip THEN 'NAIP top-down' END AS source FROM sites_st")
+def zoom_gate(spark, d):
+    source = cascade.zoom_source(c("views"), c("has_naip"))
+    return _staged(spark, d).select("id", cascade.zoom_gate(c("label"), c("naip.site_type"), source).alias("gate"), source.alias("source"))
+
+
+@query(f"WITH {_STAGED} SELECT id, (r12 IS NOT NULL AND (r12.t IN ('tower', 'rooftop') OR coalesce({_conf('r12.c')}, 0) > coalesce({_conf('r0.c')}, 0) OR label = 'stealth')) AS wins FROM sites_st")
 def zoom_wins(spark, d):
-    return _staged(spark, d).select("id", F.coalesce(cascade.zoom_wins(c("naip"), c("vert"), c("label")), F.lit(False)).alias("wins"))
-
-
-def _when(flag: str, new: str, old: str) -> str:
-    return f"CASE WHEN {flag} THEN {new} ELSE {old} END"
-
-
-@query(f"""WITH {_STAGED}, a AS (SELECT *, {_TIER} AS tier FROM st),
-b AS (SELECT *, CASE tier WHEN 1 THEN t1 WHEN 2 THEN t2 ELSE t3 END AS t, CASE tier WHEN 1 THEN c1 WHEN 2 THEN c2 ELSE c3 END AS x, CASE tier WHEN 1 THEN e1 WHEN 2 THEN e2 ELSE e3 END AS e, 'm' || tier AS m FROM a),
-g AS (SELECT *, ({_GATE.format(e='e')} AND coalesce(e4, false)) AS seen FROM b),
-r AS (SELECT * REPLACE ({_when("seen AND t4 IN ('tower', 'rooftop')", 't4', 't')} AS t, {_when("seen AND t4 IN ('tower', 'rooftop')", 'coalesce(c4, x)', 'x')} AS x, {_when('seen', 'true', 'e')} AS e) FROM g),
-f AS (SELECT *, {_reason('t', 'x')} AS escalation_reason FROM r), u AS (SELECT *, (escalation_reason IS NOT NULL AND h5) AS used FROM f),
-w AS (SELECT * REPLACE ({_when('used', 't5', 't')} AS t, {_when('used', 'c5', 'x')} AS x, {_when('used', 'e5', 'e')} AS e, {_when('used', "'m5'", 'm')} AS m) FROM u),
-y AS (SELECT *, (t IN ('other', 'unclear') AND nv <= 1 AND h6) AS wide FROM w),
-z AS (SELECT * REPLACE ({_when('wide', 't6', 't')} AS t, {_when('wide', 'c6', 'x')} AS x, {_when('wide', 'e6', 'e')} AS e, {_when('wide', "'m6'", 'm')} AS m) FROM y),
-o AS (SELECT *, ((label = 'stealth' OR t IN ('other', 'unclear')) AND h7 AND (t7 IN ('tower', 'rooftop') OR coalesce({_conf('c7')}, 0) > coalesce({_conf('x')}, 0) OR label = 'stealth')) AS zoom FROM z)
-SELECT id, {_when('zoom', 't7', 't')} AS site_type, {_when('zoom', _conf('c7'), _conf('x'))} AS site_confidence, {_when('zoom', 'e7', 'e')} AS cell_equipment, {_when('zoom', "'m7'", 'm')} AS model,
-  CASE WHEN zoom THEN 'zoom' WHEN wide THEN 'wide_aoi' ELSE 'primary' END AS classification_stage,
-  CASE WHEN zoom THEN 'zoom' WHEN wide THEN 'wide_aoi' WHEN tier = 1 THEN 'naip_only' WHEN tier = 2 THEN 'vert_only' ELSE 'full' END AS nearmap_tier,
-  escalation_reason, CASE WHEN used THEN 'secondary' ELSE 'primary' END AS provider FROM o""")
+    return _staged(spark, d).select("id", F.coalesce(cascade.zoom_wins(c("naip"), c("zoom"), c("label")), F.lit(False)).alias("wins"))
+
+
+_UNCLEAR = "struct_pack(t := 'unclear', c := 0.0::DOUBLE, e := NULL::BOOLEAN, cc := NULL::DOUBLE, ce := NULL::VARCHAR, ev := 'Zoom stage without valid crops.', b := NULL::BIGINT[], w := NULL::VARCHAR, m := NULL::VARCHAR)"
+
+
+def _chain(tiers: str, none: str) -> str:
+    """The rest of the cascade after ``tiers``, which gives q, tier and uv (the views shown)."""
+    return f"""{_STAGED}, {tiers},
+k2 AS (SELECT *, {_reason('q.t', 'q.c')} AS reason1, {_again('r6', 'r7', 'n0 + uv')} AS q6, {_again('r8', 'r9', 'n0 + wv')} AS q8, {_again('r10', 'r11', 'n0 + wv')} AS q10 FROM k1),
+k3 AS (SELECT * REPLACE (CASE WHEN reason1 IS NOT NULL AND r6 IS NOT NULL THEN q6 ELSE q END AS q), reason1 IS NOT NULL AND r6 IS NOT NULL AS used1 FROM k2),
+k4 AS (SELECT *, coalesce(q.t IN ('other', 'unclear'), false) AND uv <= 1 AND wv > 0 AND r8 IS NOT NULL AS wide FROM k3),
+k5 AS (SELECT *, CASE WHEN wide AND NOT used1 THEN {_reason('q8.t', 'q8.c')} END AS reason2 FROM k4),
+k6 AS (SELECT *, reason2 IS NOT NULL AND r10 IS NOT NULL AS used2 FROM k5),
+k7 AS (SELECT * REPLACE (CASE WHEN used2 THEN q10 WHEN wide THEN q8 ELSE q END AS q, CASE WHEN wide THEN wv ELSE uv END AS uv), CASE WHEN crops = 0 THEN {_UNCLEAR} ELSE r12 END AS z FROM k6),
+k8 AS (SELECT *, coalesce((label = 'stealth' OR q.t IN ('other', 'unclear')) AND (uv > 0 OR has_naip), false) AS gate, {none} AS nothing FROM k7),
+k9 AS (SELECT *, gate AND z IS NOT NULL AND (coalesce(z.t IN ('tower', 'rooftop'), false) OR coalesce({_conf('z.c')}, 0) > coalesce({_conf('q.c')}, 0) OR label = 'stealth') AS zoom FROM k8),
+k AS (SELECT * REPLACE (CASE WHEN zoom THEN z ELSE q END AS q), CASE WHEN zoom THEN 'zoom' WHEN wide THEN 'wide_aoi' ELSE 'primary' END AS stage,
+  CASE WHEN zoom THEN 'zoom' WHEN wide THEN 'wide_aoi' ELSE {_TIERS} END AS shown_tier, coalesce(reason2, reason1) AS reason, used1 OR used2 AS second FROM k9)"""
+
+
+_TIERED = f"""k0 AS (SELECT *, {_again('r0', 'r1', 'n0')} AS q0, CASE WHEN nv > 0 THEN {_again('r2', 'r3', 'n0 + 1')} END AS q2, {_again('r4', 'r5', 'n0 + nv')} AS q4 FROM sites_st),
+t1 AS (SELECT *, {_tier('q0', 'q2', 'q4')} AS tier FROM k0), k1 AS (SELECT *, CASE tier WHEN 0 THEN q0 WHEN 1 THEN q2 ELSE q4 END AS q, CASE tier WHEN 0 THEN 0 WHEN 1 THEN 1 ELSE nv END AS uv FROM t1)"""
+_FULL = f"k1 AS (SELECT *, {_again('r4', 'r5', 'n0 + nv')} AS q, CASE WHEN nv > 0 THEN 2 ELSE 0 END AS tier, nv AS uv FROM sites_st)"
+_ONLY = f"k1 AS (SELECT *, {_again('r0', 'r1', 'n0')} AS q, 0 AS tier, 0 AS uv FROM (SELECT * REPLACE (0 AS nv, 0 AS wv) FROM sites_st))"
+_CASCADED = f"""id, CASE WHEN nothing THEN 'no_imagery' ELSE q.t END AS site_type, CASE WHEN NOT nothing THEN {_conf('q.c')} END AS site_confidence, CASE WHEN NOT nothing THEN q.e END AS cell_equipment,
+  CASE WHEN NOT nothing THEN q.m END AS model, CASE WHEN NOT nothing THEN stage END AS classification_stage, CASE WHEN NOT nothing THEN shown_tier END AS nearmap_tier,
+  CASE WHEN NOT nothing THEN reason END AS escalation_reason, CASE WHEN NOT nothing THEN CASE WHEN second THEN 'secondary' ELSE 'primary' END END AS provider"""
+
+
+def _outcome(df):
+    return df.select("id", "reply.site_type", scalars.confidence(c("reply.conf")).alias("site_confidence"), c("reply.cell").alias("cell_equipment"), "reply.model", "classification_stage", "nearmap_tier", "escalation_reason", "provider")
+
+
+@query(f"WITH {_chain(_TIERED, 'NOT has_naip')} SELECT {_CASCADED} FROM k")
 def full_cascade(spark, d):
-    return cascade.cascade(_staged(spark, d))
+    return _outcome(cascade.cascade(_staged(spark, d)))
+
+
+@query(f"WITH {_chain(_FULL, 'NOT has_naip AND nv = 0')} SELECT {_CASCADED} FROM k")
+def full_cascade_untiered(spark, d):
+    return _outcome(cascade.cascade(_staged(spark, d), mode="full"))
+
+
+@query(f"WITH {_chain(_ONLY, 'NOT has_naip')} SELECT {_CASCADED} FROM k")
+def full_cascade_naip_only(spark, d):
+    return _outcome(cascade.cascade(_staged(spark, d), mode="naip_only"))
+
+
+_ON_MAP = "(NOT nothing AND len(q.b) > 0 AND q.w = 'NAIP top-down' AND has_naip AND q.b[1] >= 0 AND q.b[1] <= q.b[3] AND q.b[3] <= 1000 AND q.b[2] >= 0 AND q.b[2] <= q.b[4] AND q.b[4] <= 1000)"
+_SHOWN = "CASE WHEN NOT nothing AND uv > 0 THEN array_to_string(list_slice(['Vert', 'North', 'East', 'South', 'West'], 1, uv), ',') END"
+
+
+@query(f"""WITH {_chain(_TIERED, 'NOT has_naip')} SELECT id, CASE WHEN NOT nothing THEN {_trust('input_confidence')} END AS input_confidence, {_SHOWN} AS nearmap_views,
+  CASE WHEN NOT nothing AND uv > 0 THEN CASE WHEN wide THEN 250.0::DOUBLE ELSE 100.0::DOUBLE END END AS nearmap_aoi_m, CASE WHEN NOT nothing THEN 'NAIP' END AS chip, CASE WHEN NOT nothing THEN n0 + uv END AS view_count,
+  CASE WHEN nothing THEN 'no_imagery' ELSE q.t END AS site_type, CASE WHEN NOT nothing THEN q.ev END AS site_evidence,
+  coalesce({_ON_MAP}, false) AS located, CASE WHEN {_ON_MAP} THEN true END AS near,
+  CASE WHEN {_ON_MAP} THEN round_even(250 * sqrt(pow((q.b[2] + q.b[4]) / 2000.0::DOUBLE - 0.5, 2) + pow((q.b[1] + q.b[3]) / 2000.0::DOUBLE - 0.5, 2)), 1) END AS asset_offset_m,
+  CASE WHEN NOT nothing AND len(q.b) > 0 THEN '[' || q.b[1] || '.0, ' || q.b[2] || '.0, ' || q.b[3] || '.0, ' || q.b[4] || '.0]' END AS asset_box_2d, CASE WHEN NOT nothing THEN q.w END AS asset_view,
+  CASE WHEN NOT nothing THEN {_conf('q.cc')} END AS cell_equipment_confidence, CASE WHEN NOT nothing THEN q.ce END AS cell_equipment_evidence,
+  CASE WHEN NOT nothing AND gate AND z IS NOT NULL AND crops > 0 THEN crops::INT END AS zoom_crops, CASE WHEN NOT nothing THEN ({_trust('input_confidence')} = 'high' AND q.e IS NOT DISTINCT FROM false) END AS source_trust_mismatch,
+  CASE WHEN NOT nothing THEN 'primary' END AS primary_model, CASE WHEN NOT nothing AND second THEN 'secondary' END AS escalation_model FROM k""")
+def final_projection(spark, d):
+    """The located point is compared with one on the plane that touches the ellipsoid at the site: they agree within 0.3 m."""
+    rows = cascade.final_projection(cascade.cascade(_staged(spark, d)))
+    b = F.from_json("asset_box_2d", "array<double>")
+    e, n = ((F.get(b, F.lit(1)) + F.get(b, F.lit(3))) / 2000 - 0.5) * 250 / 0.9996, (0.5 - (F.get(b, F.lit(0)) + F.get(b, F.lit(2))) / 2000) * 250 / 0.9996
+    phi, middle = F.radians("lat"), (F.floor((c("lon") + 180) / 6) * 6 - 177).cast("double")
+    turn, w = F.atan(F.tan(F.radians(c("lon") - middle)) * F.sin(phi)), 1 - 0.00669438 * F.pow(F.sin(phi), 2)
+    k = 1 + F.pow(F.radians(c("lon") - middle) * F.cos(phi), 2) / 2
+    east, north = (e * F.cos(turn) + n * F.sin(turn)) / k, (n * F.cos(turn) - e * F.sin(turn)) / k
+    off = F.hypot((c("asset_lat") - c("lat")) * F.pi() / 180 * 6378137 * 0.99330562 / F.pow(w, 1.5) - north, (c("asset_lon") - c("lon")) * F.pi() / 180 * 6378137 / F.sqrt(w) * F.cos(phi) - east)
+    return rows.select(
+        "id", "input_confidence", "nearmap_views", "nearmap_aoi_m", F.regexp_extract("chip_path", "_(NAIP)", 1).alias("chip"), "view_count", "site_type", "site_evidence", c("asset_lat").isNotNull().alias("located"), (off < 0.3).alias("near"),
+        "asset_offset_m", "asset_box_2d", "asset_view", "cell_equipment_confidence", "cell_equipment_evidence", "zoom_crops", "source_trust_mismatch", "primary_model", "escalation_model",
+    )
+
+
+@query(f"WITH {REPLIES} SELECT {_K} FROM replies WHERE site_type IN ('tower', 'rooftop') AND {_conf('conf')} > 0.6")
+def handoff(spark, d):
+    return cascade.handoff(_results(spark, d)).select(*KEY)
 
 
 @query(f"""WITH {VIEWS}, chips AS (SELECT DISTINCT id || '_nearmap_' || lower(view) || '.jpg' AS path FROM shown WHERE event_id % 2 = 0 UNION SELECT DISTINCT id || '_NAIP.jpg' FROM shown WHERE event_id % 3 = 0),
@@ -365,11 +450,8 @@ _OFF = "round_even(asset_offset_m, 0)::BIGINT || ' m off'"
   CASE WHEN {_FAILED} THEN substr(trim(error), 1, 120) WHEN site_type = 'no_imagery' THEN '—' WHEN cell_equipment IS NULL THEN 'unknown' ELSE cell_equipment::VARCHAR || coalesce(' — ' || trim(site_evidence), '') END AS cell_equip,
   CASE WHEN NOT {_FAILED} AND site_type = 'no_imagery' THEN 0 ELSE view_count END AS views FROM replies""")
 def stakeholder_rows(spark, d):
-    key = F.struct(*KEY)
-    rows = _results(spark, d).withColumns({"_id": c("id"), "label": c("reply_type"), "cell_equipment_evidence": c("site_evidence"), "review_image": F.lit(None).cast("string")})
-    cols = reports.stakeholder_rows(rows.withColumn("id", F.concat_ws("\x00", c("_id"), F.to_json(key))))
-    k = F.from_json(F.split("id", "\x00")[1], "site long, n int, p long, s long, price double")
-    return cols.select(k.alias("k"), F.concat(F.split("id", "\x00")[0], F.regexp_extract("asset", r" \(\w+\)$", 0)).alias("asset"), "site_type", "conf", "located", "cell_equip", "views").select("k.*", "asset", "site_type", "conf", "located", "cell_equip", "views")
+    rows = _results(spark, d).withColumns({"label": c("reply_type"), "cell_equipment_evidence": c("site_evidence"), "review_image": F.lit(None).cast("string")})
+    return reports.stakeholder_rows(rows, KEY).drop("review_image")
 
 
 _CELL = "CASE WHEN cell_equipment IS NULL THEN 'Unknown' WHEN cell_equipment THEN 'Yes' ELSE 'No' END"
@@ -406,19 +488,71 @@ def manual_review(spark, d):
 @query(f"""WITH {SITES}, p AS (SELECT k, lat, lon FROM sites WHERE lat IS NOT NULL), q AS (SELECT a.k AS a, b.k AS b,
   2 * 6371008.8::DOUBLE * asin(sqrt(least(1.0::DOUBLE, pow(sin(radians(b.lat - a.lat) / 2), 2) + cos(radians(a.lat)) * cos(radians(b.lat)) * pow(sin(radians(b.lon - a.lon) / 2), 2)))) AS m
   FROM p a JOIN p b ON a.k < b.k AND abs(a.lat - b.lat) < 0.5) SELECT a, b, round(m, 1) AS metres FROM q WHERE m <= 30000""")
+def radius_pairs(spark, d):
+    return intake.near_pairs(v.sites(spark, d).selectExpr("k", "lat", "lon"), 30_000.0, "k")
+
+
+@query(f"""WITH {SITES}, p AS (SELECT k, lat, lon FROM sites)
+SELECT k, lat, lon FROM p a WHERE NOT EXISTS (SELECT 1 FROM p b WHERE b.k < a.k AND abs(a.lat - b.lat) < 0.5 AND
+  2 * 6371008.8::DOUBLE * asin(sqrt(least(1.0::DOUBLE, pow(sin(radians(a.lat - b.lat) / 2), 2) + cos(radians(b.lat)) * cos(radians(a.lat)) * pow(sin(radians(a.lon - b.lon) / 2), 2)))) <= 30000)""")
 def radius_dedup(spark, d):
-    return intake_pairs(v.sites(spark, d).selectExpr("k", "lat", "lon"), 30_000.0)
-
-
-def intake_pairs(points, metres: float):
-    """Extension: pairs of points within a distance, by a self-join on grid cells of that size (rows of latitude, wider columns)."""
-    dlat = metres / 111_000.0
-    points = points.where("lat IS NOT NULL AND lon IS NOT NULL").withColumn("cy", F.floor(c("lat") / dlat))
-    # Columns are as wide as the distance at the point's and its neighbours' highest latitude.
-    rows = points.withColumn("near", F.explode(F.array(*[c("cy") + i for i in (-1, 0, 1)])))
-    wide = lambda row: F.lit(dlat) / F.cos(F.radians(F.least(F.lit(89.0), (F.abs(row) + 2) * dlat)))
-    left = rows.select(c("k").alias("a"), c("lat").alias("lat1"), c("lon").alias("lon1"), c("near").alias("row"), F.floor(c("lon") / wide(c("near"))).alias("cx"))
-    left = left.withColumn("col", F.explode(F.array(*[c("cx") + i for i in (-1, 0, 1)])))
-    right = points.select(c("k").alias("b"), c("lat").alias("lat2"), c("lon").alias("lon2"), c("cy").alias("row"), F.floor(c("lon") / wide(c("cy"))).alias("col"))
-    pairs = left.join(right, ["row", "col"]).where("a < b").withColumn("m", geo.haversine(c("lat1"), c("lon1"), c("lat2"), c("lon2")))
-    return pairs.where(c("m") <= metres).select("a", "b", F.round("m", 1).alias("metres"))
+    return intake.radius_dedup(v.sites(spark, d).selectExpr("k", "lat", "lon"), 30_000.0, "k")
+
+
+# Tiles: an event is a tile of a group's view; most arrive, some aren't there, few fail.
+_TILES = """tiles AS (SELECT id, view, CASE WHEN event_id % 997 = 0 THEN 500 WHEN event_id % 4 = 0 THEN 200 ELSE 404 END AS status, event_id FROM shown),
+got AS (SELECT id, list_transform(list_sort(list_distinct(list(list_position(['Vert','North','East','South','West'], view)) FILTER (status = 200))), lambda i: list_extract(['Vert','North','East','South','West'], i)) AS views
+  FROM tiles GROUP BY id HAVING bool_and(status IN (200, 404)) AND count(*) FILTER (status = 200) > 0)"""
+
+
+def _tiles(spark, d):
+    return v.view_rows(spark, d).withColumn("status", F.expr("CASE WHEN event_id % 997 = 0 THEN 500 WHEN event_id % 4 = 0 THEN 200 ELSE 404 END"))
+
+
+@query(f"WITH {VIEWS}, {_TILES} SELECT id, array_to_string(views, ',') AS views FROM got")
+def arrived_views(spark, d):
+    return imagery.arrived_views(_tiles(spark, d)).select("id", F.array_join("views", ",").alias("views"))
+
+
+@query(f"""WITH {VIEWS}, {_TILES}, ids AS (SELECT DISTINCT id FROM shown), naip AS (SELECT id, strftime(max(DATE '2020-01-01' + (event_id % 700)::INT), '%Y-%m-%d') AS image_date FROM shown WHERE event_id % 3 = 0 GROUP BY id),
+dates AS (SELECT id, arg_min(event_id % 90, event_id) AS day FROM shown WHERE event_id % 5 > 0 GROUP BY id)
+SELECT ids.id, image_date IS NOT NULL AS has_naip, image_date, coalesce(array_to_string(views, ','), '') AS views, CASE WHEN views IS NOT NULL THEN day END AS nearmap_day, image_date IS NULL AND views IS NULL AS bare
+FROM ids LEFT JOIN naip USING (id) LEFT JOIN got USING (id) LEFT JOIN dates USING (id)""")
+def site_imagery(spark, d):
+    shown = v.view_rows(spark, d)
+    scenes = shown.where("event_id % 3 = 0").selectExpr("id", "date_add(DATE '2020-01-01', cast(event_id % 700 AS int)) AS dt", "event_id AS item_ord")
+    coverage = shown.selectExpr("id", "event_id % 90 AS capture_date", "event_id AS survey_ord", "CASE WHEN event_id % 5 = 0 THEN 'lost' END AS error")
+    out = imagery.with_imagery(shown.select("id").distinct(), scenes, _tiles(spark, d), coverage)
+    bare, _ = imagery.without_imagery(out)
+    flags = bare.select("id", F.lit(True).alias("bare"))
+    return out.join(flags, "id", "left").select("id", "has_naip", "image_date", F.array_join("views", ",").alias("views"), c("nearmap_date").alias("nearmap_day"), F.coalesce("bare", F.lit(False)).alias("bare"))
+
+
+@query(f"""WITH {_PLAN}, n AS (SELECT DISTINCT id, view, z, x0, x1, y0, y1 FROM t), k AS (SELECT *, 256 * CASE WHEN view IN ('East', 'West') THEN y1 - y0 + 1 ELSE x1 - x0 + 1 END AS w,
+  256 * CASE WHEN view IN ('East', 'West') THEN x1 - x0 + 1 ELSE y1 - y0 + 1 END AS h0 FROM n), f AS (SELECT *, CASE WHEN view = 'Vert' THEN h0 ELSE h0 * 3 // 4 END AS h FROM k)
+SELECT id, view, trunc(w * least(1.0::DOUBLE, 2048.0::DOUBLE / greatest(w, h)))::INT AS width, trunc(h * least(1.0::DOUBLE, 2048.0::DOUBLE / greatest(w, h)))::INT AS height FROM f""")
+def canvas_size(spark, d):
+    w, h = geo.canvas(c("view"))
+    return imagery.tile_plan(v.sites(spark, d)).select("id", "view", "x0", "x1", "y0", "y1").distinct().select("id", "view", w.alias("width"), h.alias("height"))
+
+
+@query(f"WITH {SITES} SELECT id, 'base' || CASE WHEN lower(trim(label)) = 'stealth' THEN ' stealth' ELSE '' END || CASE {_trust('input_confidence')} WHEN 'high' THEN ' sure' WHEN 'medium' THEN ' maybe' ELSE ' doubt' END AS prompt FROM sites")
+def prompt(spark, d):
+    made = scalars.prompt("base", " stealth", {"high": " sure", "medium": " maybe", "low": " doubt"}, c("label"), c("input_confidence"))
+    return v.sites(spark, d).select("id", made.alias("prompt"))
+
+
+@query("""WITH r AS (SELECT event_id, CASE WHEN event_id % 3 = 0 THEN props END AS used FROM events)
+SELECT event_id, coalesce(used, 'said ' || event_id || ' and more') AS text FROM r""")
+def block_text(spark, d):
+    blocks = F.array(
+        F.struct(F.lit("text").alias("type"), F.lit(None).cast("string").alias("name"), F.lit(None).cast("string").alias("input"), F.concat(F.lit("said "), "event_id").alias("text")),
+        F.struct(F.lit("tool_use").alias("type"), F.when(c("event_id") % 3 == 0, "classify").otherwise("other").alias("name"), c("props").alias("input"), F.lit(None).cast("string").alias("text")),
+        F.struct(F.lit("text").alias("type"), F.lit(None).cast("string").alias("name"), F.lit(None).cast("string").alias("input"), F.lit(" and more").alias("text")),
+    )
+    return v.table(spark, d, "events").select("event_id", block_of(blocks, "classify").alias("text"))
+
+
+@query(f"WITH {REPLIES} SELECT {_K}, row_number() OVER (ORDER BY {_K}) AS row FROM replies")
+def progress_rows(spark, d):
+    return reports.progress(v.replies(spark, d).select(*KEY), KEY)

@@ -76,6 +76,43 @@ def call(requests: DataFrame, make: Callable[[], Callable[[dict, str], str]], mo
     return requests.select("id", "stage", "payload").mapInPandas(run, "id string, stage string, model string, attempt int, raw string, error string")
 
 
+def dispatch(stage: str, primary: str = "primary", secondary: str = "secondary") -> dict[str, str]:
+    """What a stage is asked with: the provider, the prompt, and the tool (or schema) of the answer."""
+    kind = "scan" if stage == "scan" else "recheck" if stage.endswith("_recheck") else "zoom" if stage == "zoom" else "classify"
+    return {
+        "provider": secondary if "escalate" in stage else primary, "prompt": {"classify": "classification", "recheck": "equipment", "zoom": "zoom", "scan": "scan"}[kind],
+        "tool": "scan_candidates" if kind == "scan" else "classify_site", "schema": "SCAN" if kind == "scan" else "REPLY",
+    }
+
+
+def tile(get: Callable[[str], tuple[int, bytes | None]], url: str, tries: int = 3, pause: float = 2.0, sleep=time.sleep) -> tuple[int, bytes | None]:
+    """Status and bytes of one tile: what is busy (429, 502, 503) is asked for again, after a growing pause."""
+    for n in range(1, tries + 1):
+        status, data = get(url)
+        if status not in (429, 502, 503) or n == tries:
+            return status, data if status == 200 else None
+        sleep(pause * n)
+    raise AssertionError
+
+
+def tiles(plan: DataFrame, make: Callable[[], Callable[[str], tuple[int, bytes | None]]], url: str, pause: float = 2.0) -> DataFrame:
+    """A tile plan (id, view, z, x, y) with the status and bytes of each tile; url has these names in braces. A tile that fails is a status, not an error of the job."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        get = make()
+        for batch in batches:
+            rows = []
+            for r in batch.itertuples(index=False):
+                try:
+                    status, data = tile(get, url.format(view=r.view, z=r.z, x=r.x, y=r.y), pause=pause)
+                except Exception:  # no answer at all
+                    status, data = 0, None
+                rows.append((r.id, r.view, r.z, r.x, r.y, status, data))
+            yield pd.DataFrame(rows, columns=["id", "view", "z", "x", "y", "status", "data"])
+
+    return plan.select("id", "view", "z", "x", "y").mapInPandas(run, "id string, view string, z int, x int, y int, status int, data binary")
+
+
 def replay(requests: DataFrame, log: DataFrame) -> DataFrame:
     """The logged reply of each request: of several attempts the last."""
     last = log.groupBy("id", "stage").agg(F.max_by(F.struct("model", "attempt", "raw", "error"), "attempt").alias("_l"))

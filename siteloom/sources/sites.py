@@ -13,27 +13,34 @@ SITES = "id string, lat double, lon double, address string, label string, input_
 RESULTS = (
     SITES + ", geocode_source string, geocode_matched_address string, geocode_quality string, input_address string, site_type string, "
     "site_confidence double, site_evidence string, cell_equipment boolean, cell_equipment_confidence double, cell_equipment_evidence string, "
-    "asset_lat double, asset_lon double, asset_offset_m double, asset_view string, nearmap_views string, view_count int, nearmap_tier string, "
-    "nearmap_aoi_m double, classification_stage string, escalation_reason string, model string, chip_path string, review_image string, error string"
+    "asset_lat double, asset_lon double, asset_offset_m double, asset_box_2d string, asset_view string, image_date string, nearmap_date string, nearmap_views string, view_count int, nearmap_tier string, "
+    "nearmap_aoi_m double, classification_stage string, zoom_crops int, source_trust_mismatch boolean, primary_model string, escalation_model string, escalation_reason string, model string, chip_path string, "
+    "review_image string, error string"
 )
 
 
 def read_sites(spark: SparkSession, path: str) -> DataFrame:
     """A CSV of sites by its header; columns that it lacks are null, blanks are null."""
-    raw = spark.read.option("header", True).option("escape", '"').csv(path)
-    types = dict(f.strip().split(" ") for f in SITES.split(","))
-    cols = [(F.nullif(F.trim(c), F.lit("")) if c in raw.columns else F.lit(None)).try_cast(t).alias(c) for c, t in types.items()]
-    return raw.select(*cols, *[c for c in raw.columns if c not in types])
+    return _typed(spark, path, SITES)
+
+
+def _typed(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """Quoted fields may hold commas, quotes and line breaks."""
+    raw = spark.read.option("header", True).option("escape", '"').option("multiLine", True).csv(path)
+    types = dict(f.strip().split(" ") for f in schema.split(","))
+    quoted = {c: F.col(f"`{c}`") for c in raw.columns}
+    cols = [(F.nullif(F.trim(quoted[c]), F.lit("")) if c in quoted else F.lit(None)).try_cast(t).alias(c) for c, t in types.items()]
+    return raw.select(*cols, *[x for c, x in quoted.items() if c not in types])
 
 
 def read_results(spark: SparkSession, path: str, required: bool = False) -> DataFrame:
-    """Results kept as Parquet; without any an empty table, or an error if they are required."""
+    """Results kept as Parquet, or a detail CSV; without any an empty table, or an error if they are required."""
     folder = Path(path.removeprefix("file://"))
     if "://" not in path.removeprefix("file://") and not folder.exists():
         if required:
             raise FileNotFoundError(path)
         return spark.createDataFrame([], RESULTS)
-    return spark.read.schema(RESULTS).parquet(path)
+    return _typed(spark, path, RESULTS) if path.endswith(".csv") else spark.read.schema(RESULTS).parquet(path)
 
 
 def append_results(results: DataFrame, path: str) -> None:
@@ -69,14 +76,20 @@ def names(input_csv: str, output: str | None = None, report: str | None = None,
     )
 
 
+def input_of(folder: str, input_csv: str) -> str:
+    """A run's own copy of its input, or the original where there is none."""
+    copy = Path(folder) / Path(input_csv).name
+    return str(copy) if copy.exists() else input_csv
+
+
 def run_folder(base: str, prefix: str, reopen: str | None = None) -> Path:
     """A new stamped folder, or one that is there."""
     if reopen:
         if not Path(reopen).is_dir():
             raise FileNotFoundError(reopen)
         return Path(reopen)
-    path = Path(base) / f"{prefix}_{datetime.now():%Y%m%d_%H%M%S}"
-    path.mkdir(parents=True)
+    path = Path(base) / f"{datetime.now():%Y-%m-%d_%H%M%S}_{prefix}"
+    (path / "chips").mkdir(parents=True, exist_ok=True)
     return path
 
 

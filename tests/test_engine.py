@@ -118,4 +118,5 @@ def test_stream_commits_each_batch_once(spark, tmp_path):
 
 def test_summary_text(spark):
     row = spark.createDataFrame([], sites.RESULTS)
-    assert "total: 0" in reports.markdown(reports.kpis(row).first().asDict(), [])
+    text = reports.markdown(reports.kpis(row).first().asDict(), [], "today")
+    assert "**Assets evaluated:** 0" in text and "*Generated: today*" in text and text.count("\n## ") == 7
