@@ -1,7 +1,8 @@
 """The corpus pipeline: toxicity, near copies, personal data, curriculum and packing, one stage after the other.
 
 Each stage takes (spark, docs, sf_dir), works on all that its predecessor kept and returns a DataFrame, which is written
-as Parquet and read again as the next one's ``docs``. Models are trained on the stage's own input.
+as Parquet and read again as the next one's ``docs``. Models are trained on the stage's own input. All but the last return
+the columns of ``docs``, whatever their names and order. An empty table passes through every stage and has no windows.
 """
 
 from siteloom.llm import mixing, packing, pii, probminhash, toxicity
@@ -9,27 +10,38 @@ from siteloom.llm.common import materialize, read
 
 
 def drop_toxic(spark, docs, sf_dir):
-    """Documents that the toxicity operator rejects go."""
+    """Documents that the toxicity operator rejects go.
+
+    Null, empty and very long texts are judged like others (the first two hold nothing toxic), rows without a doc_id too; repeated rows go or stay together.
+    Labels of ``sf_dir`` that are null, or of other documents, don't count; without any the lexicon is the operator's own.
+    """
     return toxicity.keep_clean(docs, toxicity.learn(docs, read(spark, sf_dir, "labels")))
 
 
 def drop_near_copies(spark, docs, sf_dir):
-    """One document of each group of copies and near copies stays."""
+    """One document of each group of copies and near copies stays: the one of the least doc_id.
+
+    Texts without words are in no group, so null and empty ones stay, and so do rows without a doc_id; repeated rows of the doc_id that stays all stay.
+    """
     return probminhash.keep_one(docs)
 
 
 def redact_pii(spark, docs, sf_dir):
-    """Entities are replaced by their labels."""
+    """Entities are replaced by their labels, and n_chars (where it isn't null) is the new length; null and empty texts stay as they are, and no row goes."""
     return pii.redact(docs, pii.train(docs))
 
 
 def order_by_curriculum(spark, docs, sf_dir):
-    """Documents as often as the curriculum uses them, in training order."""
+    """Documents as often as the curriculum uses them, in training order.
+
+    A null source is one of its own; texts without words count as one token; rows without a doc_id go; repeated rows are documents of their own; ties in
+    position are ordered by source, doc_id and epoch.
+    """
     return mixing.mix(docs)
 
 
 def pack_windows(spark, docs, sf_dir):
-    """Windows of the stream in the order in which the stage before has written it."""
+    """Windows of the stream in the order in which the stage before has written it; rows without a doc_id, and texts without words, aren't in it."""
     return packing.pack(docs, by_place=True)
 
 
@@ -41,7 +53,7 @@ STAGES = [
     ("packing", pack_windows),
 ]
 
-#: SQL can express neither the trained stages nor the groups of near copies.
+#: SQL can express neither the trained stages nor the groups of near copies; the tests have a version by brute force.
 ORACLE_SQL = None
 
 
