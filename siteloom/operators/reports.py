@@ -64,6 +64,13 @@ def stakeholder_rows(results: DataFrame, keep: list[str] | None = None) -> DataF
     )
 
 
+def display(rows: DataFrame) -> DataFrame:
+    """``stakeholder_rows`` under their headings; a confidence that isn't there is a dash, so the column is text."""
+    conf = F.coalesce(F.col("conf").cast("string"), F.lit("—"))
+    names = {"asset": "Asset", "site_type": "Site type", "conf": "Conf", "located": "Located", "cell_equip": "Cell equip", "views": "Views", "review_image": "Review image"}
+    return rows.select(*[(conf if c == "conf" else F.col(c)).alias(n) for c, n in names.items()])
+
+
 def regions(inputs: DataFrame, order: str = "input_ord") -> DataFrame:
     """id and region: the input's label; of a repeated id the last one's."""
     return inputs.groupBy("id").agg(F.max_by(F.trim("label"), order).alias("region"))

@@ -22,6 +22,7 @@ from siteloom.config import STAGES, flag
 from siteloom.functions.replies import SCAN, parse
 from siteloom.operators import cascade, imagery, intake, reports
 from siteloom.sources import sites as files
+from siteloom.sources import workbook
 
 _LOGS = {
     "geocodes": "address string, source string, lat double, lon double, matched_address string, quality string, error string", "scenes": "id string, dt timestamp, item_ord int",
@@ -68,18 +69,21 @@ def reports_of(spark: SparkSession, results: DataFrame, inputs: DataFrame, folde
         rows = rows.join(zooms, "id", "left").withColumn("zoom_paths", F.coalesce("_zooms", "zoom_paths")).drop("_zooms")
         results = results.drop("review_image").join(reports.review_images(rows, chips), "id", "left")
     if names.report:
-        files.export_csv(reports.stakeholder_rows(results), f"{folder}/{names.report}")
+        rows = reports.stakeholder_rows(results).orderBy("id")
+        files.export_csv(reports.display(rows), f"{folder}/{names.report}")
+        shown = rows.select("asset", "site_type", F.col("conf"), "located", "cell_equip", "views", "review_image")
+        workbook.write(f"{folder}/{names.workbook}", ((r[0], r[1], "—" if r[2] is None else r[2], *r[3:]) for r in shown.toLocalIterator()), folder / "chips")
     totals = reports.kpis(results).first().asDict() | {"total": inputs.count()}
     placed = inputs.withColumn("input_ord", F.monotonically_increasing_id())
     lines = reports.summary_rows(reports.with_region(results, placed)).orderBy("id").select("line")
     (folder / names.summary).write_text(reports.markdown(totals, (r.line for r in lines.toLocalIterator()), time.strftime("%Y-%m-%d %H:%M")), encoding="utf-8")
 
 
-def run(spark: SparkSession, input_csv: str, logs: str | None = None, runs: str = "runs", run_dir: str | None = None, output: str | None = None, report: str | None = None, workbook: str | None = None, regenerate: bool = False) -> Path:
+def run(spark: SparkSession, input_csv: str, logs: str | None = None, runs: str = "runs", run_dir: str | None = None, output: str | None = None, report: str | None = None, book: str | None = None, regenerate: bool = False) -> Path:
     """A new run, one that goes on where it ended, or only its reports again; the folder."""
     if regenerate and not run_dir:
         raise SystemExit("--regenerate-report needs --run-dir")
-    names = files.names(input_csv, output, report, workbook)
+    names = files.names(input_csv, output, report, book)
     folder = files.run_folder(runs, names.prefix, run_dir)
     if not run_dir:
         shutil.copy2(input_csv, folder / Path(input_csv).name)
@@ -117,7 +121,7 @@ def main(arguments: list[str] | None = None) -> None:
     parser.add_argument("--run-dir", default=None, help="a run to go on with")
     parser.add_argument("--output", "-o", default=None, help="name of the detail table in the run folder")
     parser.add_argument("--report-csv", default=None, help="name of the report")
-    parser.add_argument("--report-xlsx", default=None, help="name of the workbook (not written: no library)")
+    parser.add_argument("--report-xlsx", default=None, help="name of the workbook")
     parser.add_argument("--regenerate-report", action="store_true", help="only the reports, from the results of a run")
     a = parser.parse_args(arguments)
     spark = SparkSession.builder.config("spark.sql.session.timeZone", "UTC").getOrCreate()

@@ -3,6 +3,8 @@
 import csv
 import json
 from pathlib import Path
+from xml.etree import ElementTree
+from zipfile import ZipFile
 
 import pytest
 from pyspark.sql import functions as F
@@ -10,7 +12,7 @@ from pyspark.sql import functions as F
 from siteloom import config, run
 from siteloom.functions import services
 from siteloom.operators import imagery, intake, reports
-from siteloom.sources import connectors, sites
+from siteloom.sources import connectors, sites, workbook
 
 
 def text(site_type, conf, cell=True, box=None, view=None):
@@ -49,8 +51,11 @@ def test_run(spark, tmp_path, monkeypatch):
     assert (got["1"]["site_type"], got["1"]["nearmap_tier"], got["1"]["nearmap_date"], got["1"]["image_date"], got["1"]["site_confidence"]) == ("tower", "vert_only", "2024-01-02", "2022-05-01", "0.85")
     assert (got["2"]["site_type"], got["2"]["classification_stage"], got["2"]["zoom_crops"], got["2"]["asset_offset_m"], got["2"]["geocode_source"]) == ("rooftop", "zoom", "3", "0.0", "census")
     assert got["3"]["error"] == "census: no match; nominatim: timeout" and got["4"]["site_type"] == "no_imagery" and got["5"]["error"] == "overloaded"
-    shown = {r["id"]: r for r in rows_of(folder / "WI_results.csv")}
-    assert shown["2"]["review_image"] == "2_zoom_1.jpg" and shown["1"]["review_image"] == "1_nearmap_vert.jpg"
+    shown = {r["Asset"]: r for r in rows_of(folder / "WI_results.csv")}
+    assert shown["2 (stealth)"]["Review image"] == "2_zoom_1.jpg" and shown["1 (plain)"]["Review image"] == "1_nearmap_vert.jpg"
+    assert (shown["4 (plain)"]["Conf"], shown["1 (plain)"]["Conf"], shown["2 (stealth)"]["Located"]) == ("—", "0.85", "0 m off")
+    with ZipFile(folder / "WI_results.xlsx") as z:
+        assert "2 (stealth)" in z.read("xl/worksheets/sheet1.xml").decode()
     summary = (folder / "WI_EXECUTIVE_SUMMARY.md").read_text()
     assert "**Assets evaluated:** 5" in summary and "**Errors:** 2" in summary and "| 4 | plain | No imagery |" in summary and "## Known limitations" in summary
     # Going on: only what failed is done again.
@@ -151,3 +156,24 @@ def test_names_and_folders(spark, tmp_path):
     (tmp_path / "y.csv").write_text("id\n1\n")
     assert sites.input_of(str(tmp_path), "x/y.csv") == str(tmp_path / "y.csv")
     assert sites.run_folder(str(tmp_path), "p", str(tmp_path)) == tmp_path and (sites.minutes(0), sites.minutes(674)) == (1, 236)
+
+
+def test_workbook(tmp_path):
+    """Every part is XML, each relation leads to a part, rows are whole over several sheets, images keep their sides' ratio."""
+    jpeg = b"\xff\xd8\xff\xe0\x00\x04ab\xff\xc0\x00\x0b\x08\x00\xf0\x01\xe0\x01\x01\x11\x00\xff\xd9"
+    (tmp_path / "a.jpg").write_bytes(jpeg)
+    assert workbook.jpeg_size(jpeg) == (480, 240) and workbook.fitted(480, 240) == (160, 80) and workbook.fitted(10, 20) == (10, 20) and workbook.jpeg_size(b"no") is None
+    rows = [(f"s{i} <&>", "tower", 0.5 if i else "—", "—", None, i, "a.jpg" if i % 2 else "none.jpg") for i in range(5)]
+    path = workbook.write(str(tmp_path / "x.xlsx"), rows, tmp_path, sheet_rows=4)
+    with ZipFile(path) as z:
+        for name in z.namelist():
+            if name.endswith((".xml", ".rels")):
+                ElementTree.fromstring(z.read(name))
+            if name.endswith(".rels"):
+                base = Path("/" + name).parent.parent
+                for r in ElementTree.fromstring(z.read(name)):
+                    assert str((base / r.get("Target")).resolve())[1:] in z.namelist()
+        cells = [[t.text for t in ElementTree.fromstring(z.read(f"xl/worksheets/sheet{k}.xml")).iter("{http://schemas.openxmlformats.org/spreadsheetml/2006/main}t")] for k in (1, 2)]
+        assert [sum(t.startswith("s") for t in c) for c in cells] == [3, 2] and cells[0][:7] == list(workbook.HEADERS) and "s1 <&>" in cells[0]
+        assert sum(n.startswith("xl/media/") for n in z.namelist()) == 2
+    assert workbook.write(str(tmp_path / "empty.xlsx"), []).endswith("empty.xlsx")
