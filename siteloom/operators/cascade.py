@@ -171,7 +171,7 @@ def locate(df: DataFrame, config: Config = DEFAULT) -> DataFrame:
     # The image's first row is its northern edge.
     df = df.withColumns({"_x": at["x_min"] + c("_centre.cx") * (at["x_max"] - at["x_min"]), "_y": at["y_max"] - c("_centre.cy") * (at["y_max"] - at["y_min"])})
     lat, lon = geo.utm_inverse(c("_x"), c("_y"), c("_zone"))
-    offset = F.bround(F.hypot(c("_x") - c("_e"), c("_y") - c("_n")), 1)
+    offset = F.when(on_map, F.bround(geo.box_offset(c("reply.box"), config.chip_m), 1))
     return df.withColumns({"asset_lat": lat, "asset_lon": lon, "asset_offset_m": offset}).drop("_zone", "_centre", "_e", "_n", "_x", "_y")
 
 
