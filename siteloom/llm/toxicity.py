@@ -273,19 +273,22 @@ def learn(docs: DataFrame, labels: DataFrame, terms: list[str] = TERMS, toxic: i
                 known, states = plain.match(w.bytes, w.starts, w.ends)
                 fresh = np.ones(len(w.starts), bool)
                 fresh[known[plain.edits[states] == 0]] = False
-                for kind, i, key in _keys(w, fresh):
-                    yield from tally(kind, w.doc[i], key, label, names, of)
-
-    def tally(kind, doc, key, label, names, of):
+                # One batch a piece: a long token has as many kinds as bytes.
+                found = [x for kind, i, key in _keys(w, fresh) for x in tally(kind, w.doc[i], key, label, of)]
+                if found:
+                    lang, kind, key, t, c = (np.concatenate(x) for x in zip(*found))
+                    yield pa.RecordBatch.from_arrays([pa.array(names[lang].tolist(), pa.string()), pa.array(kind), pa.array(key), pa.array(t), pa.array(c)], ["lang", "kind", "key", "t", "c"])
+
+    def tally(kind, doc, key, label, of):
+        """By language: toxic and other documents of each key, a document counting once."""
         _, i = np.unique(mix(key) ^ mix(doc.astype(np.uint64)), return_index=True)
-        for n, name in enumerate(names):
-            mine = i[of[doc[i]] == n]
+        lang = of[doc[i]]
+        for n in np.unique(lang):
+            mine = i[lang == n]
             keys, at = np.unique(key[mine], return_inverse=True)
             bad = label[doc[mine]]
-            yield pa.RecordBatch.from_arrays([
-                pa.array([name] * len(keys), pa.string()), pa.array(np.full(len(keys), kind, np.int32)), pa.array(keys.view(np.int64)),
-                pa.array(np.bincount(at[bad], minlength=len(keys))), pa.array(np.bincount(at[~bad], minlength=len(keys))),
-            ], ["lang", "kind", "key", "t", "c"])
+            size = len(keys)
+            yield np.full(size, n), np.full(size, kind, np.int32), keys.view(np.int64), np.bincount(at[bad], minlength=size), np.bincount(at[~bad], minlength=size)
 
     counts = sample.mapInArrow(count, "lang string, kind int, key long, t long, c long").groupBy("lang", "kind", "key").agg(F.sum("t").alias("t"), F.sum("c").alias("c"))
     every = Window.partitionBy("kind", "key")
