@@ -20,6 +20,8 @@ doc_id are dropped; an empty table gives an empty result; other columns are igno
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
@@ -262,13 +264,7 @@ def shared(sides: DataFrame, lead: int = LEAD) -> DataFrame:
     spark = sides.sparkSession
     key = F.substring("text", 1, RANGE_KEY)
     laid = sides.repartitionByRange(shuffles(spark), key).sortWithinPartitions("text", "doc_id")
-    setting = "spark.sql.execution.rangeExchange.sampleSizePerPartition"
-    before = spark.conf.get(setting)
-    spark.conf.set(setting, str(min(int(before), RANGE_SAMPLE)))
-    try:
-        placed = materialize(laid.mapInArrow(lambda b: _placed(b, lead), _PLACED), "placed")
-    finally:
-        spark.conf.set(setting, before)
+    placed = materialize(laid.mapInArrow(lambda b: _placed(b, lead), _PLACED), "placed")
     # A row a partition, of numbers: at most as many as a text has characters, in practice a few.
     parts = [(r.part, r.whole, [tuple(x) for x in r.lefts], [tuple(x) for x in r.rights]) for r in placed.where("seq = -1").select("part", "whole", "lefts", "rights").orderBy("part").collect()]
     follows = spark.createDataFrame([(a[0], b[0]) for a, b in zip(parts, parts[1:])], "part int, after int")
@@ -308,15 +304,26 @@ def fingerprints(docs: DataFrame, lead: int = LEAD) -> DataFrame:
     same = ["fingerprint", "mark", "n_chars"]
     distinct = kept.where("n_chars > 0").groupBy(*same).agg(F.min("doc_id").alias("first"), F.min("lead").alias("lead"), F.min("tail").alias("tail"))
     distinct = materialize(distinct, "distinct")
-    answers = None
-    for name, key in (("prefix", "lead"), ("suffix", "tail")):
+
+    def side(name: str, key: str) -> DataFrame:
         # Texts whose key is a single one's stay where they are. Equal hashes of other characters only let a text take part in vain.
         groups = distinct.where(F.col(key).isNotNull()).groupBy(key).agg(F.count("*").alias("_n")).where("_n > 1").select(key)
         chosen = materialize(distinct.join(groups, key, "left_semi").select(F.col("first").alias("doc_id"), "mark"), "chosen")
         text = F.col("text") if name == "prefix" else F.reverse("text")
         sides = docs.join(F.broadcast(chosen) if is_small(chosen) else chosen.hint("merge"), ["doc_id", "mark"]).select("doc_id", text.alias("text"), "mark")
-        found = materialize(shared(sides, lead), "shared").select("first", "mark", F.col("partner").alias(f"_{name}_id"), F.col("extension").alias(f"_{name}"), F.col("copied").alias(f"_{name}_copied"))
-        answers = found if answers is None else answers.join(found, ["first", "mark"], "full")
+        found = materialize(shared(sides, lead), "shared")
+        return found.select("first", "mark", F.col("partner").alias(f"_{name}_id"), F.col("extension").alias(f"_{name}"), F.col("copied").alias(f"_{name}_copied"))
+
+    spark = docs.sparkSession
+    setting = "spark.sql.execution.rangeExchange.sampleSizePerPartition"
+    before = spark.conf.get(setting)
+    spark.conf.set(setting, str(min(int(before), RANGE_SAMPLE)))
+    try:
+        with ThreadPoolExecutor(2) as both:  # neither side waits for the other's small jobs
+            fore, back = both.map(lambda x: side(*x), (("prefix", "lead"), ("suffix", "tail")))
+    finally:
+        spark.conf.set(setting, before)
+    answers = fore.join(back, ["first", "mark"], "full")
     answers = materialize(answers, "answers")
     every = kept.join(F.broadcast(distinct.select(*same, "first")) if is_small(distinct) else distinct.select(*same, "first").hint("merge"), same, "left")
     own = F.col("doc_id") == F.col("first")
