@@ -44,10 +44,7 @@ def recheck_gate(reply: Column, input_confidence: Column, views: Column) -> Colu
     return trust(input_confidence).isin("high", "medium") & is_false(reply.cell) & F.coalesce(views >= 2, F.lit(False))
 
 
-def recheck_merge(reply: Column, again: Column, gate: Column) -> Column:
-    """The reply, overruled where a second look sees equipment; the type only where that is a clear one."""
-    seen = gate & is_true(again.cell)
-    adopt = seen & is_asset(again.site_type)
+def _merged(reply: Column, again: Column, seen: Column, adopt: Column) -> Column:
     new = {
         "site_type": (adopt, again.site_type), "conf": (adopt, F.coalesce(again.conf, reply.conf)), "cell": (seen, F.lit(True)),
         "cell_conf": (seen, F.coalesce(again.cell_conf, reply.cell_conf)), "cell_evidence": (seen, F.coalesce(again.cell_evidence, reply.cell_evidence)),
@@ -56,10 +53,26 @@ def recheck_merge(reply: Column, again: Column, gate: Column) -> Column:
     return F.when(seen, F.struct(*[(F.when(*new[f]).otherwise(reply[f]) if f in new else reply[f]).alias(f) for f in FIELDS])).otherwise(reply)
 
 
+def recheck_merge(reply: Column, again: Column, gate: Column) -> Column:
+    """The reply, overruled where a second look sees equipment; the type only where that is a clear one."""
+    seen = gate & is_true(again.cell)
+    return _merged(reply, again, seen, seen & is_asset(again.site_type))
+
+
 def rechecked(stage: str, views: Column) -> Column:
     return recheck_merge(F.col(stage), F.col(f"{stage}_recheck"), recheck_gate(F.col(stage), F.col("input_confidence"), views))
 
 
+def second_looks(df: DataFrame, views: dict[str, tuple[str, Column]]) -> DataFrame:
+    """Add a column with the reply after its second look for each (stage: name, images shown); what decides is computed once, which keeps the code small."""
+    c, seen, adopt = F.col, {}, {}
+    for stage, (_, shown) in views.items():
+        seen[f"_seen_{stage}"] = recheck_gate(c(stage), c("input_confidence"), shown) & is_true(c(f"{stage}_recheck.cell"))
+        adopt[f"_adopt_{stage}"] = c(f"_seen_{stage}") & is_asset(c(f"{stage}_recheck.site_type"))
+    df = df.withColumns(seen).withColumns(adopt)
+    return df.withColumns({name: _merged(c(s), c(f"{s}_recheck"), c(f"_seen_{s}"), c(f"_adopt_{s}")) for s, (name, _) in views.items()})
+
+
 def route(primary: Column, secondary: Column, enabled: bool = True, config: Config = DEFAULT) -> dict[str, Column]:
     """The reply adopted after escalation, and why."""
     reason = escalation_reason(primary.site_type, primary.conf, config) if enabled else F.lit(None).cast("string")
@@ -119,25 +132,22 @@ def cascade(stages: DataFrame, mode: str = "tiered", escalate: bool = True, has_
     df = stages.withColumns({"has_naip": is_true(c("has_naip")), "views": F.coalesce("views", empty) if has_key else empty, "wide_views": F.coalesce("wide_views", empty)})
     if mode == "tiered":
         vert = F.when(F.array_contains("views", "Vert"), c("_vert"))
-        df = df.withColumns({"_naip": rechecked("naip", c("has_naip").cast("int")), "_vert": rechecked("vert", c("has_naip").cast("int") + 1), "_full": rechecked("full", many(c("views")))})
+        df = second_looks(df, {"naip": ("_naip", c("has_naip").cast("int")), "vert": ("_vert", c("has_naip").cast("int") + 1), "full": ("_full", many(c("views")))})
         tier = tier_cascade(c("_naip"), vert, c("_full"), config)
         df = df.withColumns({"_tier": tier["nearmap_tier"], "_r": tier["reply"]})
         shown = F.when(c("_tier") == "naip_only", empty).when(c("_tier") == "vert_only", F.array(F.lit("Vert"))).otherwise(c("views"))
         df = df.withColumns({"_shown": shown, "_none": ~c("has_naip")})
     elif mode == "full":
-        df = df.withColumns({"_r": rechecked("full", many(c("views"))), "_tier": F.when(F.size("views") > 0, "full").otherwise("naip_only"), "_shown": c("views"), "_none": ~c("has_naip") & (F.size("views") == 0)})
+        df = second_looks(df, {"full": ("_r", many(c("views")))}).withColumns({"_tier": F.when(F.size("views") > 0, "full").otherwise("naip_only"), "_shown": c("views"), "_none": ~c("has_naip") & (F.size("views") == 0)})
     elif mode == "naip_only":
-        df = df.withColumns({"_r": rechecked("naip", c("has_naip").cast("int")), "_tier": F.lit("naip_only"), "_shown": empty, "_none": ~c("has_naip")})
+        df = second_looks(df, {"naip": ("_r", c("has_naip").cast("int"))}).withColumns({"_tier": F.lit("naip_only"), "_shown": empty, "_none": ~c("has_naip")})
     else:
         raise ValueError(f"no such mode: {mode}")
-    df = df.withColumn("_second", rechecked("escalate", many(c("_shown"))))
+    df = second_looks(df, {"escalate": ("_second", many(c("_shown"))), "wide": ("_w", many(c("wide_views"))), "wide_escalate": ("_w2", many(c("wide_views")))})
     routed = route(c("_r"), c("_second"), escalate, config)
     df = df.withColumns({"_reason": routed["escalation_reason"], "_provider": routed["provider"], "_next": routed["reply"]}).withColumn("_r", c("_next"))
     # The wider area goes by the provider that has the site now; only the primary one is escalated from.
-    df = df.withColumns({
-        "_wide": wide_gate(c("_r.site_type"), c("_shown"), mode == "naip_only", has_key) & (F.size("wide_views") > 0) & c("wide").isNotNull(),
-        "_w": rechecked("wide", many(c("wide_views"))), "_w2": rechecked("wide_escalate", many(c("wide_views"))),
-    })
+    df = df.withColumn("_wide", wide_gate(c("_r.site_type"), c("_shown"), mode == "naip_only", has_key) & (F.size("wide_views") > 0) & c("wide").isNotNull())
     again = route(c("_w"), c("_w2"), escalate, config)
     df = df.withColumn("_again", c("_wide") & (c("_provider") == "primary"))
     df = df.withColumns({"_reason2": F.when(c("_again"), again["escalation_reason"]), "_provider2": F.when(c("_again"), again["provider"]), "_next": F.when(c("_again"), again["reply"]).when(c("_wide"), c("_w")).otherwise(c("_r"))})

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from siteloom.config import DEFAULT, OBLIQUES, VIEWS, Config
@@ -128,8 +128,8 @@ def zoom_candidates(sites: DataFrame, forced: str = "forced", config: Config = D
     anchors = F.array(*[F.struct(F.array(*map(F.lit, b)).cast("array<double>").alias("box"), F.lit("anchor").alias("reason")) for b in geo.ANCHORS])
     every = F.concat(anchors, F.coalesce(F.col("candidates"), F.array().cast("array<struct<box: array<double>, reason: string>>")))
     most = F.when(F.col(forced), config.forced_crops).otherwise(config.max_crops)
-    rows = sites.select("*", F.posexplode(F.slice(every, F.lit(1), most)).alias("_pos", "_c")).select(
-        *[c for c in sites.columns if c != "candidates"], (F.col("_pos") + 1).alias("crop"), geo.valid_box(F.col("_c.box"), config.min_side).alias("box"), crop_label(F.col("_c.reason")).alias("crop_label")
-    )
-    first = F.row_number().over(Window.partitionBy("id", "box").orderBy("crop"))
-    return rows.where("box IS NOT NULL").withColumn("_n", first).where("_n = 1").drop("_n")
+    listed = F.transform(F.slice(every, F.lit(1), most), lambda x, i: F.struct((i + 1).alias("crop"), geo.valid_box(x["box"], config.min_side).alias("box"), crop_label(x["reason"]).alias("crop_label")))
+    # Of equal boxes the first stays: places are looked up in the list of boxes, so nothing is shuffled.
+    rows = sites.withColumn("_listed", listed).withColumn("_boxes", F.transform("_listed", lambda x: x["box"]))
+    kept = F.filter("_listed", lambda x: x["box"].isNotNull() & (F.array_position(F.col("_boxes"), x["box"]) == x["crop"]))
+    return rows.select(*[c for c in sites.columns if c != "candidates"], F.inline(kept))

@@ -20,6 +20,12 @@ def site(label="plain", trust="high", image=True, views=(), wide_views=(), crops
 
 @pytest.fixture(scope="module")
 def run(spark):
+    """One site at a time; compiling the plan would take far longer than running it."""
+    settings = {"spark.sql.codegen.wholeStage": "false", "spark.sql.codegen.factoryMode": "NO_CODEGEN"}
+    before = {k: spark.conf.get(k) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+
     def go(mode="tiered", project=False, routed=True, **facts):
         out = cascade.cascade(spark.createDataFrame([site(**facts)], _SCHEMA), mode=mode, escalate=routed)
         if project:
@@ -27,7 +33,9 @@ def run(spark):
         r = out.select("reply.*", "classification_stage", "nearmap_tier", "shown_views", "escalation_reason", "provider", "zoomed").first()
         return r
 
-    return go
+    yield go
+    for k, v in before.items():
+        spark.conf.set(k, v)
 
 
 SURE, NO_GEAR = reply("tower", 0.9, True, model="a"), reply("tower", 0.9, False, model="a", evidence="old")
