@@ -44,7 +44,10 @@ def recheck_gate(reply: Column, input_confidence: Column, views: Column) -> Colu
     return trust(input_confidence).isin("high", "medium") & is_false(reply.cell) & F.coalesce(views >= 2, F.lit(False))
 
 
-def _merged(reply: Column, again: Column, seen: Column, adopt: Column) -> Column:
+def recheck_merge(reply: Column, again: Column, gate: Column) -> Column:
+    """The reply, overruled where a second look sees equipment; the type only where that is a clear one."""
+    seen = gate & is_true(again.cell)
+    adopt = seen & is_asset(again.site_type)
     new = {
         "site_type": (adopt, again.site_type), "conf": (adopt, F.coalesce(again.conf, reply.conf)), "cell": (seen, F.lit(True)),
         "cell_conf": (seen, F.coalesce(again.cell_conf, reply.cell_conf)), "cell_evidence": (seen, F.coalesce(again.cell_evidence, reply.cell_evidence)),
@@ -53,24 +56,22 @@ def _merged(reply: Column, again: Column, seen: Column, adopt: Column) -> Column
     return F.when(seen, F.struct(*[(F.when(*new[f]).otherwise(reply[f]) if f in new else reply[f]).alias(f) for f in FIELDS])).otherwise(reply)
 
 
-def recheck_merge(reply: Column, again: Column, gate: Column) -> Column:
-    """The reply, overruled where a second look sees equipment; the type only where that is a clear one."""
-    seen = gate & is_true(again.cell)
-    return _merged(reply, again, seen, seen & is_asset(again.site_type))
-
-
 def rechecked(stage: str, views: Column) -> Column:
     return recheck_merge(F.col(stage), F.col(f"{stage}_recheck"), recheck_gate(F.col(stage), F.col("input_confidence"), views))
 
 
-def second_looks(df: DataFrame, views: dict[str, tuple[str, Column]]) -> DataFrame:
-    """Add a column with the reply after its second look for each (stage: name, images shown); what decides is computed once, which keeps the code small."""
-    c, seen, adopt = F.col, {}, {}
-    for stage, (_, shown) in views.items():
-        seen[f"_seen_{stage}"] = recheck_gate(c(stage), c("input_confidence"), shown) & is_true(c(f"{stage}_recheck.cell"))
-        adopt[f"_adopt_{stage}"] = c(f"_seen_{stage}") & is_asset(c(f"{stage}_recheck.site_type"))
-    df = df.withColumns(seen).withColumns(adopt)
-    return df.withColumns({name: _merged(c(s), c(f"{s}_recheck"), c(f"_seen_{s}"), c(f"_adopt_{s}")) for s, (name, _) in views.items()})
+def second_looks(df: DataFrame, views: dict[str, tuple[str, str]]) -> DataFrame:
+    """Add ``rechecked`` for each (stage: name, SQL of the images shown). What decides is a column of its own, and the rest is text, which keeps plans small and quick to build."""
+    seen = {f"_seen_{s}": F.expr(f"_trusted AND {s}.cell <=> false AND coalesce({shown} >= 2, false) AND {s}_recheck.cell <=> true") for s, (_, shown) in views.items()}
+    adopt = {f"_adopt_{s}": F.expr(f"_seen_{s} AND coalesce({s}_recheck.site_type IN ('tower', 'rooftop'), false)") for s in views}
+
+    def merged(s: str) -> Column:
+        either = lambda flag, f: f"CASE WHEN {flag}_{s} THEN coalesce({s}_recheck.{f}, {s}.{f}) ELSE {s}.{f} END"
+        flags = {"site_type": "_adopt", "conf": "_adopt", "evidence": "_adopt", "cell_conf": "_seen", "cell_evidence": "_seen"}
+        fields = ", ".join(f"'{f}', " + ("true" if f == "cell" else either(flags[f], f) if f in flags else f"{s}.{f}") for f in FIELDS)
+        return F.expr(f"CASE WHEN _seen_{s} THEN named_struct({fields}) ELSE {s} END")
+
+    return df.withColumns(seen).withColumns(adopt).withColumns({name: merged(s) for s, (name, _) in views.items()})
 
 
 def route(primary: Column, secondary: Column, enabled: bool = True, config: Config = DEFAULT) -> dict[str, Column]:
@@ -127,23 +128,23 @@ def cascade(stages: DataFrame, mode: str = "tiered", escalate: bool = True, has_
     nearmap_tier, shown_views, escalation_reason, provider, and zoomed (whether crops were looked at).
     """
     c = F.col
-    many = lambda views: c("has_naip").cast("int") + F.size(views)
+    one = "CAST(has_naip AS INT)"
     empty = F.array().cast("array<string>")
-    df = stages.withColumns({"has_naip": is_true(c("has_naip")), "views": F.coalesce("views", empty) if has_key else empty, "wide_views": F.coalesce("wide_views", empty)})
+    df = stages.withColumns({"has_naip": is_true(c("has_naip")), "views": F.coalesce("views", empty) if has_key else empty, "wide_views": F.coalesce("wide_views", empty), "_trusted": trust(c("input_confidence")).isin("high", "medium")})
     if mode == "tiered":
         vert = F.when(F.array_contains("views", "Vert"), c("_vert"))
-        df = second_looks(df, {"naip": ("_naip", c("has_naip").cast("int")), "vert": ("_vert", c("has_naip").cast("int") + 1), "full": ("_full", many(c("views")))})
+        df = second_looks(df, {"naip": ("_naip", one), "vert": ("_vert", f"{one} + 1"), "full": ("_full", f"{one} + size(views)")})
         tier = tier_cascade(c("_naip"), vert, c("_full"), config)
         df = df.withColumns({"_tier": tier["nearmap_tier"], "_r": tier["reply"]})
         shown = F.when(c("_tier") == "naip_only", empty).when(c("_tier") == "vert_only", F.array(F.lit("Vert"))).otherwise(c("views"))
         df = df.withColumns({"_shown": shown, "_none": ~c("has_naip")})
     elif mode == "full":
-        df = second_looks(df, {"full": ("_r", many(c("views")))}).withColumns({"_tier": F.when(F.size("views") > 0, "full").otherwise("naip_only"), "_shown": c("views"), "_none": ~c("has_naip") & (F.size("views") == 0)})
+        df = second_looks(df, {"full": ("_r", f"{one} + size(views)")}).withColumns({"_tier": F.when(F.size("views") > 0, "full").otherwise("naip_only"), "_shown": c("views"), "_none": ~c("has_naip") & (F.size("views") == 0)})
     elif mode == "naip_only":
-        df = second_looks(df, {"naip": ("_r", c("has_naip").cast("int"))}).withColumns({"_tier": F.lit("naip_only"), "_shown": empty, "_none": ~c("has_naip")})
+        df = second_looks(df, {"naip": ("_r", one)}).withColumns({"_tier": F.lit("naip_only"), "_shown": empty, "_none": ~c("has_naip")})
     else:
         raise ValueError(f"no such mode: {mode}")
-    df = second_looks(df, {"escalate": ("_second", many(c("_shown"))), "wide": ("_w", many(c("wide_views"))), "wide_escalate": ("_w2", many(c("wide_views")))})
+    df = second_looks(df, {"escalate": ("_second", f"{one} + size(_shown)"), "wide": ("_w", f"{one} + size(wide_views)"), "wide_escalate": ("_w2", f"{one} + size(wide_views)")})
     routed = route(c("_r"), c("_second"), escalate, config)
     df = df.withColumns({"_reason": routed["escalation_reason"], "_provider": routed["provider"], "_next": routed["reply"]}).withColumn("_r", c("_next"))
     # The wider area goes by the provider that has the site now; only the primary one is escalated from.
