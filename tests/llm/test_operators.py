@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from siteloom.llm import fingerprints, licenses, mixing, neighbours, packing, pii, probminhash, quality, queries, suffixes, toxicity
-from siteloom.llm.common import Words
+from siteloom.llm.common import Words, is_small, shared_dir
 from tests.conftest import DATA
 
 STORY = " ".join(f"word{i * i % 977}" for i in range(400))
@@ -33,6 +33,27 @@ def empty(odd):
     return odd.limit(0)
 
 
+def test_what_may_be_broadcast(spark):
+    """Bytes are counted, of strings and arrays too; nothing is small without room."""
+    df = spark.createDataFrame([(i, "x" * 100, [1, 2, 3], None) for i in range(100)], "a long, b string, c array<long>, d string")
+    assert is_small(df) and not is_small(df, 100 * 100) and is_small(df.limit(0), 0)
+
+
+def test_shared_folder_must_be_named_on_a_cluster():
+    class Context:
+        master = "spark://somewhere:7077"
+
+        def getCheckpointDir(self):
+            return None
+
+    class Session:
+        sparkContext = Context()
+        conf = {}
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        shared_dir(Session())
+
+
 @pytest.mark.parametrize("name", list(queries.oracle_sql()))
 def test_same_rows_as_sql(name, same):
     same(queries.queries()[name], queries.oracle_sql()[name])
