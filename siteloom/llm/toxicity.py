@@ -24,6 +24,7 @@ from __future__ import annotations
 
 import re
 from collections import Counter, defaultdict, deque
+from copy import copy
 from math import log, sqrt
 
 import numpy as np
@@ -171,8 +172,7 @@ class Automaton:
     def __init__(self, terms: list[str], stems: list[bytes] = (), learnt: list[bytes] = (), excluded: frozenset[bytes] = frozenset(), doubtful: frozenset[int] = frozenset(), seen: frozenset[bytes] = frozenset()):
         words = [(t.encode(), allowed(t), False) for t in terms] + [(s, 1, True) for s in stems] + [(x, allowed(x), False) for x in learnt]
         self.terms = [w.decode(errors="replace") + "*" * is_stem for w, _, is_stem in words]
-        self.excluded, self.seen = excluded, seen
-        self.doubtful = np.isin(np.arange(len(words)), list(doubtful))
+        self._choose(excluded, doubtful, seen)
         groups = defaultdict(list)
         for i, (w, d, is_stem) in enumerate(words):
             groups[is_stem, len(w)].append((i, w, d))
@@ -181,6 +181,16 @@ class Automaton:
         self.term = np.concatenate([p.term for p in self.parts] or [np.empty(0, np.int32)])
         self.edits = np.concatenate([p.edits for p in self.parts] or [np.empty(0, np.int32)])
 
+    def _choose(self, excluded: frozenset[bytes], doubtful: frozenset[int], seen: frozenset[bytes]) -> None:
+        self.excluded, self.seen = excluded, seen
+        self.doubtful = np.isin(np.arange(len(self.terms)), list(doubtful))
+
+    def choosing(self, excluded: frozenset[bytes], doubtful: frozenset[int], seen: frozenset[bytes]) -> Automaton:
+        """The same words with other misspellings left out; nothing is determinised again."""
+        other = copy(self)
+        other._choose(excluded, doubtful, seen)
+        return other
+
     def accepted(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(word, end, state), the best of a word first; words that are spelt as in the lexicon have no others."""
         found = [(w, at, s + b) for p, b in zip(self.parts, self.base) for w, at, s in [p.run(data, starts, ends)]]
@@ -346,7 +356,7 @@ def learn(docs: DataFrame, labels: DataFrame, terms: list[str] = TERMS, toxic: i
     once = {r.term: (r.t, r.c) for r in found.where(learnt & (F.col("t") + F.col("c") == 1)).groupBy("term").agg(F.sum("t").alias("t"), F.sum("c").alias("c")).collect()}
     doubtful = frozenset(len(terms) + i for i in range(len(stems) + len(words)) for t, c in [once.get(len(terms) + i, (0, 0))] if t + 0.5 < ODDS * (c + 0.5))
     seen = found.where(learnt & (F.col("t") - 0.5 >= ODDS * (F.col("c") + 0.5))).select("word").collect()  # it counts without its first document
-    return Automaton(list(terms), stems, words, LOOKALIKES | common, doubtful, frozenset(bytes(r.word) for r in seen))
+    return widest.choosing(LOOKALIKES | common, doubtful, frozenset(bytes(r.word) for r in seen))
 
 
 def _keys(w: Words, fresh: np.ndarray):
