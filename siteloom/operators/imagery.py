@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from siteloom.config import DEFAULT, OBLIQUES, VIEWS, Config
@@ -17,17 +17,26 @@ def newest_scene(scenes: DataFrame, key: str = "id") -> DataFrame:
     return scenes.groupBy(key).agg(best).select(key, "_s.*")
 
 
-def scenes_at(sites: DataFrame, scenes: DataFrame, cell: float = 1.0) -> DataFrame:
+def scenes_at(sites: DataFrame, scenes: DataFrame, cell: float = 1.0, most: int = 1024, spread: int = 8) -> DataFrame:
     """Sites with each scene whose bounding box holds them: an equi-join on grid cells, then the exact test.
 
-    A scene is repeated for the cells that it touches, so ``cell`` should be about a footprint's size.
+    A scene is repeated for the cells that it touches, so ``cell`` should be about a footprint's size. Scenes of one box are tested once,
+    as lists of at most ``most``. What a site gives may be thousands of rows, so both sides are shuffled and merged whatever their size
+    (a broadcast would leave the work to the few tasks that read the sites), and a cell's sites go to ``spread`` tasks.
     """
     def at(c):
         return F.floor(c / cell)
 
-    left = sites.withColumns({"_cx": at(F.col("lon")), "_cy": at(F.col("lat"))}).where("lat IS NOT NULL AND lon IS NOT NULL")
-    right = scenes.withColumn("_cx", F.explode(F.sequence(at(F.col("lon_min")), at(F.col("lon_max"))))).withColumn("_cy", F.explode(F.sequence(at(F.col("lat_min")), at(F.col("lat_max")))))
-    return left.join(right, ["_cx", "_cy"]).where("lon BETWEEN lon_min AND lon_max AND lat BETWEEN lat_min AND lat_max").drop("_cx", "_cy")
+    box, keys, parts = ["lat_min", "lat_max", "lon_min", "lon_max"], ["_cx", "_cy", "_part"], int(sites.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    rest = [x for x in scenes.columns if x not in box]
+    hashed = [name for name, kind in sites.dtypes if "map<" not in kind]
+    left = sites.withColumns({"_cx": at(F.col("lon")), "_cy": at(F.col("lat")), "_part": F.pmod(F.xxhash64(*hashed), F.lit(spread)).cast("int")}).where("lat IS NOT NULL AND lon IS NOT NULL")
+    nth = F.row_number().over(Window.partitionBy(*box).orderBy(*box))
+    right = scenes.withColumn("_nth", F.floor((nth - 1) / most)).groupBy(*box, "_nth").agg(F.collect_list(F.struct(*rest)).alias("_scenes"))
+    right = right.withColumn("_cx", F.explode(F.sequence(at(F.col("lon_min")), at(F.col("lon_max"))))).withColumn("_cy", F.explode(F.sequence(at(F.col("lat_min")), at(F.col("lat_max")))))
+    right = right.withColumn("_part", F.explode(F.sequence(F.lit(0), F.lit(spread - 1))))
+    both = left.repartition(parts, *keys).join(right.repartition(parts, *keys).hint("merge"), keys).where("lon BETWEEN lon_min AND lon_max AND lat BETWEEN lat_min AND lat_max")
+    return both.withColumn("_scene", F.explode("_scenes")).select(*sites.columns, *[F.col(f"_scene.{x}") if x in rest else x for x in scenes.columns])
 
 
 def tile_ranges(sites: DataFrame, side_m: float = DEFAULT.tile_m, zoom: int = DEFAULT.zoom) -> DataFrame:

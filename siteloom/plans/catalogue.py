@@ -162,7 +162,7 @@ def newest_scene(spark, d):
 
 @query(f"WITH {SITES}, {SCENES} SELECT id, item_id FROM sites JOIN scenes ON lon BETWEEN lon_min AND lon_max AND lat BETWEEN lat_min AND lat_max")
 def scene_point_intersect(spark, d):
-    return imagery.scenes_at(v.sites(spark, d), v.scenes(spark, d), 3.0).select("id", "item_id")
+    return imagery.scenes_at(v.sites(spark, d).select("id", "lat", "lon"), v.scenes(spark, d).drop("item_ord"), 3.0).select("id", "item_id")
 
 
 def _tiles(side: float, z: int) -> str:
