@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from siteloom.functions.geo import haversine
@@ -76,20 +76,36 @@ def nominatim_quality(kind: Column, category: Column) -> Column:
     return F.coalesce(F.nullif(kind, F.lit("")), category)
 
 
-def near_pairs(points: DataFrame, metres: float, key: str = "id") -> DataFrame:
-    """Extension: pairs (a, b, metres) of points within a distance, by a self-join on grid cells of that size (rows of latitude, wider columns).
+def _near(left: DataFrame, right: DataFrame, metres: float, steps: list[tuple[int, int]], where: str) -> DataFrame:
+    """left (lat1, lon1, ...) with right (lat2, lon2, ...) within a distance, of those that ``where`` lets through; m is the distance.
 
-    Columns are as wide as the distance at the row's highest latitude; points without coordinates have no pairs.
+    A join on grid cells of that size: rows of latitude, and columns as wide as the distance at the row's highest latitude. steps are the
+    rows and columns from a left point's cell to those looked at; ``_own`` tells its own. Both sides are shuffled and merged whatever
+    their size: a broadcast would leave the work to the few tasks that read the points.
     """
-    c, dlat = F.col, metres / 111_000.0
-    points = points.where("lat IS NOT NULL AND lon IS NOT NULL").withColumn("_cy", F.floor(c("lat") / dlat))
+    c, dlat, keys, parts = F.col, metres / 111_000.0, ["_row", "_col"], int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     wide = lambda row: F.lit(dlat) / F.cos(F.radians(F.least(F.lit(89.0), (F.abs(row) + 2) * dlat)))
-    left = points.withColumn("_row", F.explode(F.array(*[c("_cy") + i for i in (-1, 0, 1)])))
-    left = left.select(c(key).alias("a"), c("lat").alias("lat1"), c("lon").alias("lon1"), "_row", F.floor(c("lon") / wide(c("_row"))).alias("_cx"))
-    left = left.withColumn("_col", F.explode(F.array(*[c("_cx") + i for i in (-1, 0, 1)])))
-    right = points.select(c(key).alias("b"), c("lat").alias("lat2"), c("lon").alias("lon2"), c("_cy").alias("_row"), F.floor(c("lon") / wide(c("_cy"))).alias("_col"))
-    pairs = left.join(right, ["_row", "_col"]).where("a < b").withColumn("m", haversine(c("lat1"), c("lon1"), c("lat2"), c("lon2")))
-    return pairs.where(c("m") <= metres).select("a", "b", F.round("m", 1).alias("metres"))
+    left = left.withColumn("_step", F.explode(F.array(*[F.struct(F.lit(y).alias("y"), F.lit(x).alias("x")) for y, x in steps]))).withColumn("_row", F.floor(c("lat1") / dlat) + c("_step.y"))
+    left = left.withColumns({"_col": F.floor(c("lon1") / wide(c("_row"))) + c("_step.x"), "_own": (c("_step.y") == 0) & (c("_step.x") == 0)}).drop("_step")
+    right = right.withColumn("_row", F.floor(c("lat2") / dlat)).withColumn("_col", F.floor(c("lon2") / wide(c("_row"))))
+    both = left.repartition(parts, *keys).join(right.repartition(parts, *keys).hint("merge"), keys).where(where)
+    return both.withColumn("m", haversine(c("lat1"), c("lon1"), c("lat2"), c("lon2"))).where(c("m") <= metres)
+
+
+def near_pairs(points: DataFrame, metres: float, key: str = "id", most: int = 1024) -> DataFrame:
+    """Extension: pairs (a, b, metres) of points within a distance; points without coordinates have no pairs.
+
+    Distances are taken once for each two places, and lists of at most ``most`` keys a place are then multiplied out.
+    """
+    c = F.col
+    nth = F.row_number().over(Window.partitionBy("lat", "lon").orderBy("_k"))
+    places = points.select(c(key).alias("_k"), "lat", "lon").where("lat IS NOT NULL AND lon IS NOT NULL AND _k IS NOT NULL").withColumn("_n", F.floor((nth - 1) / most)).groupBy("lat", "lon", "_n").agg(F.collect_list("_k").alias("_ks"))
+    left, right = (places.selectExpr(f"lat AS lat{i}", f"lon AS lon{i}", f"_n AS n{i}", f"_ks AS ks{i}") for i in (1, 2))
+    # Two places meet once: rows and columns only go up, and within a cell the smaller place goes first.
+    pairs = _near(left, right, metres, [(0, 0), (0, 1), (1, -1), (1, 0), (1, 1)], "NOT _own OR lat1 < lat2 OR lat1 = lat2 AND (lon1 < lon2 OR lon1 = lon2 AND n1 <= n2)")
+    pairs = pairs.select("ks1", "ks2", (c("_own") & (c("lat1") == c("lat2")) & (c("lon1") == c("lon2")) & (c("n1") == c("n2"))).alias("same"), F.round("m", 1).alias("metres"))
+    pairs = pairs.withColumn("x", F.explode("ks1")).withColumn("y", F.explode("ks2")).where("CASE WHEN same THEN x < y ELSE x <> y END")
+    return pairs.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"), "metres")
 
 
 def radius_dedup(points: DataFrame, metres: float, key: str = "id") -> DataFrame:

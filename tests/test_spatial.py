@@ -1,8 +1,11 @@
 """Joins by place: whole results on copies and on borders, and work that is spread whatever the input's files are."""
 
+from math import asin, cos, radians, sin, sqrt
+from random import Random
+
 from pyspark.sql import functions as F
 
-from siteloom.operators import imagery
+from siteloom.operators import imagery, intake
 
 
 def tasks(df) -> int:
@@ -23,3 +26,26 @@ def test_scenes_of_one_file_are_joined_by_many_tasks(spark):
         got = imagery.scenes_at(left, right, cell, most=most)
         assert got.columns == left.columns + right.columns and sorted(map(tuple, got.collect())) == want
     assert tasks(imagery.scenes_at(left, right, 3.0)) > 1
+
+
+def metres_of(a, b) -> float:
+    (p, l), (q, m) = (map(radians, x) for x in (a, b))
+    return 2 * 6371008.8 * asin(sqrt(min(1.0, sin((q - p) / 2) ** 2 + cos(p) * cos(q) * sin((m - l) / 2) ** 2)))
+
+
+def scattered() -> list[tuple]:
+    """Places in both hemispheres and far north, with copies of them, unknown places and a repeated key."""
+    r = Random(7)
+    at = [(r.uniform(-1, 1), r.uniform(-1, 1)) for _ in range(150)] + [(r.uniform(88.0, 89.5), r.uniform(0, 30)) for _ in range(40)] + [(r.uniform(-61, -60), r.uniform(-1, 1)) for _ in range(60)]
+    rows = [(i, *at[r.randrange(len(at))]) for i in range(400)] + [(400, None, 1.0), (401, 1.0, None), (7, 0.5, 0.5), (7, -60.5, 0.0)]
+    return r.sample(rows, len(rows))
+
+
+def test_pairs_of_one_file_are_made_by_many_tasks(spark):
+    rows = scattered()
+    points = spark.createDataFrame(rows, "id long, lat double, lon double").coalesce(1)
+    for metres in (9_000.0, 60_000.0):
+        want = sorted((a[0], b[0], round(metres_of(a[1:], b[1:]), 1)) for a in rows for b in rows if a[0] < b[0] and None not in (*a, *b) and metres_of(a[1:], b[1:]) <= metres)
+        for most in (1024, 2):
+            assert sorted(map(tuple, intake.near_pairs(points, metres, most=most).collect())) == want
+    assert tasks(intake.near_pairs(points, 60_000.0)) > 1
