@@ -109,6 +109,20 @@ def near_pairs(points: DataFrame, metres: float, key: str = "id", most: int = 10
 
 
 def radius_dedup(points: DataFrame, metres: float, key: str = "id") -> DataFrame:
-    """Extension: ``points`` without those that have one of a smaller key within the distance."""
-    gone = near_pairs(points, metres, key).select(F.col("b").alias(key)).distinct()
-    return points.join(gone, key, "left_anti")
+    """Extension: ``points`` without those that have one of a smaller key within the distance; those without coordinates stay.
+
+    Pairs are not listed. First each point meets the smallest key of its cell, whose width is 0.6 of the distance, so hardly more than one a cell
+    is left; those look for the smallest key at each place around them. A point meets a bounded number of others, so work is as the input.
+    """
+    c, side = F.col, metres / 111_000.0 * 0.6
+    # Columns are cut at the row's lower latitude, where they are widest.
+    low = F.when(c("_cy") >= 0, c("_cy")).otherwise(-c("_cy") - 1) * side
+    cells = points.withColumn("_cy", F.floor(c("lat") / side)).withColumn("_cx", F.floor(c("lon") * F.cos(F.radians(F.least(F.lit(89.0), low))) / side))
+    known = f"lat IS NOT NULL AND lon IS NOT NULL AND `{key}` IS NOT NULL"
+    first = cells.where(known).groupBy("_cy", "_cx").agg(F.min(F.struct(c(key).alias("k"), c("lat").alias("lat"), c("lon").alias("lon"))).alias("_first"))
+    gone = (c("_first.k") < c(key)) & (haversine(c("_first.lat"), c("_first.lon"), c("lat"), c("lon")) <= metres)
+    left = cells.join(first, ["_cy", "_cx"], "left").where(~F.coalesce(gone, F.lit(False))).select(*points.columns)
+    asking = left.where(known).select(c(key).alias("a"), c("lat").alias("lat1"), c("lon").alias("lon1")).distinct()
+    places = points.where(known).groupBy("lat", "lon").agg(F.min(key).alias("b")).select("b", c("lat").alias("lat2"), c("lon").alias("lon2"))
+    hits = _near(asking, places, metres, [(y, x) for y in (-1, 0, 1) for x in (-1, 0, 1)], "b < a").select(c("a").alias(key), c("lat1").alias("lat"), c("lon1").alias("lon")).distinct()
+    return left.join(hits, [key, "lat", "lon"], "left_anti")
