@@ -29,9 +29,15 @@ def from_log(log: DataFrame) -> DataFrame:
 
 
 def pivot_stages(replies: DataFrame, stages: list[str], key: str = "id", attempt: str = "attempt") -> DataFrame:
-    """One row a key with a struct for each stage, of its last attempt; one shuffle for all stages."""
-    reply = F.struct(*FIELDS)
-    return replies.groupBy(key).agg(*[F.max_by(reply, F.when(F.col("stage") == s, F.col(attempt))).alias(s) for s in stages])
+    """One row a key with a struct for each stage, of its last attempt; one shuffle for all stages.
+
+    A key's replies are put into one list, the last attempt first, in which each stage is looked up: an aggregate for each stage would
+    handle every reply once a stage. A reply without a number of its attempt counts for no stage.
+    """
+    c = F.col
+    one = F.struct(c(attempt).alias("attempt"), F.when(c(attempt).isNotNull(), c("stage")).alias("stage"), F.struct(*FIELDS).alias("reply"))
+    listed = replies.groupBy(key).agg(F.sort_array(F.collect_list(one), asc=False).alias("_all")).withColumn("_stages", c("_all.stage"))
+    return listed.select(key, *[F.get("_all", (F.array_position("_stages", F.lit(s)) - 1).cast("int"))["reply"].alias(s) for s in stages])
 
 
 def attempts(log: DataFrame) -> DataFrame:
